@@ -33,7 +33,9 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+            # + 0.0 turns -0.0 into 0.0 so both engines print one zero
+            cols.append((F.round(F.col(f"`{f.name}`").cast("double"), digits) + F.lit(0.0))
+                        .alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
@@ -50,7 +52,7 @@ def long_form(df: DataFrame, ids: list[str], feature: str = "feature",
 
 def r(expr: str, digits: int = DIGITS) -> str:
     """SQL rounding of a double expression (oracle side)."""
-    return f"round(CAST({expr} AS DOUBLE), {digits})"
+    return f"(round(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
 
 
 def compose(views, ctes, final: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.plans import q_features  # noqa: F401
+from strata.plans import q_features, q_prep  # noqa: F401
 from strata.plans.common import ORACLE, QUERIES
 
 
