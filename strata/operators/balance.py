@@ -20,3 +20,116 @@ def with_class_weights(df: DataFrame, label: str = LABEL, out: str = "weight") -
     """Attach the balanced weight of each row's class (small table join)."""
     wt = class_weight_table(df, label).select(label, F.col("weight").alias(out))
     return df.join(F.broadcast(wt), label, "left")
+
+
+# ----------------------------------------------------------------- SMOTE
+
+def _sq_dist(a, b):
+    """Squared Euclidean distance of two equal-length double arrays."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0),
+                       lambda acc, v: acc + v)
+
+
+def knn_within(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
+               bucket_width: float | None = None) -> DataFrame:
+    """Exact k nearest neighbours of every point among the same points.
+
+    No all-pairs join: each point gets a key = distance to the centroid.
+    (1) Neighbours by key rank (+-k positions, a bounded candidate set) give
+    an upper bound r of its k-th neighbour distance. (2) By the triangle
+    inequality every true neighbour x of q has |key_x - key_q| <= d(q, x)
+    <= r_q, so an equi-join on key buckets covering [key_q - r_q, key_q +
+    r_q] finds all of them; exact distances pick the k smallest (ties by id).
+    Returns (id, nbr_id, rank, dist).
+    """
+    from strata.operators.ranking import exact_row_number
+
+    spark = points.sparkSession
+    pts = points.select(F.col(id_col).alias("id"),
+                        F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vec"))
+    dim = len(pts.select("vec").first()["vec"])
+    cen = pts.select(*[F.avg(F.col("vec")[i]).alias(f"c{i}") for i in range(dim)]).first()
+    centroid = F.array(*[F.lit(float(cen[f"c{i}"] or 0.0)) for i in range(dim)])
+    keyed = pts.withColumn("key", F.sqrt(_sq_dist(F.col("vec"), centroid)))
+    ranked = exact_row_number(keyed, [F.col("key"), F.col("id")], (), out="pos")
+    # (1) bounded candidates: +-k positions in key order
+    offs = [o for o in range(-k, k + 1) if o != 0]
+    probe = ranked.select("id", "vec", "pos", F.explode(F.array(*[F.lit(o) for o in offs])).alias("o"))
+    probe = probe.withColumn("cpos", F.col("pos") + F.col("o"))
+    cand = probe.alias("q").join(ranked.alias("c"), F.col("q.cpos") == F.col("c.pos"))
+    cd = cand.select(F.col("q.id").alias("id"),
+                     F.sqrt(_sq_dist(F.col("q.vec"), F.col("c.vec"))).alias("d"))
+    w = Window.partitionBy("id").orderBy("d")
+    radius = (cd.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+                .groupBy("id").agg(F.max("d").alias("r")))
+    q = ranked.join(radius, "id", "left").withColumn(
+        "r", F.coalesce(F.col("r"), F.lit(float("inf"))))
+    if bucket_width is None:
+        stats = q.agg(F.expr("percentile_approx(r, 0.5)").alias("w"),
+                      F.max("key").alias("kmax")).first()
+        width = stats["w"] if stats["w"] and stats["w"] > 0 else 1.0
+        kmax = stats["kmax"] or 0.0
+    else:
+        width, kmax = bucket_width, None
+    # (2) exact candidates: key buckets covering [key - r, key + r]
+    lo = F.floor((F.col("key") - F.col("r")) / F.lit(width))
+    hi = F.floor((F.col("key") + F.col("r")) / F.lit(width))
+    if kmax is not None:  # isolated points (r = inf) scan only existing buckets
+        lo = F.greatest(lo, F.lit(-1))
+        hi = F.least(hi, F.lit(int(kmax // width) + 1))
+    qs = q.select("id", "vec", "key", "r", F.explode(F.sequence(lo.cast("long"), hi.cast("long")))
+                  .alias("b"))
+    xs = ranked.select("id", "vec", "key", F.floor(F.col("key") / F.lit(width)).cast("long").alias("b"))
+    j = qs.alias("q").join(xs.alias("x"), (F.col("q.b") == F.col("x.b"))
+                           & (F.col("q.id") != F.col("x.id"))
+                           & (F.abs(F.col("q.key") - F.col("x.key")) <= F.col("q.r")))
+    dist = j.select(F.col("q.id").alias("id"), F.col("x.id").alias("nbr_id"),
+                    F.sqrt(_sq_dist(F.col("q.vec"), F.col("x.vec"))).alias("dist"))
+    wn = Window.partitionBy("id").orderBy("dist", "nbr_id")
+    return (dist.withColumn("rank", F.row_number().over(wn)).filter(F.col("rank") <= k)
+                .select("id", "nbr_id", F.col("rank").cast("int"), "dist"))
+
+
+def smote(train: DataFrame, k: int = 5, seed: int = 42, id_col: str = "id", vec_col: str = "vec",
+          label: str = LABEL) -> DataFrame:
+    """Oversample the minority class to the majority count.
+
+    Each minority row i makes g_i synthetic rows (the deficit spread evenly,
+    remainder to the lowest ranks); sample s uses neighbour
+    ``hash(i, s) mod k_i`` and step u = hash-uniform in [0, 1):
+    x_new = x + u (x_nn - x). Output: (id, vec, label, synthetic).
+    """
+    from strata.operators.ranking import exact_row_number
+
+    counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(counts) < 2:
+        return train.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), label,
+                            F.lit(False).alias("synthetic"))
+    minority = min(counts, key=lambda c: (counts[c], c))
+    majority = max(counts, key=lambda c: (counts[c], -c))
+    m, deficit = counts[minority], counts[majority] - counts[minority]
+    base = train.select(F.col(id_col).alias("id"),
+                        F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vec"),
+                        F.col(label).alias(label))
+    mino = base.filter(F.col(label) == minority)
+    nn = knn_within(mino.select("id", "vec"), k)
+    kk = nn.groupBy("id").agg(F.count(F.lit(1)).alias("k_i"))
+    ranked = exact_row_number(mino.select("id"), [F.col("id")], (), out="pos")
+    per, extra = divmod(deficit, m)
+    gen = ranked.join(kk, "id", "inner").withColumn(
+        "g", F.lit(per) + F.when(F.col("pos") <= extra, 1).otherwise(0))
+    gen = gen.filter(F.col("g") > 0).select(
+        "id", "k_i", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("s"))
+    h = F.xxhash64(F.col("id"), F.col("s"), F.lit(seed))
+    gen = gen.withColumn("rank", (F.pmod(h, F.col("k_i")) + 1).cast("int")).withColumn(
+        "u", F.pmod(F.xxhash64(F.col("id"), F.col("s"), F.lit(seed), F.lit("u")), F.lit(1 << 30))
+        / F.lit(float(1 << 30)))
+    pairs = gen.join(nn.select("id", "rank", "nbr_id"), ["id", "rank"], "inner")
+    xv = mino.select(F.col("id").alias("id"), F.col("vec").alias("x"))
+    nv = mino.select(F.col("id").alias("nbr_id"), F.col("vec").alias("xn"))
+    syn = pairs.join(xv, "id").join(nv, "nbr_id").select(
+        (F.col("id") * F.lit(1_000_003) + F.col("s") + F.lit(1)).alias("syn_id"),
+        F.zip_with("x", "xn", lambda a, b: a + F.col("u") * (b - a)).alias("vec"))
+    syn = syn.select(F.col("syn_id").alias("id"), "vec", F.lit(minority).cast(
+        base.schema[label].dataType).alias(label), F.lit(True).alias("synthetic"))
+    return base.withColumn("synthetic", F.lit(False)).unionByName(syn)

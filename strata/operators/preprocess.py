@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.ranking import exact_quantiles, exact_row_number
+from strata.operators.ranking import exact_quantiles, exact_row_number, md5_bucket
 
 KEY = "PATIENT"
 LABEL = "label"
@@ -98,8 +98,9 @@ def stratified_split(df: DataFrame, test_size: float = TEST_SIZE, seed: int = RA
     sizes are a tiny aggregate joined back.
     """
     g = list(group_cols)
-    ranked = exact_row_number(df, [split_key(id_col, seed), F.col(id_col)], [*g, label],
-                              out="_rn")
+    key = split_key(id_col, seed)
+    ranked = exact_row_number(df, [key, F.col(id_col)], [*g, label], out="_rn",
+                              bucket=md5_bucket(key))
     sizes = (df.groupBy(*g, label).agg(F.count(F.lit(1)).alias("_nc"))
                .withColumn("_ntest", F.round(F.col("_nc") * F.lit(test_size)).cast("bigint")))
     return (ranked.join(sizes, [*g, label], "inner")
@@ -112,8 +113,9 @@ def fold_assignment(train: DataFrame, k: int = 5, seed: int = RANDOM_STATE, labe
                     id_col: str = KEY, group_cols=()) -> DataFrame:
     """Stratified fold ids (W5): per class, (rank - 1) mod k in shuffle-key order."""
     g = list(group_cols)
-    ranked = exact_row_number(train, [split_key(id_col, seed), F.col(id_col)], [*g, label],
-                              out="_rn")
+    key = split_key(id_col, seed)
+    ranked = exact_row_number(train, [key, F.col(id_col)], [*g, label], out="_rn",
+                              bucket=md5_bucket(key))
     return ranked.withColumn("fold", ((F.col("_rn") - 1) % k).cast("int")).drop("_rn")
 
 

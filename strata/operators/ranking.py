@@ -13,6 +13,13 @@ results in a distributed way:
    construction);
 4. finish the rank / running sum locally inside each range.
 
+Consistency: the rank/offset branches read the range exchange twice. Range
+bounds are sampled from the input, and an input recomputed after a shuffle
+may arrive in another order, so the range path first writes its input as a
+reliable checkpoint. Orders that come with a deterministic monotone bucket
+(``bucket=`` -- e.g. a prefix of an md5 shuffle key) skip sampling entirely:
+the bucket is a pure function of the row.
+
 Hot keys stay safe: ranges split on the order keys, so one group holding a
 third of all rows is spread over many ranges. Inputs with many equal order
 keys are pre-aggregated by the callers (distinct value -> multiplicity)
@@ -40,18 +47,45 @@ def _as_cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def md5_bucket(md5_hex: Column, hex_chars: int = 4) -> Column:
+    """Monotone bucket of an md5 hex string: its first ``hex_chars`` digits."""
+    return F.conv(F.substring(md5_hex, 1, hex_chars), 16, 10).cast("int")
+
+
+def _bucketed_row_number(df, order, keys, bucket, out):
+    b = "_strata_bkt"
+    x = df.withColumn(b, bucket)
+    counts = x.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("_cnt"))
+    w_off = ((Window.partitionBy(*[F.col(k) for k in keys]) if keys else Window.partitionBy())
+             .orderBy(b).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*keys, b, F.coalesce(F.sum("_cnt").over(w_off), F.lit(0)).alias("_off"))
+    local = x.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)))
+    return (local.join(offsets, [*keys, b], "inner")
+                 .withColumn(out, (F.col("_off") + F.col("_lrn")).cast("bigint"))
+                 .drop(b, "_off", "_lrn"))
+
+
 def exact_row_number(df: DataFrame, order_cols: Sequence, partition_cols: Sequence[str] = (),
-                     out: str = "rn", num_ranges: int | None = None) -> DataFrame:
+                     out: str = "rn", num_ranges: int | None = None,
+                     bucket: Column | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY partition_cols ORDER BY order_cols)``.
 
-    Meant for few, large groups (class labels, whole table). The per-range
-    row index comes from ``monotonically_increasing_id`` right after a sort
-    within each range partition (lower 33 bits = record number in the
-    partition), so the big side is shuffled once (the range exchange).
+    Meant for few, large groups (class labels, whole table).
+
+    With ``bucket`` (a deterministic expression monotone in the order, e.g.
+    ``md5_bucket``): counts per (group, bucket) -> offsets -> row_number
+    inside each bucket. Otherwise: checkpoint the input, range-partition,
+    and take the per-range row index from ``monotonically_increasing_id``
+    right after a sort within each range partition (lower 33 bits = record
+    number in the partition), so the big side is shuffled once.
     """
-    n = _num_ranges(df, num_ranges)
     keys = list(partition_cols)
     order = _as_cols(order_cols)
+    if bucket is not None:
+        return _bucketed_row_number(df, order, keys, bucket, out)
+    from strata.session import materialize
+    df = materialize(df)
+    n = _num_ranges(df, num_ranges)
     ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
                 .sortWithinPartitions(*[F.col(k) for k in keys], *order)
                 .withColumn(_RNG, F.spark_partition_id())
@@ -80,8 +114,11 @@ def exact_prefix_sum(df: DataFrame, order_cols: Sequence, value_cols: Sequence[s
                      num_ranges: int | None = None) -> DataFrame:
     """Running sums (inclusive) of ``value_cols`` in ``order_cols`` order per group.
 
-    Order keys should be unique within a group (callers pre-aggregate).
+    Order keys should be unique within a group (callers pre-aggregate). The
+    (pre-aggregated) input is checkpointed first -- see module notes.
     """
+    from strata.session import materialize
+    df = materialize(df)
     n = _num_ranges(df, num_ranges)
     keys = list(partition_cols)
     order = _as_cols(order_cols)

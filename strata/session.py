@@ -35,7 +35,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
