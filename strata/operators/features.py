@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.parse import lenient_double
@@ -160,21 +160,36 @@ def patient_spine(patients: DataFrame, id_col: str = "Id") -> DataFrame:
     return patients.select(F.col(id_col).alias(KEY)).filter(F.col(KEY).isNotNull()).distinct()
 
 
-def label_encode(df: DataFrame, cols, null_category: str = "Unknown") -> DataFrame:
+def label_encode(df: DataFrame, cols, null_category: str = "Unknown",
+                 max_window_values: int = 1_000_000) -> DataFrame:
     """Replace each categorical column by its 0-based code.
 
     Codes follow code-point order of the distinct values, fitted on all rows.
-    The distinct value table is ranked with the distributed ranker and joined
-    back (AQE broadcasts it when small; categorical domains are).
+    All columns are encoded from one distinct (column, value) table: its
+    size is counted first; up to ``max_window_values`` rows it is ranked
+    with one window per column (a bounded table), beyond that with the
+    distributed ranker. The code table is joined back per column (AQE
+    broadcasts it when small).
     """
-    out = df
+    cols = [c for c in cols if c in df.columns]
+    if not cols:
+        return df
+    out = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(null_category)).alias(c)
+                      if c in cols else F.col(c) for c in df.columns])
+    pairs = out.select(*cols).unpivot([], cols, "_col", "_val").distinct()
+    n_pairs = pairs.count()
+    if n_pairs <= max_window_values:
+        codes = pairs.withColumn(
+            "_code", (F.dense_rank().over(Window.partitionBy("_col").orderBy("_val")) - 1).cast("int"))
+    else:
+        codes = None
+        for c in cols:
+            part = dense_rank_values(pairs.filter(F.col("_col") == c).select(F.col("_val")), "_val",
+                                     out="_code").withColumn("_col", F.lit(c))
+            codes = part if codes is None else codes.unionByName(part)
     for c in cols:
-        if c not in out.columns:
-            continue
-        filled = F.coalesce(F.col(c).cast("string"), F.lit(null_category))
-        out = out.withColumn(c, filled)
-        codes = dense_rank_values(out, c, out="_code")
-        out = out.join(codes, c, "left").withColumn(c, F.col("_code")).drop("_code")
+        cc = codes.filter(F.col("_col") == c).select(F.col("_val").alias(c), "_code")
+        out = out.join(cc, c, "left").withColumn(c, F.col("_code")).drop("_code")
     return out
 
 

@@ -42,7 +42,8 @@ def f1_evaluator() -> MulticlassClassificationEvaluator:
                                              metricName="fMeasureByLabel", metricLabel=1.0)
 
 
-def tree_grid_search(train: DataFrame, fold_col: str = "fold", parallelism: int = 4):
+def tree_grid_search(train: DataFrame, fold_col: str = "fold", parallelism: int = 4,
+                     num_folds: int = 5):
     """M1 + M4: balanced-weight decision tree, depth grid, stratified CV by F1."""
     data = with_class_weights(train.withColumn(LABEL, F.col(LABEL).cast("double")))
     dt = DecisionTreeClassifier(labelCol=LABEL, featuresCol="features", weightCol="weight",
@@ -50,7 +51,7 @@ def tree_grid_search(train: DataFrame, fold_col: str = "fold", parallelism: int
     grid = ParamGridBuilder().addGrid(
         dt.maxDepth, [d if d is not None else SPARK_MAX_DEPTH for d in TREE_DEPTHS]).build()
     cv = CrossValidator(estimator=dt, estimatorParamMaps=grid, evaluator=f1_evaluator(),
-                        foldCol=fold_col, parallelism=parallelism, seed=SEED)
+                        foldCol=fold_col, numFolds=num_folds, parallelism=parallelism, seed=SEED)
     return cv.fit(data).bestModel
 
 

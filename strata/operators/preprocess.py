@@ -172,7 +172,9 @@ def preprocess_cohort(df: DataFrame, name: str, feature_cache: list[str] | None
     if feature_cache is not None and mode == "canonical":
         x = align_columns(x, feature_cache)
         kept = list(feature_cache)
-    split = stratified_split(x, test_size, seed)
+    # the split feeds three barriers and the output: write it once
+    from strata.session import materialize
+    split = materialize(stratified_split(x, test_size, seed))
     fit_rows = split.filter(F.col("split") == "train") if fit_on == "train" else split
     med = column_medians(fit_rows, [c for c in kept if fracs.get(c, 0.0) > 0.0])
     imputed = impute(split, med)

@@ -18,6 +18,7 @@ from strata.operators.ranking import exact_quantiles
 
 LABEL = "label"
 FENCE_TOL = 1e-9
+EDGE_TOL = 1e-9
 
 
 def to_long(df: DataFrame, cols: list[str], ids: list[str]) -> DataFrame:
@@ -142,8 +143,10 @@ def histogram(long: DataFrame, bins: int, group_cols=()) -> DataFrame:
                  F.when(const, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
     b = b.withColumn("width", (F.col("hi") - F.col("lo")) / F.lit(bins))
     j = long.join(b.select(*keys, "lo", "hi"), keys, "inner")
-    idx = F.least(F.floor((F.col("value") - F.col("lo")) * F.lit(bins) / (F.col("hi") - F.col("lo"))) + 1,
-                  F.lit(bins))
+    # bins are [a, b) (last one closed); +1e-9 keeps values that sit on an
+    # edge in exact arithmetic in the upper bin whatever the float noise
+    pos = (F.col("value") - F.col("lo")) * F.lit(bins) / (F.col("hi") - F.col("lo"))
+    idx = F.least(F.floor(pos + F.lit(EDGE_TOL)) + 1, F.lit(bins))
     counts = j.groupBy(*keys, idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = b.select(*keys, "n", "lo", "width", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
     out = grid.join(counts, [*keys, "bin"], "left").withColumn(

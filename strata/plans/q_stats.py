@@ -219,7 +219,7 @@ def _hist_sql(src: str, keys: str, bins: int, name: str) -> list[str]:
         f"{name}_b AS (SELECT *, CASE WHEN hi0 = lo0 THEN lo0 - 0.5 ELSE lo0 END AS lo, "
         f"CASE WHEN hi0 = lo0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM {name}_b0)",
         f"{name}_c AS (SELECT " + ", ".join(f"b.{c}" for c in ks) +
-        f", CAST(least(floor((s.value - b.lo) * {bins} / (b.hi - b.lo)) + 1, {bins}) AS INTEGER) AS bin, "
+        f", CAST(least(floor((s.value - b.lo) * {bins} / (b.hi - b.lo) + 1e-9) + 1, {bins}) AS INTEGER) AS bin, "
         f"count(*) AS cnt FROM {src} s JOIN {name}_b b ON {on} GROUP BY ALL)",
         f"{name} AS (SELECT " + ", ".join(f"b.{c}" for c in ks) +
         f", CAST(g.bin AS INTEGER) AS bin, b.lo + (g.bin - 1) * (b.hi - b.lo) / {bins} AS bin_lo, "
