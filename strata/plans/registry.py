@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.plans import q_eval, q_features, q_models, q_prep, q_stats  # noqa: F401
+from strata.plans import q_eval, q_features, q_models, q_prep, q_sources, q_stats  # noqa: F401
 from strata.plans.common import ORACLE, QUERIES
 
 
