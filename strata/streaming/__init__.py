@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The analytics this library rebuilds are batch jobs over files; there is no
+stream source, watermark, window or stateful operator to reproduce. The one
+incremental step -- fine-tuning a model on newer data -- is a batch job
+(``strata.operators.models.fine_tune``). Batch operators here work on any
+DataFrame, so a caller may apply them per micro-batch through
+``writeStream.foreachBatch`` if needed.
+"""
