@@ -160,30 +160,31 @@ def observation_pivot_variant(spark, sf_dir):
 
 # ------------------------------------------------------------ full matrix
 
-def _demo_sql() -> str:
+def _demo_sql(null_category: str = "Unknown", variant: bool = False, name: str = "demo_long") -> str:
     """Demographics in long form (oracle)."""
     enc = lambda c: (f"(SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM "
-                     f"(SELECT DISTINCT coalesce(CAST({c} AS VARCHAR), 'Unknown') AS v FROM patients))")
+                     f"(SELECT DISTINCT coalesce(CAST({c} AS VARCHAR), '{null_category}') AS v FROM patients))")
+    days = f"floor(epoch(TIMESTAMP '{REF}' - CAST(BIRTHDATE AS TIMESTAMP)) / 86400)"
+    age = f"CAST(floor({days} / 365) AS DOUBLE)" if variant else f"round({days} / 365.25, 1)"
     parts = [
-        "SELECT Id AS PATIENT, 'age' AS feature, "
-        f"round(floor(epoch(TIMESTAMP '{REF}' - CAST(BIRTHDATE AS TIMESTAMP)) / 86400) / 365.25, 1) AS value FROM patients",
+        f"SELECT Id AS PATIENT, 'age' AS feature, {age} AS value FROM patients",
         "SELECT Id, 'is_deceased', CAST(DEATHDATE IS NOT NULL AS INTEGER) FROM patients",
         "SELECT Id, 'INCOME', INCOME FROM patients",
         "SELECT Id, 'HEALTHCARE_COVERAGE', HEALTHCARE_COVERAGE FROM patients",
     ]
     for c in fe.CATEGORICAL:
         parts.append(f"SELECT p.Id, '{c}', e.code FROM patients p JOIN {enc(c)} e "
-                     f"ON coalesce(CAST(p.{c} AS VARCHAR), 'Unknown') = e.v")
-    return "demo_long AS (" + "\nUNION ALL ".join(parts) + ")"
+                     f"ON coalesce(CAST(p.{c} AS VARCHAR), '{null_category}') = e.v")
+    return f"{name} AS (" + "\nUNION ALL ".join(parts) + ")"
 
 
-def _table_long_sql() -> str:
+def _table_long_sql(specs=None, name: str = "tables_long") -> str:
     parts = []
-    for view, spec in fe.CANONICAL_SPECS.items():
+    for view, spec in (specs or fe.CANONICAL_SPECS).items():
         agg = spec_sql(view, spec)
         for out, _, _ in spec.aggs:
             parts.append(f"SELECT PATIENT, '{out}' AS feature, CAST({out} AS DOUBLE) AS value FROM ({agg}) a_{out}")
-    return "tables_long AS (" + "\nUNION ALL ".join(parts) + ")"
+    return f"{name} AS (" + "\nUNION ALL ".join(parts) + ")"
 
 
 MATRIX_VIEWS = ("patients", "observations", *fe.CANONICAL_SPECS.keys())
@@ -277,3 +278,42 @@ def cohort_class_distribution(spark, sf_dir):
     f, t = _flags(spark, sf_dir)
     lab = co.attach_label(f, t["conditions"], LABEL_RE)
     return rounded(co.class_distribution(co.tagged_cohorts(lab)))
+
+
+def _feature_order_sql() -> str:
+    """Column order of the canonical matrix (oracle): demographics, encounter
+    aggregates, observation means then variances (by description), tables."""
+    static = [(c, i) for i, c in enumerate(fe.DEMOGRAPHIC_ORDER)]
+    base = len(static)
+    static += [(out, base + i) for i, (out, _, _) in enumerate(fe.CANONICAL_SPECS["encounters"].aggs)]
+    k = 10_000
+    for view, spec in fe.CANONICAL_SPECS.items():
+        if view == "encounters":
+            continue
+        for out, _, _ in spec.aggs:
+            static.append((out, k))
+            k += 1
+    values = ", ".join(f"('{n}', {o})" for n, o in static)
+    san = SANITIZE_SQL.format(c="DESCRIPTION")
+    return ("ords AS (SELECT * FROM (VALUES " + values + ") t(feature, ord) UNION ALL "
+            f"SELECT 'obs_' || {san} || '_mean', 100 + row_number() OVER (ORDER BY DESCRIPTION) FROM common "
+            f"UNION ALL SELECT 'obs_' || {san} || '_var', 100 + (SELECT count(*) FROM common) + "
+            "row_number() OVER (ORDER BY DESCRIPTION) FROM common)")
+
+
+VARIANT_VIEWS = ("patients", "observations", *fe.VARIANT_SPECS.keys())
+
+
+@register("feature_matrix_variant", _with(
+    ",\n".join([_obs_variant_sql().strip(), _demo_sql("nan", True, "vdemo"),
+                _table_long_sql(fe.VARIANT_SPECS, "vtables"),
+                "vmatrix AS (SELECT PATIENT, feature, value FROM vlong WHERE feature IN (SELECT feature FROM keep) "
+                "UNION ALL SELECT PATIENT, feature, CAST(value AS DOUBLE) FROM vdemo "
+                "UNION ALL SELECT PATIENT, feature, value FROM vtables)"]),
+    f"SELECT PATIENT, feature, {r('value')} AS value FROM vmatrix WHERE value IS NOT NULL",
+    *VARIANT_VIEWS))
+def feature_matrix_variant(spark, sf_dir):
+    """P1 variant: floor age, 'nan' category, variant counts/names, extra
+    claim cost, truncated-key observation pivot with its own coverage rule."""
+    m, _ = build_matrix(spark, sf_dir, mode="variant")
+    return rounded(long_form(m, [KEY]))

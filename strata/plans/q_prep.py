@@ -56,8 +56,8 @@ def prep_ctes(inclusive: bool = False) -> list[str]:
     ]
 
 
-def _sql(final: str, inclusive: bool = False) -> str:
-    return compose(VIEWS, prep_ctes(inclusive), final)
+def _sql(final: str, inclusive: bool = False, extra=()) -> str:
+    return compose(VIEWS, [*prep_ctes(inclusive), *extra], final)
 
 
 def _fracs_frame(spark, m):

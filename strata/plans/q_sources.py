@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions import parse as fp
 from strata.functions import scalars as fs
 from strata.operators import catalog as cat
+from strata.plans import q_features as qf
 from strata.plans import q_prep as qp
 from strata.plans.common import compose, r, register, rounded
 from strata.plans.workflow import prepare_cohorts, tagged_splits
@@ -170,3 +171,12 @@ def split_parquet_roundtrip(spark, sf_dir):
     back = sinks.read_splits(spark, path)
     return back.groupBy("cohort", "split").agg(F.count(F.lit(1)).alias("n_rows"),
                                                  F.count_if(F.col("label") == 1).alias("n1"))
+
+
+@register("feature_list", qp._sql(
+    "SELECT CAST(row_number() OVER (ORDER BY o.ord) - 1 AS INTEGER) AS position, k.feature "
+    "FROM kept k JOIN ords o ON o.feature = k.feature WHERE k.cohort = 'D1'",
+    extra=[qf._feature_order_sql()]))
+def feature_list(spark, sf_dir):
+    """The ordered feature list (schema artifact) with positions."""
+    return _d1_features(spark, sf_dir)

@@ -125,7 +125,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
                       for n, x in _observation_select()])
 
 
-_LINES_CACHE: dict[tuple[str, str], str] = {}
+_LINES_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
 def claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,8 +137,8 @@ def claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     scan instead of a fresh three-way join (one lineitem shuffle in total).
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    path = _LINES_CACHE.get(key)
-    if path is None:
+    cached = _LINES_CACHE.get(key)
+    if cached is None:
         from strata.sources.sinks import scratch_path
         path = scratch_path(spark, "claim-lines")
         li = read_table(spark, sf_dir, "lineitem")
@@ -147,8 +147,10 @@ def claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey, "left")
         (j.drop("o_orderkey", "p_partkey").write.mode("overwrite")
           .partitionBy("l_returnflag", "l_linestatus").parquet(path))
-        _LINES_CACHE[key] = path
-    return spark.read.parquet(path)
+        # one listing of the written files, shared by every slice
+        cached = spark.read.parquet(path)
+        _LINES_CACHE[key] = cached
+    return cached
 
 
 def _lines(spark, sf_dir, name):
