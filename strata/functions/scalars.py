@@ -13,10 +13,14 @@ def _c(c) -> Column:
 
 
 def _days_between(start, end) -> Column:
-    """Whole days from ``start`` to ``end`` (floor, like a timedelta's .days)."""
-    s = F.unix_micros(_c(start).cast("timestamp"))
-    e = F.unix_micros(_c(end).cast("timestamp"))
-    return F.floor((e - s) / F.lit(86_400_000_000))
+    """Whole days from ``start`` to ``end`` (floor, like a timedelta's .days).
+
+    Computed on naive wall-clock values (TIMESTAMP_NTZ), so a daylight-saving
+    hour in a non-UTC session cannot shift a day count.
+    """
+    micros = F.timestamp_diff("MICROSECOND", _c(start).cast("timestamp_ntz"),
+                              _c(end).cast("timestamp_ntz"))
+    return F.floor(micros / F.lit(86_400_000_000))
 
 
 def age_years(birth, ref) -> Column:

@@ -31,58 +31,73 @@ def _sq_dist(a, b):
 
 
 def knn_within(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
-               bucket_width: float | None = None) -> DataFrame:
+               max_cells_per_dim: int = 256) -> DataFrame:
     """Exact k nearest neighbours of every point among the same points.
 
-    No all-pairs join: each point gets a key = distance to the centroid.
-    (1) Neighbours by key rank (+-k positions, a bounded candidate set) give
-    an upper bound r of its k-th neighbour distance. (2) By the triangle
-    inequality every true neighbour x of q has |key_x - key_q| <= d(q, x)
-    <= r_q, so an equi-join on key buckets covering [key_q - r_q, key_q +
-    r_q] finds all of them; exact distances pick the k smallest (ties by id).
+    No all-pairs join. Two pivot keys per point: key1 = distance to the
+    centroid, key2 = distance to the point farthest from it.
+    (1) Neighbours by rank in each key (+-k positions: a bounded candidate
+    set) give an upper bound r of each point's k-th neighbour distance.
+    (2) By the triangle inequality every true neighbour x of q satisfies
+    |key_i(x) - key_i(q)| <= d(q, x) <= r_q for both keys, so an equi-join on
+    2-D key cells covering the box [key1 +- r] x [key2 +- r] finds all of
+    them; exact distances pick the k smallest (ties by id). Two keys keep
+    points that share a distance to the centroid (a shell) apart.
     Returns (id, nbr_id, rank, dist).
     """
     from strata.operators.ranking import exact_row_number
 
-    spark = points.sparkSession
     pts = points.select(F.col(id_col).alias("id"),
                         F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vec"))
     dim = len(pts.select("vec").first()["vec"])
     cen = pts.select(*[F.avg(F.col("vec")[i]).alias(f"c{i}") for i in range(dim)]).first()
-    centroid = F.array(*[F.lit(float(cen[f"c{i}"] or 0.0)) for i in range(dim)])
-    keyed = pts.withColumn("key", F.sqrt(_sq_dist(F.col("vec"), centroid)))
-    ranked = exact_row_number(keyed, [F.col("key"), F.col("id")], (), out="pos")
-    # (1) bounded candidates: +-k positions in key order
+    c1 = F.array(*[F.lit(float(cen[f"c{i}"] or 0.0)) for i in range(dim)])
+    k1 = pts.withColumn("key1", F.sqrt(_sq_dist(F.col("vec"), c1)))
+    far = k1.agg(F.max_by("vec", F.struct("key1", "id")).alias("p")).first()["p"]
+    c2 = F.array(*[F.lit(float(v)) for v in far])
+    keyed = k1.withColumn("key2", F.sqrt(_sq_dist(F.col("vec"), c2)))
+    # (1) bounded candidates: +-k positions in each key order
     offs = [o for o in range(-k, k + 1) if o != 0]
-    probe = ranked.select("id", "vec", "pos", F.explode(F.array(*[F.lit(o) for o in offs])).alias("o"))
-    probe = probe.withColumn("cpos", F.col("pos") + F.col("o"))
-    cand = probe.alias("q").join(ranked.alias("c"), F.col("q.cpos") == F.col("c.pos"))
-    cd = cand.select(F.col("q.id").alias("id"),
-                     F.sqrt(_sq_dist(F.col("q.vec"), F.col("c.vec"))).alias("d"))
-    w = Window.partitionBy("id").orderBy("d")
-    radius = (cd.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-                .groupBy("id").agg(F.max("d").alias("r")))
-    q = ranked.join(radius, "id", "left").withColumn(
-        "r", F.coalesce(F.col("r"), F.lit(float("inf"))))
-    if bucket_width is None:
-        stats = q.agg(F.expr("percentile_approx(r, 0.5)").alias("w"),
-                      F.max("key").alias("kmax")).first()
-        width = stats["w"] if stats["w"] and stats["w"] > 0 else 1.0
-        kmax = stats["kmax"] or 0.0
-    else:
-        width, kmax = bucket_width, None
-    # (2) exact candidates: key buckets covering [key - r, key + r]
-    lo = F.floor((F.col("key") - F.col("r")) / F.lit(width))
-    hi = F.floor((F.col("key") + F.col("r")) / F.lit(width))
-    if kmax is not None:  # isolated points (r = inf) scan only existing buckets
-        lo = F.greatest(lo, F.lit(-1))
-        hi = F.least(hi, F.lit(int(kmax // width) + 1))
-    qs = q.select("id", "vec", "key", "r", F.explode(F.sequence(lo.cast("long"), hi.cast("long")))
-                  .alias("b"))
-    xs = ranked.select("id", "vec", "key", F.floor(F.col("key") / F.lit(width)).cast("long").alias("b"))
-    j = qs.alias("q").join(xs.alias("x"), (F.col("q.b") == F.col("x.b"))
-                           & (F.col("q.id") != F.col("x.id"))
-                           & (F.abs(F.col("q.key") - F.col("x.key")) <= F.col("q.r")))
+    cands = None
+    for key in ("key1", "key2"):
+        ranked = exact_row_number(keyed.select("id", "vec", key), [F.col(key), F.col("id")], (),
+                                  out="pos")
+        probe = (ranked.select("id", "vec", "pos", F.explode(F.array(*[F.lit(o) for o in offs]))
+                               .alias("o"))
+                       .withColumn("cpos", F.col("pos") + F.col("o")))
+        cand = probe.alias("q").join(ranked.alias("c"), F.col("q.cpos") == F.col("c.pos")).select(
+            F.col("q.id").alias("id"), F.col("c.id").alias("cid"),
+            F.sqrt(_sq_dist(F.col("q.vec"), F.col("c.vec"))).alias("d"))
+        cands = cand if cands is None else cands.unionByName(cand)
+    cands = cands.dropDuplicates(["id", "cid"])
+    w = Window.partitionBy("id").orderBy("d", "cid")
+    radius = (cands.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+                   .groupBy("id").agg(F.max("d").alias("r")))
+    q = keyed.join(radius, "id", "left")
+    st = q.agg(F.expr("percentile_approx(r, 0.5)").alias("w"), F.max("r").alias("rmax"),
+               F.min("key1").alias("lo1"), F.max("key1").alias("hi1"),
+               F.min("key2").alias("lo2"), F.max("key2").alias("hi2")).first()
+    extent = max((st["hi1"] or 0.0) - (st["lo1"] or 0.0), (st["hi2"] or 0.0) - (st["lo2"] or 0.0))
+    width = max(st["w"] or 0.0, extent / max_cells_per_dim, 1e-12)
+    big = float(st["rmax"] or 0.0) + extent + 1.0     # a point with < k partners sees everything
+    q = q.withColumn("r", F.coalesce(F.col("r"), F.lit(big)))
+
+    def cells(key, lo_v, hi_v):
+        lo = F.greatest(F.floor((F.col(key) - F.col("r")) / F.lit(width)), F.lit(int(lo_v // width)))
+        hi = F.least(F.floor((F.col(key) + F.col("r")) / F.lit(width)), F.lit(int(hi_v // width)))
+        return F.explode(F.sequence(lo.cast("long"), hi.cast("long")))
+
+    qs = (q.select("id", "vec", "key1", "key2", "r", cells("key1", st["lo1"], st["hi1"]).alias("b1"))
+           .select("*", cells("key2", st["lo2"], st["hi2"]).alias("b2")))
+    xs = keyed.select("id", "vec", "key1", "key2",
+                      F.floor(F.col("key1") / F.lit(width)).cast("long").alias("b1"),
+                      F.floor(F.col("key2") / F.lit(width)).cast("long").alias("b2"))
+    j = qs.alias("q").join(
+        xs.alias("x"),
+        (F.col("q.b1") == F.col("x.b1")) & (F.col("q.b2") == F.col("x.b2"))
+        & (F.col("q.id") != F.col("x.id"))
+        & (F.abs(F.col("q.key1") - F.col("x.key1")) <= F.col("q.r"))
+        & (F.abs(F.col("q.key2") - F.col("x.key2")) <= F.col("q.r")))
     dist = j.select(F.col("q.id").alias("id"), F.col("x.id").alias("nbr_id"),
                     F.sqrt(_sq_dist(F.col("q.vec"), F.col("x.vec"))).alias("dist"))
     wn = Window.partitionBy("id").orderBy("dist", "nbr_id")

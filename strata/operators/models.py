@@ -9,6 +9,7 @@ RBF kernel is approximated with random Fourier features (Rahimi & Recht,
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier)
@@ -70,42 +71,49 @@ class RffSvm:
         self.w = self.b = None
         self.svm = self.platt = None
 
-    def _project(self, df: DataFrame) -> DataFrame:
-        w, b, dcomp = self.w, self.b, self.components
-        scale = float(np.sqrt(2.0 / dcomp))
+    def fit_projection(self, train: DataFrame) -> "RffSvm":
+        """Draw the random features from the training data's dimension and variance."""
+        d = len(train.select(self.features_col).first()[0])
+        lg = train.select(F.explode(vector_to_array(self.features_col)).alias("v"))
+        var_x = lg.agg(F.var_pop("v")).first()[0] or 1.0
+        gamma = 1.0 / (d * var_x) if var_x > 0 else 1.0
+        rng = np.random.default_rng(self.seed)
+        self.w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(self.components, d))
+        self.b = rng.uniform(0.0, 2.0 * np.pi, size=self.components)
+        return self
 
-        import pandas as pd
+    def project(self, df: DataFrame) -> DataFrame:
+        w, b = self.w, self.b
+        scale = float(np.sqrt(2.0 / self.components))
 
         @F.pandas_udf("array<double>")
         def rff(col: pd.Series) -> pd.Series:
             x = np.vstack(col.to_numpy()) if len(col) else np.zeros((0, w.shape[1]))
-            z = scale * np.cos(x @ w.T + b)
-            return pd.Series(list(z))
+            return pd.Series(list(scale * np.cos(x @ w.T + b)))
 
-        arr = vector_to_array(F.col(self.features_col))
-        return df.withColumn("_rff", array_to_vector(rff(arr)))
+        return df.withColumn("_rff", array_to_vector(rff(vector_to_array(F.col(self.features_col)))))
 
-    def fit(self, train: DataFrame, var_x: float | None = None) -> "RffSvm":
-        d = len(train.select(self.features_col).first()[0])
-        if var_x is None:
-            lg = train.select(F.explode(vector_to_array(self.features_col)).alias("v"))
-            var_x = lg.agg(F.var_pop("v")).first()[0] or 1.0
-        gamma = 1.0 / (d * var_x) if var_x > 0 else 1.0
-        rng = np.random.default_rng(self.seed)
-        self.w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(self.components, d))
-        self.b = rng.uniform(0.0, 2.0 * np.pi, size=self.components)
-        data = with_class_weights(self._project(train).withColumn(LABEL, F.col(LABEL).cast("double")))
-        n = data.count()
-        self.svm = LinearSVC(featuresCol="_rff", labelCol=LABEL, weightCol="weight",
-                             regParam=1.0 / (self.c * max(n, 1)), maxIter=100).fit(data)
+    def _svm(self, n: int, c: float) -> LinearSVC:
+        return LinearSVC(featuresCol="_rff", labelCol=LABEL, weightCol="weight",
+                         regParam=1.0 / (c * max(n, 1)), maxIter=50)
+
+    def fit_projected(self, data: DataFrame, n: int | None = None) -> "RffSvm":
+        """Fit SVM + Platt scaling on rows that already carry ``_rff`` and ``weight``."""
+        n = n if n is not None else data.count()
+        self.svm = self._svm(n, self.c).fit(data)
         margin = self.svm.transform(data).withColumn(
             "_m", array_to_vector(F.array(vector_to_array("rawPrediction")[1])))
         self.platt = LogisticRegression(featuresCol="_m", labelCol=LABEL, maxIter=100).fit(
             margin.select("_m", LABEL))
         return self
 
+    def fit(self, train: DataFrame) -> "RffSvm":
+        self.fit_projection(train)
+        data = with_class_weights(self.project(train).withColumn(LABEL, F.col(LABEL).cast("double")))
+        return self.fit_projected(data)
+
     def transform(self, df: DataFrame) -> DataFrame:
-        z = self._project(df)
+        z = self.project(df)
         out = self.svm.transform(z).withColumnRenamed("prediction", "svm_prediction")
         out = out.withColumn("_m", array_to_vector(F.array(vector_to_array("rawPrediction")[1])))
         out = out.drop("rawPrediction", "probability")
@@ -114,22 +122,26 @@ class RffSvm:
                  .drop("_rff", "_m", "svm_prediction", "rawPrediction"))
 
 
-def svm_grid_search(train: DataFrame, fold_col: str = "fold", components: int = 256) -> RffSvm:
-    """M2 + M4: pick C by mean positive-class F1 over the stratified folds."""
-    ev = f1_evaluator()
-    folds = [r[0] for r in train.select(fold_col).distinct().collect()]
-    best, best_f1 = None, -1.0
-    for c in SVM_C:
-        scores = []
-        for f in sorted(folds):
-            tr = train.filter(F.col(fold_col) != f)
-            va = train.filter(F.col(fold_col) == f)
-            m = RffSvm(components=components, c=c).fit(tr)
-            scores.append(ev.evaluate(m.transform(va).withColumn(LABEL, F.col(LABEL).cast("double"))))
-        mean = float(np.mean(scores)) if scores else 0.0
-        if mean > best_f1:
-            best, best_f1 = c, mean
-    return RffSvm(components=components, c=best).fit(train)
+def svm_grid_search(train: DataFrame, fold_col: str = "fold", components: int = 256,
+                    parallelism: int = 4) -> RffSvm:
+    """M2 + M4: pick C by positive-class F1 over the stratified folds.
+
+    The random-feature projection runs once (written as a checkpoint); the
+    C grid x folds are plain LinearSVC fits in a CrossValidator.
+    """
+    from strata.session import materialize
+    model = RffSvm(components=components).fit_projection(train)
+    data = materialize(with_class_weights(
+        model.project(train).withColumn(LABEL, F.col(LABEL).cast("double"))))
+    n = data.count()
+    est = model._svm(n, 1.0)
+    grid = ParamGridBuilder().addGrid(est.regParam, [1.0 / (c * max(n, 1)) for c in SVM_C]).build()
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=f1_evaluator(),
+                        foldCol=fold_col, numFolds=5, parallelism=parallelism, seed=SEED)
+    cvm = cv.fit(data)
+    best = int(np.argmax(cvm.avgMetrics))
+    model.c = SVM_C[best]
+    return model.fit_projected(data, n)
 
 
 def mlp(train: DataFrame, n_features: int, max_iter: int = 200, seed: int = SEED,

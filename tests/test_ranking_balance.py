@@ -63,3 +63,13 @@ def test_smote_balances_and_stays_on_segments(spark):
                 if -1e-9 <= t <= 1 + 1e-9 and math.dist([x + t * y for x, y in zip(a, ab)], r["vec"]) < 1e-9:
                     ok = True
         assert ok
+
+
+def test_knn_exact_on_a_shell(spark):
+    # all points at the same distance from the centroid: one key cannot prune
+    import math as m
+    pts = [(i, [m.cos(2 * m.pi * i / 40), m.sin(2 * m.pi * i / 40)]) for i in range(40)]
+    df = spark.createDataFrame(pts, "id long, vec array<double>")
+    got = {(r["id"], r["rank"]): r["nbr_id"] for r in ba.knn_within(df, 2).collect()}
+    for i, _ in pts:   # the two adjacent points (equal distance: compare as a set)
+        assert {got[(i, 1)], got[(i, 2)]} == {(i - 1) % 40, (i + 1) % 40}
