@@ -106,45 +106,51 @@ def knn_within(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str =
 
 
 def smote(train: DataFrame, k: int = 5, seed: int = 42, id_col: str = "id", vec_col: str = "vec",
-          label: str = LABEL) -> DataFrame:
+          label: str = LABEL, broadcast_rows: int = 200_000, rows_per_partition: int = 1_000_000) -> DataFrame:
     """Oversample the minority class to the majority count.
 
-    Each minority row i makes g_i synthetic rows (the deficit spread evenly,
-    remainder to the lowest ranks); sample s uses neighbour
-    ``hash(i, s) mod k_i`` and step u = hash-uniform in [0, 1):
-    x_new = x + u (x_nn - x). Output: (id, vec, label, synthetic).
+    The deficit's sample ids s = 0 .. deficit-1 come from ``spark.range``
+    spread over many partitions (never one task per minority row: a tiny
+    minority facing a huge majority would make each row emit millions).
+    Sample s belongs to minority row number (s mod m) + 1, so rows get the
+    deficit evenly; it uses that row's neighbour ``hash(s) mod k_i`` and step
+    u = hash-uniform in [0, 1): x_new = x + u (x_nn - x).
+    Minority rows and their neighbour lists are joined by broadcast when the
+    (counted) minority has at most ``broadcast_rows`` rows, otherwise by a
+    shuffle join. Output: (id, vec, label, synthetic).
     """
     from strata.operators.ranking import exact_row_number
 
+    spark = train.sparkSession
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    base = train.select(F.col(id_col).alias("id"),
+                        F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vec"),
+                        F.col(label).alias(label))
     if len(counts) < 2:
-        return train.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), label,
-                            F.lit(False).alias("synthetic"))
+        return base.withColumn("synthetic", F.lit(False))
     minority = min(counts, key=lambda c: (counts[c], c))
     majority = max(counts, key=lambda c: (counts[c], -c))
     m, deficit = counts[minority], counts[majority] - counts[minority]
-    base = train.select(F.col(id_col).alias("id"),
-                        F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vec"),
-                        F.col(label).alias(label))
     mino = base.filter(F.col(label) == minority)
     nn = knn_within(mino.select("id", "vec"), k)
     kk = nn.groupBy("id").agg(F.count(F.lit(1)).alias("k_i"))
-    ranked = exact_row_number(mino.select("id"), [F.col("id")], (), out="pos")
-    per, extra = divmod(deficit, m)
-    gen = ranked.join(kk, "id", "inner").withColumn(
-        "g", F.lit(per) + F.when(F.col("pos") <= extra, 1).otherwise(0))
-    gen = gen.filter(F.col("g") > 0).select(
-        "id", "k_i", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("s"))
+    pos = exact_row_number(mino.select("id"), [F.col("id")], (), out="pos")
+    rows = (pos.join(kk, "id", "inner").join(mino.select("id", F.col("vec").alias("x")), "id")
+               .select("pos", "id", "k_i", "x"))
+    nbrs = nn.join(mino.select(F.col("id").alias("nbr_id"), F.col("vec").alias("xn")), "nbr_id") \
+             .select("id", "rank", "xn")
+    small = m <= broadcast_rows
+    parts = max(1, min(deficit // rows_per_partition + 1, 100_000))
+    samples = spark.range(0, deficit, 1, parts).select(
+        F.col("id").alias("s"), (F.col("id") % F.lit(m) + 1).alias("pos"))
+    j = samples.join(F.broadcast(rows) if small else rows, "pos")
     h = F.xxhash64(F.col("id"), F.col("s"), F.lit(seed))
-    gen = gen.withColumn("rank", (F.pmod(h, F.col("k_i")) + 1).cast("int")).withColumn(
+    j = j.withColumn("rank", (F.pmod(h, F.col("k_i")) + 1).cast("int")).withColumn(
         "u", F.pmod(F.xxhash64(F.col("id"), F.col("s"), F.lit(seed), F.lit("u")), F.lit(1 << 30))
         / F.lit(float(1 << 30)))
-    pairs = gen.join(nn.select("id", "rank", "nbr_id"), ["id", "rank"], "inner")
-    xv = mino.select(F.col("id").alias("id"), F.col("vec").alias("x"))
-    nv = mino.select(F.col("id").alias("nbr_id"), F.col("vec").alias("xn"))
-    syn = pairs.join(xv, "id").join(nv, "nbr_id").select(
-        (F.col("id") * F.lit(1_000_003) + F.col("s") + F.lit(1)).alias("syn_id"),
-        F.zip_with("x", "xn", lambda a, b: a + F.col("u") * (b - a)).alias("vec"))
-    syn = syn.select(F.col("syn_id").alias("id"), "vec", F.lit(minority).cast(
-        base.schema[label].dataType).alias(label), F.lit(True).alias("synthetic"))
+    j = j.join(F.broadcast(nbrs) if small else nbrs, ["id", "rank"])
+    syn = j.select((-(F.col("s") + 1)).alias("id"),
+                   F.zip_with("x", "xn", lambda a, b: a + F.col("u") * (b - a)).alias("vec"),
+                   F.lit(minority).cast(base.schema[label].dataType).alias(label),
+                   F.lit(True).alias("synthetic"))
     return base.withColumn("synthetic", F.lit(False)).unionByName(syn)

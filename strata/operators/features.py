@@ -236,10 +236,17 @@ def common_descriptions(obs_num: DataFrame, n_patients: int, min_fraction: float
     need = coverage_threshold(n_patients, min_fraction)
     rows = (observation_coverage(obs_num).filter(F.col("n_patients") >= need)
             .select("DESCRIPTION", sanitize_name("DESCRIPTION").alias("name"))
-            .orderBy("DESCRIPTION").collect())
+            .orderBy("DESCRIPTION").limit(_pivot_cap(obs_num) + 1).collect())
+    if len(rows) > _pivot_cap(obs_num):
+        raise ValueError(f"more than {_pivot_cap(obs_num)} common observation types; raise "
+                         "min_fraction or spark.sql.pivotMaxValues")
     return _dedupe_names([(r["DESCRIPTION"], r["name"]) for r in rows])
 
 
+def _pivot_cap(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+
+
 def _dedupe_names(pairs):
     """Two descriptions may sanitise to one name: suffix _2, _3, ... (trap 13)."""
     seen: dict[str, int] = {}
@@ -283,7 +290,10 @@ def observation_features_variant(obs: DataFrame, min_fraction: float = 0.05,
     per = (num.groupBy(KEY, "DESCRIPTION")
               .agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s"))
               .withColumn("dkey", sanitize_name_truncated("DESCRIPTION", width)))
-    keys = [r["dkey"] for r in per.select("dkey").distinct().orderBy("dkey").collect()]
+    cap = _pivot_cap(per)
+    keys = [r["dkey"] for r in per.select("dkey").distinct().orderBy("dkey").limit(cap + 1).collect()]
+    if len(keys) > cap:
+        raise ValueError(f"more than {cap} observation keys; raise spark.sql.pivotMaxValues")
     if not keys:
         return num.select(KEY).distinct()
     piv = per.groupBy(KEY).pivot("dkey", keys).agg(F.avg("m").alias("m"), F.avg("s").alias("s"))
