@@ -58,9 +58,16 @@ def cohort(df: DataFrame, name: str) -> DataFrame:
 
 
 def tagged_cohorts(df: DataFrame) -> DataFrame:
-    """Both (overlapping) cohorts in one frame with a ``cohort`` column."""
-    return cohort(df, "D1").withColumn("cohort", F.lit("D1")).unionByName(
-        cohort(df, "D2").withColumn("cohort", F.lit("D2")))
+    """Both (overlapping) cohorts in one frame with a ``cohort`` column.
+
+    One pass: each row is emitted once per cohort it belongs to (explode of
+    its cohort tags), instead of a union that would run the whole upstream
+    plan twice.
+    """
+    tags = F.filter(F.array(F.when(F.col("in_d1"), F.lit("D1")), F.when(F.col("in_d2"), F.lit("D2"))),
+                    lambda t: t.isNotNull())
+    return (df.withColumn("cohort", F.explode(tags))
+              .drop("earliest_enc", "latest_enc", "in_d1", "in_d2"))
 
 
 def cohort_sizes(df_flags: DataFrame) -> DataFrame:
