@@ -28,18 +28,21 @@ PRED_SQL = (
 
 
 def predictions(spark, sf_dir):
+    """One scan of documents x labels; both scorers in one projection,
+    exploded to one row per (model, document)."""
     d = read_table(spark, sf_dir, "documents")
     lab = read_table(spark, sf_dir, "labels")
     j = d.join(lab, "doc_id")
-    ev_on = F.when(F.col("lang") == "en", "D1").otherwise("D2")
     words = F.size(F.split(F.col("text"), " "))
-    a = j.select(F.lit("chars").alias("model"), ev_on.alias("evaluated_on"), "doc_id",
-                 F.col("toxic").alias("label"),
-                 F.round(F.col("n_chars") / (F.col("n_chars") + F.lit(1500.0)), 3).alias("score"))
-    b = j.select(F.lit("words").alias("model"), ev_on.alias("evaluated_on"), "doc_id",
-                 F.col("toxic").alias("label"),
-                 F.round(words / (words + F.lit(250.0)), 3).alias("score"))
-    u = a.unionByName(b)
+    scores = F.array(
+        F.struct(F.lit("chars").alias("model"),
+                 F.round(F.col("n_chars") / (F.col("n_chars") + F.lit(1500.0)), 3).alias("score")),
+        F.struct(F.lit("words").alias("model"),
+                 F.round(words / (words + F.lit(250.0)), 3).alias("score")))
+    u = j.select(F.when(F.col("lang") == "en", "D1").otherwise("D2").alias("evaluated_on"), "doc_id",
+                 F.col("toxic").alias("label"), F.explode(scores).alias("m"))
+    u = u.select(F.col("m.model").alias("model"), "evaluated_on", "doc_id", "label",
+                 F.col("m.score").alias("score"))
     return u.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -304,12 +304,17 @@ def _feature_order_sql() -> str:
 VARIANT_VIEWS = ("patients", "observations", *fe.VARIANT_SPECS.keys())
 
 
+def variant_matrix_long_ctes(name: str = "vmatrix") -> str:
+    return ",\n".join([_obs_variant_sql().strip(), _demo_sql("nan", True, "vdemo"),
+                       _table_long_sql(fe.VARIANT_SPECS, "vtables"),
+                       f"{name} AS (SELECT PATIENT, feature, value FROM vlong WHERE feature IN "
+                       "(SELECT feature FROM keep) "
+                       "UNION ALL SELECT PATIENT, feature, CAST(value AS DOUBLE) FROM vdemo "
+                       "UNION ALL SELECT PATIENT, feature, value FROM vtables)"])
+
+
 @register("feature_matrix_variant", _with(
-    ",\n".join([_obs_variant_sql().strip(), _demo_sql("nan", True, "vdemo"),
-                _table_long_sql(fe.VARIANT_SPECS, "vtables"),
-                "vmatrix AS (SELECT PATIENT, feature, value FROM vlong WHERE feature IN (SELECT feature FROM keep) "
-                "UNION ALL SELECT PATIENT, feature, CAST(value AS DOUBLE) FROM vdemo "
-                "UNION ALL SELECT PATIENT, feature, value FROM vtables)"]),
+    variant_matrix_long_ctes(),
     f"SELECT PATIENT, feature, {r('value')} AS value FROM vmatrix WHERE value IS NOT NULL",
     *VARIANT_VIEWS))
 def feature_matrix_variant(spark, sf_dir):

@@ -15,15 +15,25 @@ from strata.sources import standins as st
 
 KEY = "PATIENT"
 VIEWS = tuple(dict.fromkeys([*qf.MATRIX_VIEWS, "encounters", "conditions"]))
+VARIANT_VIEWS = tuple(dict.fromkeys([*qf.VARIANT_VIEWS, "encounters", "conditions"]))
 MD5 = "md5(CAST(PATIENT AS VARCHAR) || '-42')"
 
 
-def prep_ctes(inclusive: bool = False) -> list[str]:
+def prep_ctes(inclusive: bool = False, variant: bool = False) -> list[str]:
     """Oracle chain in long form: cohorts -> missing shares -> kept features
-    -> medians -> split -> imputed grid -> scaler -> scaled values."""
-    drop = ">=" if inclusive else ">"
+    -> medians -> split -> imputed grid -> scaler -> scaled values.
+
+    ``variant``: variant matrix, keep < 50 %, both cohorts use the features
+    kept in both (no zero-filled columns)."""
+    drop = ">=" if (inclusive or variant) else ">"
+    final = ("final_feats AS (SELECT 'D1' AS cohort, feature FROM common_kept "
+             "UNION ALL SELECT 'D2', feature FROM common_kept)") if variant else (
+            "final_feats AS (SELECT 'D1' AS cohort, feature FROM kept WHERE cohort = 'D1' "
+            "UNION ALL SELECT 'D2', feature FROM kept WHERE cohort = 'D1')")
+    common = ["common_kept AS (SELECT feature FROM kept WHERE cohort = 'D1' "
+              "INTERSECT SELECT feature FROM kept WHERE cohort = 'D2')"] if variant else []
     return [
-        qf.matrix_long_ctes(),
+        qf.variant_matrix_long_ctes("matrix_long") if variant else qf.matrix_long_ctes(),
         f"l AS ({qf.LABELLED_SQL})",
         "coh AS (SELECT 'D1' AS cohort, PATIENT, label FROM l WHERE in_d1 "
         "UNION ALL SELECT 'D2', PATIENT, label FROM l WHERE in_d2)",
@@ -35,8 +45,8 @@ def prep_ctes(inclusive: bool = False) -> list[str]:
         "FROM csize s CROSS JOIN features_all f LEFT JOIN (SELECT cohort, feature, count(*) AS nn "
         "FROM cvals GROUP BY cohort, feature) v ON v.cohort = s.cohort AND v.feature = f.feature)",
         f"kept AS (SELECT cohort, feature FROM miss WHERE NOT (frac {drop} 0.5))",
-        "final_feats AS (SELECT 'D1' AS cohort, feature FROM kept WHERE cohort = 'D1' "
-        "UNION ALL SELECT 'D2', feature FROM kept WHERE cohort = 'D1')",
+        *common,
+        final,
         "med AS (SELECT cohort, feature, quantile_cont(value, 0.5) AS med FROM cvals GROUP BY cohort, feature)",
         "ranked AS (SELECT cohort, PATIENT, label, row_number() OVER (PARTITION BY cohort, label "
         f"ORDER BY {MD5}, PATIENT) AS rn, count(*) OVER (PARTITION BY cohort, label) AS nc FROM coh)",
@@ -271,3 +281,19 @@ def class_weights(spark, sf_dir):
 
 
 QUERIES_LOCAL = {"stratified_split": stratified_split}
+
+
+@register("scaled_features_variant", compose(VARIANT_VIEWS, prep_ctes(variant=True),
+    f"SELECT cohort, split, PATIENT, label, feature, {r('value')} AS value FROM scaled"))
+def scaled_features_variant(spark, sf_dir):
+    """P3 variant: variant matrix, drop >= 50 % missing per cohort, impute,
+    keep the features common to both cohorts (J7), split, scale."""
+    prepared = prepare_cohorts(spark, sf_dir, mode="variant")
+    out = None
+    for name, p in prepared.items():
+        long = (p.frame.select(KEY, "label", "split", *[F.col(f"`{c}`").cast("double").alias(c)
+                                                       for c in p.features])
+                 .unpivot([KEY, "label", "split"], p.features, "feature", "value")
+                 .withColumn("cohort", F.lit(name)))
+        out = long if out is None else out.unionByName(long)
+    return rounded(out.select("cohort", "split", KEY, "label", "feature", "value"))
