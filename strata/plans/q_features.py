@@ -207,8 +207,10 @@ def build_matrix(spark, sf_dir, mode="canonical"):
     f"SELECT PATIENT, feature, {r('value')} AS value FROM matrix_long WHERE value IS NOT NULL",
     *MATRIX_VIEWS))
 def feature_matrix(spark, sf_dir):
-    m, _ = build_matrix(spark, sf_dir)
-    return rounded(long_form(m, [KEY]))
+    """P1 in long form, read from the session's checkpointed labelled matrix."""
+    from strata.plans.workflow import labelled_matrix
+    m = labelled_matrix(spark, sf_dir)
+    return rounded(long_form(m.drop("label", "earliest_enc", "latest_enc", "in_d1", "in_d2"), [KEY]))
 
 
 @register("existence_label", compose(["patients", "conditions"], [],
@@ -320,5 +322,6 @@ def variant_matrix_long_ctes(name: str = "vmatrix") -> str:
 def feature_matrix_variant(spark, sf_dir):
     """P1 variant: floor age, 'nan' category, variant counts/names, extra
     claim cost, truncated-key observation pivot with its own coverage rule."""
-    m, _ = build_matrix(spark, sf_dir, mode="variant")
-    return rounded(long_form(m, [KEY]))
+    from strata.plans.workflow import labelled_matrix
+    m = labelled_matrix(spark, sf_dir, mode="variant")
+    return rounded(long_form(m.drop("label", "earliest_enc", "latest_enc", "in_d1", "in_d2"), [KEY]))
