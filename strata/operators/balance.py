@@ -49,9 +49,9 @@ def knn_within(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str =
 
     pts = points.select(F.col(id_col).alias("id"),
                         F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vec"))
-    dim = len(pts.select("vec").first()["vec"])
-    cen = pts.select(*[F.avg(F.col("vec")[i]).alias(f"c{i}") for i in range(dim)]).first()
-    c1 = F.array(*[F.lit(float(cen[f"c{i}"] or 0.0)) for i in range(dim)])
+    cen = {r["i"]: r["c"] for r in pts.select(F.posexplode("vec").alias("i", "v"))
+                                     .groupBy("i").agg(F.avg("v").alias("c")).collect()}
+    c1 = F.array(*[F.lit(float(cen[i] or 0.0)) for i in range(len(cen))])
     k1 = pts.withColumn("key1", F.sqrt(_sq_dist(F.col("vec"), c1)))
     far = k1.agg(F.max_by("vec", F.struct("key1", "id")).alias("p")).first()["p"]
     c2 = F.array(*[F.lit(float(v)) for v in far])

@@ -300,9 +300,12 @@ def observation_features_variant(obs: DataFrame, min_fraction: float = 0.05,
     cols = ([(f"`{k}_m`", f"obs_{k}_mean") for k in keys]
             + [(f"`{k}_s`", f"obs_{k}_var") for k in keys])
     piv = piv.select(KEY, *[F.col(a).alias(b) for a, b in cols])
-    # one-row barrier: non-missing share of every pivot column
-    shares = piv.agg(*[F.avg(F.col(b).isNotNull().cast("double")).alias(b) for _, b in cols]).first()
-    keep = [b for _, b in cols if shares[b] is not None and shares[b] >= min_fraction]
+    # barrier: non-missing share of every pivot column (long form, one row each)
+    names = [b for _, b in cols]
+    shares = {r["feature"]: r["share"] for r in
+              piv.select(*names).unpivot([], names, "feature", "value").groupBy("feature")
+                 .agg(F.avg(F.col("value").isNotNull().cast("double")).alias("share")).collect()}
+    keep = [b for b in names if shares.get(b) is not None and shares[b] >= min_fraction]
     return piv.select(KEY, *keep)
 
 

@@ -197,11 +197,6 @@ def matrix_long_ctes() -> str:
                        "UNION ALL SELECT PATIENT, feature, value FROM tables_long)"])
 
 
-def build_matrix(spark, sf_dir, mode="canonical"):
-    t = st.load_ehr(spark, sf_dir)
-    return fe.build_feature_matrix(t, REF, mode=mode), t
-
-
 @register("feature_matrix", _with(
     matrix_long_ctes(),
     f"SELECT PATIENT, feature, {r('value')} AS value FROM matrix_long WHERE value IS NOT NULL",

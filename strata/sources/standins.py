@@ -229,12 +229,5 @@ def sql_views() -> dict[str, str]:
     return v
 
 
-def with_views(sql: str, *names: str) -> str:
-    """Prefix ``sql`` with CTEs for the named stand-in views."""
-    views = sql_views()
-    ctes = ",\n".join(f"{n} AS ({views[n]})" for n in names)
-    return f"WITH {ctes}\n{sql}"
-
-
-__all__ = ["load_ehr", "sql_views", "with_views", "table_path", "STANDIN_CUTOFF",
+__all__ = ["load_ehr", "sql_views", "table_path", "STANDIN_CUTOFF",
            "STANDIN_REF_DATE", "STANDIN_LABEL_PATTERN"]
