@@ -268,7 +268,10 @@ def observation_pivot(obs_num: DataFrame, values, spread: str = "var") -> DataFr
     if not descs:
         return obs_num.select(KEY).distinct()
     spread_fn = F.var_samp if spread == "var" else F.stddev_samp
-    piv = (obs_num.groupBy(KEY).pivot("DESCRIPTION", descs)
+    # Keep only the common types before the shuffle (an InSet
+    # filter; the list is bounded by the pivot cap)
+    common = obs_num.filter(F.col("DESCRIPTION").isin(descs))
+    piv = (common.groupBy(KEY).pivot("DESCRIPTION", descs)
                   .agg(F.avg("v").alias("m"), spread_fn("v").alias("s")))
     means = [F.col(f"`{d}_m`").alias(f"obs_{n}_mean") for d, n in values]
     spreads = [F.col(f"`{d}_s`").alias(f"obs_{n}_var") for d, n in values]
