@@ -46,3 +46,17 @@ def test_entry_runs_on_smoke_data(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert rows and set(df.columns) == {"cohort", "label", "n", "pct"}
+
+
+def test_flagship_scans_each_table_once(spark):
+    import re
+
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    df = E.queries()["cohort_class_distribution"](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"Location: InMemoryFileIndex\(\d+ paths\)\[([^\]]+)\]", plan)
+    tables = [s.rstrip("/").split("/")[-1] for s in scans]
+    assert len(tables) == len(set(tables)), tables      # overlapping cohorts: no union re-scan
+    assert "Python" not in plan
