@@ -60,12 +60,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing a Parquet table in the shared checkpoint folder.
 
     Used before a chain of driver barriers (null fractions, medians, scaler
-    moments) so each barrier re-reads the checkpoint instead of recomputing
-    the whole feature plan; survives executor loss (no local checkpoint).
+    moments) so each barrier re-reads the table instead of recomputing the
+    whole plan. Parquet (rather than an RDD checkpoint of whole rows) lets
+    every later read prune columns and push filters; the files survive
+    executor loss (no local checkpoint).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import os
+    import uuid
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
