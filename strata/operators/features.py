@@ -22,6 +22,7 @@ from strata.functions.scalars import (age_floor_years, age_years, deceased_flag,
 from strata.operators.ranking import dense_rank_values
 
 KEY = "PATIENT"
+BROADCAST_CODES = 100_000   # rows of a (counted) code table joined by broadcast
 
 
 @dataclass(frozen=True)
@@ -189,6 +190,9 @@ def label_encode(df: DataFrame, cols, null_category: str = "Unknown",
             codes = part if codes is None else codes.unionByName(part)
     for c in cols:
         cc = codes.filter(F.col("_col") == c).select(F.col("_val").alias(c), "_code")
+        # counted above: broadcast when small, so a hot category value never
+        # becomes one sort-merge partition
+        cc = F.broadcast(cc) if n_pairs <= BROADCAST_CODES else cc
         out = out.join(cc, c, "left").withColumn(c, F.col("_code")).drop("_code")
     return out
 

@@ -60,7 +60,8 @@ def _bucketed_row_number(df, order, keys, bucket, out):
              .orderBy(b).rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*keys, b, F.coalesce(F.sum("_cnt").over(w_off), F.lit(0)).alias("_off"))
     local = x.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)))
-    return (local.join(offsets, [*keys, b], "inner")
+    # offsets: at most (bucket count x groups) rows by construction
+    return (local.join(F.broadcast(offsets), [*keys, b], "inner")
                  .withColumn(out, (F.col("_off") + F.col("_lrn")).cast("bigint"))
                  .drop(b, "_off", "_lrn"))
 
