@@ -112,14 +112,15 @@ def exact_row_number(df: DataFrame, order_cols: Sequence, partition_cols: Sequen
 
 def exact_prefix_sum(df: DataFrame, order_cols: Sequence, value_cols: Sequence[str],
                      partition_cols: Sequence[str] = (), suffix: str = "_cum",
-                     num_ranges: int | None = None) -> DataFrame:
+                     num_ranges: int | None = None, input_materialized: bool = False) -> DataFrame:
     """Running sums (inclusive) of ``value_cols`` in ``order_cols`` order per group.
 
     Order keys should be unique within a group (callers pre-aggregate). The
     (pre-aggregated) input is checkpointed first -- see module notes.
     """
     from strata.session import materialize
-    df = materialize(df)
+    if not input_materialized:
+        df = materialize(df)
     n = _num_ranges(df, num_ranges)
     keys = list(partition_cols)
     order = _as_cols(order_cols)
@@ -148,10 +149,14 @@ def exact_quantiles(long_df: DataFrame, group_cols: Sequence[str], value_col: st
     distinct-value count (map-side combined), a distributed prefix sum over
     the distinct values, and a join against the small target-rank table.
     """
+    from strata.session import materialize
     keys = list(group_cols)
     vals = long_df.filter(F.col(value_col).isNotNull())
-    vc = vals.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_c"))
-    cum = exact_prefix_sum(vc, [value_col], ["_c"], keys, num_ranges=num_ranges)
+    # distinct values with multiplicity, written once: feeds the group sizes,
+    # the prefix sums and the final lookup without recomputing the input
+    vc = materialize(vals.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_c")), "values")
+    cum = exact_prefix_sum(vc, [value_col], ["_c"], keys, num_ranges=num_ranges,
+                           input_materialized=True)
     sizes = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     # one target row per (group, prob): a few rows per group
     targets = sizes.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
