@@ -156,7 +156,7 @@ def _top10_corr_features(lg):
     "GROUP BY feature", _corr_sql()).replace("$D1$", "'D1'").replace("$D2$", "'D2'"))
 def drift_table(spark, sf_dir):
     """Top-10 |r| features, mean and std on D1 train vs D2 train."""
-    lg = prepared_long(spark, sf_dir).cache()
+    lg = prepared_long(spark, sf_dir)
     top = _top10_corr_features(lg)
     tr = lg.filter((F.col("split") == "train") & F.col("feature").isin(top))
     return rounded(sx.cohort_compare(tr), 3)
@@ -193,7 +193,7 @@ DRIFT_SRC = ("(SELECT cohort, feature, value FROM scaled WHERE split = 'train' A
 def drift_density(spark, sf_dir):
     """KDE curves (1000 points) of the top-10 |r| features, D1
     train vs D2 train."""
-    lg = prepared_long(spark, sf_dir).cache()
+    lg = prepared_long(spark, sf_dir)
     top = _top10_corr_features(lg)
     tr = lg.filter((F.col("split") == "train") & F.col("feature").isin(top))
     k = sx.kde_curve(tr.select("cohort", "feature", "value"), ["cohort"], 1000)
@@ -245,7 +245,7 @@ def _hist_final(keys):
 def drift_histogram(spark, sf_dir):
     """X10 variant / X4: 25-bin density histograms of the ten highest-variance
     D1-train features, D1 train vs D2 train."""
-    lg = prepared_long(spark, sf_dir).filter(F.col("split") == "train").cache()
+    lg = prepared_long(spark, sf_dir).filter(F.col("split") == "train")
     top = [r_["feature"] for r_ in sx.variance_rank(lg.filter(F.col("cohort") == "D1"), 10).collect()]
     h = sx.histogram(lg.filter(F.col("feature").isin(top)).select("cohort", "feature", "value"),
                      25, ["cohort"])
