@@ -16,7 +16,7 @@ results in a distributed way:
 Consistency: the rank/offset branches read the range exchange twice. Range
 bounds are sampled from the input, and an input recomputed after a shuffle
 may arrive in another order, so the range path first writes its input as a
-reliable checkpoint. Orders that come with a deterministic monotone bucket
+Parquet table in the shared checkpoint folder (``session.materialize``). Orders that come with a deterministic monotone bucket
 (``bucket=`` -- e.g. a prefix of an md5 shuffle key) skip sampling entirely:
 the bucket is a pure function of the row.
 
@@ -75,7 +75,7 @@ def exact_row_number(df: DataFrame, order_cols: Sequence, partition_cols: Sequen
 
     With ``bucket`` (a deterministic expression monotone in the order, e.g.
     ``md5_bucket``): counts per (group, bucket) -> offsets -> row_number
-    inside each bucket. Otherwise: checkpoint the input, range-partition,
+    inside each bucket. Otherwise: materialize the input, range-partition,
     and take the per-range row index from ``monotonically_increasing_id``
     right after a sort within each range partition (lower 33 bits = record
     number in the partition), so the big side is shuffled once.
@@ -116,7 +116,8 @@ def exact_prefix_sum(df: DataFrame, order_cols: Sequence, value_cols: Sequence[s
     """Running sums (inclusive) of ``value_cols`` in ``order_cols`` order per group.
 
     Order keys should be unique within a group (callers pre-aggregate). The
-    (pre-aggregated) input is checkpointed first -- see module notes.
+    (pre-aggregated) input is materialized first unless the caller already
+    did -- see module notes.
     """
     from strata.session import materialize
     if not input_materialized:
