@@ -60,3 +60,17 @@ def test_flagship_scans_each_table_once(spark):
     tables = [s.rstrip("/").split("/")[-1] for s in scans]
     assert len(tables) == len(set(tables)), tables      # overlapping cohorts: no union re-scan
     assert "Python" not in plan
+
+
+def test_aggregate_shuffle_counts(spark):
+    from strata.operators import features as fe
+    from strata.sources import standins as st
+    from tests.conftest import SF_SMALL
+    claims = st.claims(spark, SF_SMALL)
+    plain = fe.aggregate_table(claims, fe.CANONICAL_SPECS["claims"])
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1                  # partial agg -> one shuffle on PATIENT
+    enc = st.encounters(spark, SF_SMALL)
+    distinct = fe.aggregate_table(enc, fe.CANONICAL_SPECS["encounters"])
+    plan = distinct._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2                  # count(DISTINCT): one more phase, no collect
