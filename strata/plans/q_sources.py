@@ -49,7 +49,7 @@ def csv_lenient_scan(spark, sf_dir):
     """Write CSV text, read it back leniently, aggregate."""
     path = sinks.scratch_path(spark, "csv")
     _csv_lines(read_table(spark, sf_dir, "orders")).write.mode("overwrite").text(path)
-    enc = read_csv_lenient(spark, path, columns=CSV_COLUMNS)
+    enc = read_csv_lenient(spark, path, columns=CSV_COLUMNS, header=False)
     cost = fp.lenient_double("BASE_ENCOUNTER_COST")
     return rounded(enc.filter(F.col("PATIENT").isNotNull()).groupBy(
         F.col("PATIENT").cast("bigint").alias("PATIENT")).agg(

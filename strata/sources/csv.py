@@ -32,15 +32,18 @@ def _parse_header(line: str) -> list[str]:
 
 
 def read_csv_lenient(spark: SparkSession, path: str, columns: list[str] | None = None,
-                     usecols=None, header: bool = True, na_tokens: bool = True) -> DataFrame:
+                     usecols=None, header: bool | None = None, na_tokens: bool = True) -> DataFrame:
     """Read CSV text as all-string columns with pandas-like bad-line handling.
 
     Lines are read as text; a line with more delimiters (outside quoted
     parts) than the header allows is skipped; the rest are parsed with
     ``from_csv`` (PERMISSIVE: missing trailing fields -> NULL).
-    ``columns``: names when the files have no header (or to override it).
+    ``columns``: names when the files have no header (or, with ``header=True``,
+    to override it). ``header`` defaults to True only when ``columns`` is None.
     ``usecols``: list of names or predicate; absent names are tolerated (S2, S3).
     """
+    if header is None:
+        header = columns is None
     lines = spark.read.text(path).filter(F.length("value") > 0)
     header_line = None
     if header:

@@ -27,3 +27,11 @@ def test_usecols_tolerates_absent(spark):
     df = read_csv_lenient(spark, d, usecols=lambda c: c in ["PATIENTID", "TYPE", "AMOUNT", "MISSING"])
     assert df.columns == ["PATIENTID", "TYPE", "AMOUNT"]
     assert [tuple(r) for r in df.collect()] == [("p1", "a", None)]
+
+
+def test_explicit_columns_keep_first_line(spark):
+    d = tempfile.mkdtemp(prefix="strata-csv-")
+    with open(os.path.join(d, "t.csv"), "w") as f:
+        f.write("1,a\n2,b\n1,a\n")
+    df = read_csv_lenient(spark, d, columns=["k", "v"])
+    assert df.count() == 3
