@@ -53,3 +53,25 @@ def test_spine_preserved_by_matrix(spark):
     m = labelled_matrix(spark, SF_SMALL, checkpoint=False)
     n = spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
     assert m.count() == n and m.select("PATIENT").distinct().count() == n
+
+
+def test_variant_pivot_averages_truncation_collisions(spark):
+    a, b = "A" * 40 + " x", "A" * 40 + " y"          # same first 40 sanitised characters
+    obs = spark.createDataFrame([("p1", a, "1"), ("p1", b, "2"), ("p1", b, "4"), ("p2", a, "5")],
+                                "PATIENT string, DESCRIPTION string, VALUE string")
+    wide = fe.observation_features_variant(obs, min_fraction=0.05)
+    key = "obs_" + "A" * 40
+    got = {r["PATIENT"]: (r[f"{key}_mean"], r[f"{key}_var"]) for r in wide.collect()}
+    # p1: mean of the two description means (1 and 3) -> 2, not the pooled 7/3;
+    # std: only description b has two values (std sqrt 2) -> averaged alone
+    assert got["p1"][0] == 2.0 and abs(got["p1"][1] - 2 ** 0.5) < 1e-12
+    assert got["p2"] == (5.0, None)
+
+
+def test_variant_demographics(spark):
+    import datetime as dt
+    p = spark.createDataFrame([("x", dt.date(2020, 1, 2), None, None, "b", "c", None, 1.0, 0.0)],
+                              "Id string, BIRTHDATE date, DEATHDATE date, GENDER string, RACE string, "
+                              "ETHNICITY string, MARITAL string, INCOME double, HEALTHCARE_COVERAGE double")
+    r = fe.demographics(p, "2020-01-01", age_mode="variant", null_category="nan").first()
+    assert r["age"] == -1.0 and r["is_deceased"] == 0 and r["GENDER"] == 0
