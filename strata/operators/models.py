@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -37,10 +37,26 @@ def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataF
     return va.transform(df)
 
 
-def f1_evaluator() -> MulticlassClassificationEvaluator:
-    """F1 of the positive class (the reference's scoring='f1')."""
-    return MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction",
-                                             metricName="fMeasureByLabel", metricLabel=1.0)
+class PositiveF1(Evaluator):
+    """F1 of the positive class with zero_division = 0 (the reference's
+    scoring='f1'). Spark's ``fMeasureByLabel`` raises when a validation
+    fold has neither a positive row nor a positive prediction; this is one
+    ``count_if`` aggregate instead.
+    """
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        y, p = F.col(LABEL) == 1, F.col("prediction") == 1
+        r = dataset.agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"),
+                        F.count_if(y & ~p).alias("fn")).first()
+        den = 2 * r["tp"] + r["fp"] + r["fn"]
+        return 2.0 * r["tp"] / den if den else 0.0
+
+    def isLargerBetter(self) -> bool:
+        return True
+
+
+def f1_evaluator() -> Evaluator:
+    return PositiveF1()
 
 
 def tree_grid_search(train: DataFrame, fold_col: str = "fold", parallelism: int = 4,
