@@ -29,10 +29,19 @@ CATEGORY_COLS = ["GENDER", "RACE", "MARITAL"]
 SQRT_2PI = math.sqrt(2 * math.pi)
 
 
-def prepared_long(spark, sf_dir):
-    """(cohort, split, PATIENT, label, feature, value) of the scaled cohorts."""
+def prepared_long(spark, sf_dir, features=None, keep=None):
+    """(cohort, split, PATIENT, label, feature, value) of the scaled cohorts.
+
+    ``features`` (names) or ``keep`` (predicate on a name) select columns
+    *before* the unpivot, so the scan reads only those columns (a filter on
+    ``feature`` after the unpivot cannot prune the stage table's columns).
+    """
     prepared = prepare_cohorts(spark, sf_dir)
     feats = prepared["D1"].features
+    if features is not None:
+        feats = [f for f in feats if f in set(features)]
+    if keep is not None:
+        feats = [f for f in feats if keep(f)]
     wide = tagged_splits(prepared)
     return sx.to_long(wide, feats, ["cohort", "split", KEY, "label"])
 
@@ -52,7 +61,7 @@ def _in(names):
     f"FROM scaled WHERE feature IN {_in(CATEGORY_COLS)} GROUP BY cohort, feature, {r('value')}"))
 def category_by_label(spark, sf_dir):
     """Rows per (encoded category, label) for gender, race, marital."""
-    lg = prepared_long(spark, sf_dir).filter(F.col("feature").isin(CATEGORY_COLS))
+    lg = prepared_long(spark, sf_dir, CATEGORY_COLS)
     lg = lg.withColumn("category", F.round("value", 6) + F.lit(0.0))
     out = sx.category_label_counts(lg, "category", group_cols=["cohort", "feature"])
     return out.withColumnRenamed("feature", "column_name")
@@ -69,8 +78,7 @@ def _strat_cols():
     f"FROM scaled WHERE cohort = 'D1' AND feature IN {_in(_strat_cols())} GROUP BY feature)"))
 def stratified_means(spark, sf_dir):
     """D1 label-stratified means of the clinical and utilisation columns."""
-    lg = prepared_long(spark, sf_dir).filter((F.col("cohort") == "D1")
-                                            & F.col("feature").isin(_strat_cols()))
+    lg = prepared_long(spark, sf_dir, _strat_cols()).filter(F.col("cohort") == "D1")
     return rounded(sx.stratified_means(lg), 3)
 
 
@@ -156,9 +164,8 @@ def _top10_corr_features(lg):
     "GROUP BY feature", _corr_sql()).replace("$D1$", "'D1'").replace("$D2$", "'D2'"))
 def drift_table(spark, sf_dir):
     """Top-10 |r| features, mean and std on D1 train vs D2 train."""
-    lg = prepared_long(spark, sf_dir)
-    top = _top10_corr_features(lg)
-    tr = lg.filter((F.col("split") == "train") & F.col("feature").isin(top))
+    top = _top10_corr_features(prepared_long(spark, sf_dir))
+    tr = prepared_long(spark, sf_dir, top).filter(F.col("split") == "train")
     return rounded(sx.cohort_compare(tr), 3)
 
 
@@ -193,9 +200,8 @@ DRIFT_SRC = ("(SELECT cohort, feature, value FROM scaled WHERE split = 'train' A
 def drift_density(spark, sf_dir):
     """KDE curves (1000 points) of the top-10 |r| features, D1
     train vs D2 train."""
-    lg = prepared_long(spark, sf_dir)
-    top = _top10_corr_features(lg)
-    tr = lg.filter((F.col("split") == "train") & F.col("feature").isin(top))
+    top = _top10_corr_features(prepared_long(spark, sf_dir))
+    tr = prepared_long(spark, sf_dir, top).filter(F.col("split") == "train")
     k = sx.kde_curve(tr.select("cohort", "feature", "value"), ["cohort"], 1000)
     out = rounded(k.select("cohort", "feature", F.col("k").cast("int").alias("k"), "x"))
     return out.join(rounded(k.select("cohort", "feature", "k", "density"), 9)
@@ -247,8 +253,8 @@ def drift_histogram(spark, sf_dir):
     D1-train features, D1 train vs D2 train."""
     lg = prepared_long(spark, sf_dir).filter(F.col("split") == "train")
     top = [r_["feature"] for r_ in sx.variance_rank(lg.filter(F.col("cohort") == "D1"), 10).collect()]
-    h = sx.histogram(lg.filter(F.col("feature").isin(top)).select("cohort", "feature", "value"),
-                     25, ["cohort"])
+    sub = prepared_long(spark, sf_dir, top).filter(F.col("split") == "train")
+    h = sx.histogram(sub.select("cohort", "feature", "value"), 25, ["cohort"])
     return rounded(h.select("cohort", "feature", F.col("bin").cast("int"), "bin_lo", "bin_hi",
                             "count", "density"))
 
@@ -260,7 +266,7 @@ AGE_SRC = "(SELECT cohort, label, feature, value FROM scaled WHERE feature = 'ag
                                          _hist_sql(AGE_SRC, "cohort, label, feature", 30, "h")))
 def age_histogram_by_label(spark, sf_dir):
     """30-bin age density histogram per cohort and label."""
-    lg = prepared_long(spark, sf_dir).filter(F.col("feature") == "age")
+    lg = prepared_long(spark, sf_dir, ["age"])
     h = sx.histogram(lg.select("cohort", "label", "feature", "value"), 30, ["cohort", "label"])
     return rounded(h.select("cohort", "label", "feature", F.col("bin").cast("int"), "bin_lo",
                             "bin_hi", "count", "density"))
@@ -271,7 +277,7 @@ def age_histogram_by_label(spark, sf_dir):
     _kde_sql(AGE_SRC, "cohort, label, feature", 1000, None, "kd")))
 def age_kde_by_label(spark, sf_dir):
     """Age KDE (1000 points, Scott bandwidth) per cohort and label."""
-    lg = prepared_long(spark, sf_dir).filter(F.col("feature") == "age")
+    lg = prepared_long(spark, sf_dir, ["age"])
     k = sx.kde_curve(lg.select("cohort", "label", "feature", "value"), ["cohort", "label"], 1000)
     keys = ["cohort", "label", "feature", "k"]
     k = k.withColumn("k", F.col("k").cast("int"))
@@ -300,17 +306,15 @@ UTIL_SRC = ("(SELECT s.cohort, s.label, s.feature, least(s.value, c.cap) AS valu
 def utilization_box_stats(spark, sf_dir):
     """Utilisation columns capped at each cohort's p99, then
     box-plot statistics per label."""
-    lg = prepared_long(spark, sf_dir).filter(F.col("feature").isin(UTIL_FEATURES))
+    lg = prepared_long(spark, sf_dir, UTIL_FEATURES)
     capped = sx.clip_at_quantile(lg.select("cohort", "label", "feature", "value"), 0.99, ["cohort"])
     return rounded(sx.box_stats(capped, ["cohort", "label"]))
 
 
-def _panel_filter():
+def _in_panel(name: str) -> bool:
     """Named clinical panel plus, as stand-in panel, the average-cost columns
     (the stand-in observation means are too sparse to survive P3a)."""
-    present = F.col("feature").isin(CLINICAL_FEATURES)
-    standin = F.col("feature").startswith("avg_")
-    return present | standin
+    return name in CLINICAL_FEATURES or name.startswith("avg_")
 
 
 PANEL_SRC = ("(SELECT cohort, label, feature, value FROM scaled WHERE feature IN "
@@ -321,7 +325,7 @@ PANEL_SRC = ("(SELECT cohort, label, feature, value FROM scaled WHERE feature IN
 def clinical_box_stats(spark, sf_dir):
     """Box statistics of the clinical panel per cohort and label
     (named panel when present, else every observation mean)."""
-    lg = prepared_long(spark, sf_dir).filter(_panel_filter())
+    lg = prepared_long(spark, sf_dir, keep=_in_panel)
     return rounded(sx.box_stats(lg.select("cohort", "label", "feature", "value"), ["cohort", "label"]))
 
 
@@ -330,7 +334,7 @@ def clinical_box_stats(spark, sf_dir):
     _kde_sql(PANEL_SRC, "cohort, label, feature", 100, 0.0, "kd")))
 def violin_density(spark, sf_dir):
     """Violin curves -- KDE on 100 points within the data range."""
-    lg = prepared_long(spark, sf_dir).filter(_panel_filter())
+    lg = prepared_long(spark, sf_dir, keep=_in_panel)
     k = sx.kde_curve(lg.select("cohort", "label", "feature", "value"), ["cohort", "label"], 100,
                      cut=0.0)
     keys = ["cohort", "label", "feature", "k"]
