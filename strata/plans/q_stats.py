@@ -29,7 +29,7 @@ CATEGORY_COLS = ["GENDER", "RACE", "MARITAL"]
 SQRT_2PI = math.sqrt(2 * math.pi)
 
 
-def prepared_long(spark, sf_dir, features=None, keep=None):
+def prepared_long(spark, sf_dir, features=None, keep=None, cohort=None, split=None):
     """(cohort, split, PATIENT, label, feature, value) of the scaled cohorts.
 
     ``features`` (names) or ``keep`` (predicate on a name) select columns
@@ -43,6 +43,12 @@ def prepared_long(spark, sf_dir, features=None, keep=None):
     if keep is not None:
         feats = [f for f in feats if keep(f)]
     wide = tagged_splits(prepared)
+    # row filters before the unpivot too: Catalyst does not push a filter
+    # through the Expand that unpivot becomes
+    if cohort is not None:
+        wide = wide.filter(F.col("cohort") == cohort)
+    if split is not None:
+        wide = wide.filter(F.col("split") == split)
     return sx.to_long(wide, feats, ["cohort", "split", KEY, "label"])
 
 
@@ -78,7 +84,7 @@ def _strat_cols():
     f"FROM scaled WHERE cohort = 'D1' AND feature IN {_in(_strat_cols())} GROUP BY feature)"))
 def stratified_means(spark, sf_dir):
     """D1 label-stratified means of the clinical and utilisation columns."""
-    lg = prepared_long(spark, sf_dir, _strat_cols()).filter(F.col("cohort") == "D1")
+    lg = prepared_long(spark, sf_dir, _strat_cols(), cohort="D1")
     return rounded(sx.stratified_means(lg), 3)
 
 
@@ -113,11 +119,15 @@ def _d1_train_corr(lg):
     return sx.corr_with_label(lg.filter((F.col("cohort") == "D1") & (F.col("split") == "train")))
 
 
+def _d1_train_long(spark, sf_dir):
+    return prepared_long(spark, sf_dir, cohort="D1", split="train")
+
+
 @register("corr_with_label", _sql(
     f"SELECT feature, {r('r')} AS r, {r('abs_r')} AS abs_r FROM corr_rank", _corr_sql()))
 def corr_with_label(spark, sf_dir):
     """Pearson r of every feature with the label on D1 train."""
-    return rounded(_d1_train_corr(prepared_long(spark, sf_dir)))
+    return rounded(_d1_train_corr(_d1_train_long(spark, sf_dir)))
 
 
 @register("corr_top30", _sql(
@@ -125,7 +135,7 @@ def corr_with_label(spark, sf_dir):
     "FROM corr_rank WHERE rank <= 30", _corr_sql()))
 def corr_top30(spark, sf_dir):
     """The 30 features most correlated (|r|) with the label."""
-    top = sx.top_by_abs_corr(_d1_train_corr(prepared_long(spark, sf_dir)), 30)
+    top = sx.top_by_abs_corr(_d1_train_corr(_d1_train_long(spark, sf_dir)), 30)
     w = Window.orderBy(F.desc_nulls_last(F.round("abs_r", 9)), "feature")  # 30 rows
     return rounded(top.withColumn("rank", F.row_number().over(w).cast("int"))
                       .select("rank", "feature", "r", "abs_r"))
@@ -164,8 +174,8 @@ def _top10_corr_features(lg):
     "GROUP BY feature", _corr_sql()).replace("$D1$", "'D1'").replace("$D2$", "'D2'"))
 def drift_table(spark, sf_dir):
     """Top-10 |r| features, mean and std on D1 train vs D2 train."""
-    top = _top10_corr_features(prepared_long(spark, sf_dir))
-    tr = prepared_long(spark, sf_dir, top).filter(F.col("split") == "train")
+    top = _top10_corr_features(_d1_train_long(spark, sf_dir))
+    tr = prepared_long(spark, sf_dir, top, split="train")
     return rounded(sx.cohort_compare(tr), 3)
 
 
@@ -200,8 +210,8 @@ DRIFT_SRC = ("(SELECT cohort, feature, value FROM scaled WHERE split = 'train' A
 def drift_density(spark, sf_dir):
     """KDE curves (1000 points) of the top-10 |r| features, D1
     train vs D2 train."""
-    top = _top10_corr_features(prepared_long(spark, sf_dir))
-    tr = prepared_long(spark, sf_dir, top).filter(F.col("split") == "train")
+    top = _top10_corr_features(_d1_train_long(spark, sf_dir))
+    tr = prepared_long(spark, sf_dir, top, split="train")
     k = sx.kde_curve(tr.select("cohort", "feature", "value"), ["cohort"], 1000)
     out = rounded(k.select("cohort", "feature", F.col("k").cast("int").alias("k"), "x"))
     return out.join(rounded(k.select("cohort", "feature", "k", "density"), 9)
@@ -213,8 +223,7 @@ def drift_density(spark, sf_dir):
     "GROUP BY feature ORDER BY round(var_samp(value), 9) DESC NULLS LAST, feature LIMIT 10"))
 def variance_top10(spark, sf_dir):
     """Ten highest-variance features on D1 train."""
-    lg = prepared_long(spark, sf_dir).filter((F.col("cohort") == "D1") & (F.col("split") == "train"))
-    return rounded(sx.variance_rank(lg, 10))
+    return rounded(sx.variance_rank(_d1_train_long(spark, sf_dir), 10))
 
 
 def _hist_sql(src: str, keys: str, bins: int, name: str) -> list[str]:
@@ -251,9 +260,8 @@ def _hist_final(keys):
 def drift_histogram(spark, sf_dir):
     """X10 variant / X4: 25-bin density histograms of the ten highest-variance
     D1-train features, D1 train vs D2 train."""
-    lg = prepared_long(spark, sf_dir).filter(F.col("split") == "train")
-    top = [r_["feature"] for r_ in sx.variance_rank(lg.filter(F.col("cohort") == "D1"), 10).collect()]
-    sub = prepared_long(spark, sf_dir, top).filter(F.col("split") == "train")
+    top = [r_["feature"] for r_ in sx.variance_rank(_d1_train_long(spark, sf_dir), 10).collect()]
+    sub = prepared_long(spark, sf_dir, top, split="train")
     h = sx.histogram(sub.select("cohort", "feature", "value"), 25, ["cohort"])
     return rounded(h.select("cohort", "feature", F.col("bin").cast("int"), "bin_lo", "bin_hi",
                             "count", "density"))
