@@ -109,7 +109,7 @@ def date_parsing(spark, sf_dir):
 
 
 @register("age_features", compose(["patients"], [], (
-    f"SELECT Id AS PATIENT, round(date_diff('day', BIRTHDATE, DATE '{st.STANDIN_REF_DATE}') / 365.25, 1) AS age, "
+    f"SELECT Id AS PATIENT, round(date_diff('day', BIRTHDATE, DATE '{st.STANDIN_REF_DATE}') / 365.25, 1) + 0.0 AS age, "
     f"CAST(floor(date_diff('day', BIRTHDATE, DATE '{st.STANDIN_REF_DATE}') / 365.0) AS BIGINT) AS age_floor, "
     "CAST(DEATHDATE IS NOT NULL AS INTEGER) AS is_deceased, "
     "coalesce(MARITAL, 'Unknown') AS marital_filled FROM patients")))
@@ -117,7 +117,8 @@ def age_features(spark, sf_dir):
     """Canonical and floor ages, deceased flag, NULL category fill."""
     p = st.load_ehr(spark, sf_dir)["patients"]
     ref = F.to_date(F.lit(st.STANDIN_REF_DATE))
-    return p.select(F.col("Id").alias("PATIENT"), fs.age_years("BIRTHDATE", ref).alias("age"),
+    # + 0.0: one zero for newborns in every engine (no -0.0)
+    return p.select(F.col("Id").alias("PATIENT"), (fs.age_years("BIRTHDATE", ref) + F.lit(0.0)).alias("age"),
                     fs.age_floor_years("BIRTHDATE", ref).alias("age_floor"),
                     fs.deceased_flag("DEATHDATE").alias("is_deceased"),
                     F.coalesce(F.col("MARITAL"), F.lit("Unknown")).alias("marital_filled"))
