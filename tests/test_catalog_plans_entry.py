@@ -37,8 +37,6 @@ def test_registry_contract():
     import __spark_entry__ as E
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 60
-    for name in q:
-        assert not name.startswith("op") and "pipeline" not in name
 
 
 def test_entry_runs_on_smoke_data(spark):
