@@ -35,3 +35,22 @@ def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.recompression import remove_repeated_words
     out = remove_repeated_words(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@_query
+def op7_elias_fano_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files written in doc_id order and read back."""
+    import public_tokenizers
+    from strata.llm.token_files import read_token_files, write_token_files
+    folder, manifest = write_token_files(read_table(spark, sf_dir, "documents"),
+                                         public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(folder, manifest, with_ids=False)
+
+
+@_query
+def op10_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE round trip of every whole text."""
+    import public_tokenizers
+    from strata.llm.byte_bpe import round_trip
+    return round_trip(read_table(spark, sf_dir, "documents"),
+                      public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
