@@ -54,3 +54,37 @@ def op10_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.byte_bpe import round_trip
     return round_trip(read_table(spark, sf_dir, "documents"),
                       public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def _every_fiftieth(c):
+    return c % 50 == 0
+
+
+@_query
+def op2_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact five largest integer inner products of every fiftieth vector."""
+    from strata.llm.mtree import top_inner_products
+    return top_inner_products(read_table(spark, sf_dir, "embeddings"), _every_fiftieth, k=5)
+
+
+ORACLE["op2_mtree_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
+
+@_query
+def op3_vptree_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest neighbours found by cosine for every fiftieth vector."""
+    from strata.llm.vptree import nearest_by_cosine
+    return nearest_by_cosine(read_table(spark, sf_dir, "embeddings"), _every_fiftieth, k=5)
