@@ -88,3 +88,10 @@ def op3_vptree_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest neighbours found by cosine for every fiftieth vector."""
     from strata.llm.vptree import nearest_by_cosine
     return nearest_by_cosine(read_table(spark, sf_dir, "embeddings"), _every_fiftieth, k=5)
+
+
+@_query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents linked by 5-word shingles at Jaccard 0.75."""
+    from strata.llm.ngram_join import near_duplicate_classes
+    return near_duplicate_classes(read_table(spark, sf_dir, "documents"))
