@@ -95,3 +95,10 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents linked by 5-word shingles at Jaccard 0.75."""
     from strata.llm.ngram_join import near_duplicate_classes
     return near_duplicate_classes(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_multinomial_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document taken by the mix of sources."""
+    from strata.llm.mixing import mixed_words
+    return mixed_words(read_table(spark, sf_dir, "documents"))
