@@ -102,3 +102,16 @@ def op4_multinomial_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document taken by the mix of sources."""
     from strata.llm.mixing import mixed_words
     return mixed_words(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text."""
+    from pyspark.sql import functions as F
+
+    from strata.llm.crf import fit, held_out, score
+    docs = read_table(spark, sf_dir, "documents")
+    scored = score(docs, fit(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+                         F.size("offsets").alias("n_spans"))
