@@ -372,7 +372,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_pieces
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
           keep: list[str] | None = None) -> DataFrame:
     """``OUT`` for every row; ``keep`` names columns of ``docs`` to carry."""
-    keep = keep or []
+    every = keep or []
+    keep = [c for c in every if c != text_col]             # the text travels once
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("__text"),
                        *[F.col(c).alias(f"__{i}") for i, c in enumerate(keep)])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most most_signs signs
@@ -393,11 +394,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 batch.column(0), pa.array(s, pa.float64()), pa.array(n_tokens, pa.int64()),
                 pa.array(expected, pa.float64()),
                 pa.array(offsets, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))),
+                batch.column(1) if text_col in every else pa.nulls(batch.num_rows, pa.string()),
                 *[batch.column(2 + i) for i in range(len(keep))]],
-                names=["doc_id", "score", "n_tokens", "expected_toxic", "offsets",
+                names=["doc_id", "score", "n_tokens", "expected_toxic", "offsets", "__text",
                        *[f"__{i}" for i in range(len(keep))]])
 
-    kinds = ", ".join(f"__{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    out = rows.mapInArrow(run, OUT + (", " + kinds if kinds else ""))
-    return out.select("doc_id", "score", "n_tokens", "expected_toxic", "offsets",
-                      *[F.col(f"__{i}").alias(c) for i, c in enumerate(keep)])
+    kinds = "".join(f", __{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
+    out = rows.mapInArrow(run, OUT + ", __text string" + kinds)
+    carried = [F.col("__text" if c == text_col else f"__{keep.index(c)}").alias(c) for c in every]
+    names = ["doc_id", "score", "n_tokens", "expected_toxic", "offsets"]
+    return out.select(*[n for n in names if n not in every], *carried)

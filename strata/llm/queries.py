@@ -115,3 +115,14 @@ def op1_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
                          F.size("offsets").alias("n_spans"))
+
+
+PII_KEY = b"surrogates of the corpus"
+
+
+@_query
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with surrogates in place of personal data."""
+    from strata.llm.surrogates import replace_pii
+    out = replace_pii(read_table(spark, sf_dir, "documents"), PII_KEY)
+    return out.select("doc_id", "text", "n_entities")
