@@ -11,9 +11,9 @@ Each window of ``width`` words is followed through the levels as an interval
 of symbols. At each level the symbols at its two ends that may be parsed
 differently outside (the first and last run; a right-class first symbol, a
 left-class last one) are taken off and folded into the window's signature;
-what is left has the same parse in every occurrence. The leftmost interior
-symbol of the highest level reached is the window's anchor. Anchors found in
-more than one document reveal candidate repeats; equal signatures verify
+what is left has the same parse in every occurrence. The interior symbols of
+the highest level that leaves two or more are, as one name, the window's
+anchor. Anchors found in more than one document reveal candidate repeats; equal signatures verify
 them (64 bits; two different windows of a corpus of 10**12 windows under one
 anchor collide with probability far below 10**-9 per bucket).
 
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from strata.llm import repeats as rp
-from strata.llm.textarrays import Texts, combine, mix, word_bounds, word_hashes
+from strata.llm.textarrays import Texts, combine, mix, run_hash, word_bounds, word_hashes
 
 WIDTH = 13
 OUT = "doc_id long, text string, n_words long, n_removed long, kept_sha256 string"
@@ -74,6 +74,9 @@ def window_signatures(sym: np.ndarray, row: np.ndarray, width: int = WIDTH):
         sig[who[done]] = s
         anchor[who[done]] = np.where(best[done] == 0, s, best[done])
 
+    def anchored(best, sym, lo, hi):
+        return np.where((hi - lo >= 2) | (best == 0), run_hash(sym, lo, hi), best)
+
     level = 0
     while len(who):
         start, end, run, name = _renamed(sym, row, level)
@@ -94,7 +97,7 @@ def window_signatures(sym: np.ndarray, row: np.ndarray, width: int = WIDTH):
         if not len(who):
             break
         is_left = (mix(sym + np.uint64(7919 * (level + 1))) & np.uint64(1)).astype(bool)
-        best = sym[lo]
+        best = anchored(best, sym, lo, hi)
         pop = ~is_left[lo]                              # may close a pair begun outside
         left = np.where(pop, combine(left, sym[lo]), left)
         lo = lo + pop
@@ -118,7 +121,7 @@ def window_signatures(sym: np.ndarray, row: np.ndarray, width: int = WIDTH):
         sym, row = joined[~second], row[~second]
         if len(who):
             lo, hi = at[lo], at[hi - 1] + 1
-            best = sym[lo]
+            best = anchored(best, sym, lo, hi)
         level += 1
     return first, sig, anchor
 

@@ -109,9 +109,9 @@ def ask_runs(windows_of, run_keys, run_payload, buckets: int, width: int):
         sent, b = sent[o], b[o]
         for bk, i, j in ch.by_bucket(b):
             pick = sent[i:j]
-            head = np.stack([row[pick], w.start[first[pick]], count[pick], t.ids[row[pick]]])
+            head = np.stack([row[pick], w.start[first[pick]], count[pick]]).astype(np.uint32)
             body = run_payload(t, w, first[pick], count[pick])
-            parts.append((bk, np.int64(len(pick)).tobytes() + head.astype(np.int64).tobytes() + body))
+            parts.append((bk, np.int64(len(pick)).tobytes() + t.ids[row[pick]].tobytes() + head.tobytes() + body))
         return ch.ask_table(chunk, parts)
     return ask
 
@@ -125,13 +125,15 @@ def answer_runs(flag_windows, width: int):
         if table.column("bucket")[0].as_py() == _LOCAL:
             return ch.answer_table(SPANS, list(zip(table.column("chunk").to_pylist(), ch.payloads(table))))
         asks = sorted(zip(table.column("chunk").to_pylist(), ch.payloads(table)))
-        heads, bodies = [], []
+        heads, ids, bodies = [], [], []
         for _, p in asks:
             n = int(np.frombuffer(p, np.int64, 1)[0])
-            heads.append(np.frombuffer(p, np.int64, 4 * n, offset=8).reshape(4, n))
-            bodies.append(p[8 + 32 * n:])
+            ids.append(np.frombuffer(p, np.int64, n, offset=8))
+            heads.append(np.frombuffer(p, np.uint32, 3 * n, offset=8 + 8 * n).reshape(3, n))
+            bodies.append(p[8 + 20 * n:])
         owner = np.repeat(np.arange(len(asks)), [h.shape[1] for h in heads])
-        row, start, count, ids = np.concatenate(heads, axis=1)
+        ids = np.concatenate(ids)
+        row, start, count = np.concatenate(heads, axis=1).astype(np.int64)
         flags = flag_windows(bodies, count, ids)
         run = np.repeat(np.arange(len(count)), count)
         at = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)

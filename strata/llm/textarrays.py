@@ -128,6 +128,14 @@ def slice_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(np.uint64) * _ODD)
 
 
+def run_hash(sym: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of symbol runs [start, end), independent of their place."""
+    power, inv = _powers(len(sym) + 1)
+    p = np.zeros(len(sym) + 1, dtype=np.uint64)
+    np.cumsum(mix(sym) * power[:len(sym)], out=p[1:])
+    return mix((p[end] - p[start]) * inv[start])
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray):
     """Starts and ends of words [^\\x20\\x09-\\x0D]+ and the row each lies in.
 
