@@ -16,37 +16,41 @@ from pyspark.sql import functions as F
 from strata.session import materialize
 
 
+def _step(hooks: DataFrame) -> DataFrame:
+    """Hooks followed two steps further."""
+    nxt = hooks.toDF("to", "further")
+    for _ in range(2):
+        hooks = hooks.join(nxt, "to", "left").select("v", F.coalesce("further", "to").alias("to"))
+    return hooks
+
+
 def _roots(hooks: DataFrame) -> DataFrame:
-    """(v, to) with ``to`` replaced by the end of its chain of hooks."""
+    """(v, to) with ``to`` replaced by the end of its chain of hooks; every
+    round at least triples the length of chain that is resolved."""
     while True:
-        nxt = hooks.select(F.col("v").alias("to"), F.col("to").alias("further"))
-        stepped = materialize(hooks.join(nxt, "to", "left").select(
-            "v", F.coalesce("further", "to").alias("to"),
-            (F.col("further").isNotNull() & (F.col("further") != F.col("to"))).alias("moved")), "hooks")
-        moved = stepped.filter("moved").limit(1).count()
-        hooks = stepped.select("v", "to")
-        if not moved:
-            return hooks
+        stepped = materialize(_step(hooks), "hooks")
+        nxt = stepped.filter("v <> to").toDF("to", "further")
+        if not stepped.join(nxt, "to", "left_semi").limit(1).count():
+            return stepped
+        hooks = stepped
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component): the smallest id reachable, for every end point."""
-    pairs = edges.select(F.col(a).cast("long").alias("x"), F.col(b).cast("long").alias("y"))
-    live = materialize(pairs.filter("x <> y").union(pairs.filter("x <> y").select("y", "x")).distinct(), "edges")
+    """(node, component): the smallest id reachable, for every end point of
+    an edge that is not a loop."""
+    pairs = edges.select(F.col(a).cast("long").alias("x"), F.col(b).cast("long").alias("y")).filter("x <> y")
+    live = materialize(pairs.union(pairs.select("y", "x")).distinct(), "edges")
     labels = None
     while live.limit(1).count():
         hooks = live.groupBy(F.col("x").alias("v")).agg(F.min("y").alias("y")) \
             .select("v", F.least("v", "y").alias("to"))
         roots = _roots(materialize(hooks, "hooks"))
-        if labels is None:
-            labels = roots.select(F.col("v").alias("node"), F.col("to").alias("component"))
-        else:
-            labels = materialize(labels.join(roots, labels["component"] == roots["v"], "left").select(
-                "node", F.coalesce("to", "component").alias("component")), "labels")
-        end = roots.select(F.col("v").alias("y"), F.col("to").alias("ty"))
-        moved = (live.join(roots.withColumnRenamed("v", "x").withColumnRenamed("to", "tx"), "x")
-                 .join(end, "y").filter("tx <> ty").select(F.col("tx").alias("x"), F.col("ty").alias("y")))
+        moved = (live.join(roots.toDF("x", "tx"), "x").join(roots.toDF("y", "ty"), "y")
+                 .filter("tx <> ty").select(F.col("tx").alias("x"), F.col("ty").alias("y")))
         live = materialize(moved.distinct(), "edges")
+        labels = roots.toDF("node", "component") if labels is None else materialize(
+            labels.join(roots.toDF("component", "to"), "component", "left").select(
+                "node", F.coalesce("to", "component").alias("component")), "labels")
     if labels is None:
-        return pairs.select(F.col("x").alias("node"), F.col("y").alias("component")).filter(F.lit(False))
+        return pairs.toDF("node", "component").filter(F.lit(False))
     return labels

@@ -187,18 +187,18 @@ def _linked(a: bytes, b: bytes, na: int, nb: int, percent: int, ranges: int = 16
 
 
 def _verify(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) of candidate pairs (a, b) of representatives."""
-    side = reps.select("rep", "n", "elements")
-    full = (pairs.join(side.toDF("b", "nb", "eb"), "b").join(side.toDF("a", "na", "ea"), "a")
-            .select("a", "b", "na", "nb", "ea", "eb"))
+    """(a, b, la, lb, linked) of candidate pairs of representatives and their
+    classes; ``reps`` (rep, n, elements) is dealt by rep."""
+    full = (pairs.join(reps.toDF("b", "nb", "eb"), "b").join(reps.toDF("a", "na", "ea"), "a")
+            .select("a", "b", "na", "nb", "ea", "eb", "la", "lb"))
 
     def run(batches):
         for batch in batches:
-            a, b, na, nb, ea, eb = (batch.column(i) for i in range(6))
+            a, b, na, nb, ea, eb, la, lb = batch.columns
             ok = [_linked(ea[i].as_py(), eb[i].as_py(), na[i].as_py(), nb[i].as_py(), percent)
                   for i in range(batch.num_rows)]
-            yield pa.record_batch({"a": a, "b": b, "linked": pa.array(ok, pa.bool_())})
-    return full.mapInArrow(run, "a long, b long, linked boolean")
+            yield pa.record_batch({"a": a, "b": b, "la": la, "lb": lb, "linked": pa.array(ok, pa.bool_())})
+    return full.mapInArrow(run, "a long, b long, la long, lb long, linked boolean")
 
 
 def _length_ok(na, nb, percent: int):
@@ -237,59 +237,65 @@ def near_duplicate_classes(docs: DataFrame, width: int = WIDTH, percent: int = P
     postings = materialize(postings.join(shared, "g"), "postings")
     total = postings.count()
 
-    links = None                                          # verified links
-    tested = None                                         # every pair verified so far
-    labels = None
+    # Verification reads the elements in every round: dealt by representative
+    # once, kept by Spark (lost blocks are recomputed from the written table).
+    sides = reps.select("rep", "n", "elements").repartition("rep").persist()
 
-    def labelled() -> DataFrame:
+    labels = None                                         # (node, component) of linked representatives
+    rows = postings.withColumn("label", F.col("rep"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Verify, merge the classes of new links; (class, its new class)."""
+        nonlocal labels
+        done = materialize(_verify(materialize(pairs, "pairs"), sides, percent), "verified")
+        merged = connected_components(done.filter("linked").select("la", "lb"), "la", "lb")
         if labels is None:
-            return postings.withColumn("label", F.col("rep"))
-        lab = labels.select(F.col("node").alias("rep"), F.col("component").alias("label"))
-        return postings.join(lab, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-
-    def tell(pairs: DataFrame):
-        nonlocal links, tested, labels
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        done = materialize(_verify(materialize(pairs, "pairs"), reps, percent), "verified")
-        tested = done.select("a", "b") if tested is None else tested.union(done.select("a", "b"))
-        new = done.filter("linked").select("a", "b")
-        links = new if links is None else links.union(new)
-        labels = connected_components(links)
-
-    def open_lists(rows: DataFrame) -> DataFrame:
-        """Postings of elements that still touch several classes."""
+            labels = merged
+        else:
+            old = labels.join(merged.toDF("component", "to"), "component", "left") \
+                .select("node", F.coalesce("to", "component").alias("component"))
+            fresh = merged.join(labels.select("node"), "node", "left_anti")
+            labels = materialize(old.unionByName(fresh), "labels")
+        return merged
+
+    def still_open(rows: DataFrame, merged: DataFrame | None) -> DataFrame:
+        """Postings, newly labelled, of elements that touch several classes.
+        Classes only grow, so an element once closed stays closed."""
+        if merged is not None:
+            rows = rows.join(merged.toDF("label", "to"), "label", "left") \
+                .select("g", "rep", "n", "place", F.coalesce("to", "label").alias("label"))
         span = rows.groupBy("g").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
             .filter("l0 <> l1").select("g")
-        return rows.join(span, "g")
+        return materialize(rows.join(span, "g").select("g", "rep", "n", "place", "label"), "open")
 
+    rows = materialize(rows.select("g", "rep", "n", "place", "label"), "open")
     for turn in range(STAR_ROUNDS):
-        rows = materialize(open_lists(labelled()), "open")
         per = rows.groupBy("g", "label").agg(F.count(F.lit(1)).cast("double").alias("c")) \
             .groupBy("g").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
         left = per.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
-        if left <= 2 * total:
+        if left <= total:
             break
         order = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "label")
         hub = rows.groupBy("g").agg(F.min(order).alias("hub"))
-        pairs = (rows.join(hub, "g").filter(F.col("label") != F.col("hub.label"))
+        mine, other = F.col("rep") < F.col("hub.rep"), F.col("hub.label")
+        pairs = (rows.join(hub, "g").filter(F.col("label") != other)
                  .filter(_length_ok(F.col("n"), F.col("hub.n"), percent))
-                 .select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"))
-                 .distinct())
-        tell(pairs)
-    else:
-        rows = materialize(open_lists(labelled()), "open")
+                 .select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"),
+                         F.when(mine, F.col("label")).otherwise(other).alias("la"),
+                         F.when(mine, other).otherwise(F.col("label")).alias("lb")).distinct())
+        rows = still_open(rows, verified(pairs))
     x = rows.select("g", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"),
                     F.col("label").alias("la"))
     y = rows.select("g", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"),
                     F.col("label").alias("lb"))
     shared_places = (x.join(y, "g").filter("a < b AND la <> lb")
                      .filter(_length_ok(F.col("na"), F.col("nb"), percent))
-                     .groupBy("a", "b", "na", "nb")
+                     .groupBy("a", "b", "na", "nb", "la", "lb")
                      .agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb")))
     need = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent) - 1e-9)
     possible = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    tell(shared_places.filter(possible >= need).select("a", "b"))
+    verified(shared_places.filter(possible >= need).select("a", "b", "la", "lb"))
+    sides.unpersist()
 
     # rows sharing a doc_id are one node
     row_rep = cand.select("doc_id", *keys).join(rep_of.select("rep", *keys), keys)
@@ -297,7 +303,8 @@ def near_duplicate_classes(docs: DataFrame, width: int = WIDTH, percent: int = P
     joined = row_rep.select("doc_id", "rep").join(same.filter("a <> b").select("doc_id", "a"), "doc_id") \
         .filter("rep <> a").select("a", F.col("rep").alias("b"))
     if joined.limit(1).count():
-        labels = connected_components(links.union(joined))
+        known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = connected_components(known.union(joined))
     classes = rep_of.join(labels.withColumnRenamed("node", "rep"), "rep", "left") \
         .select(*keys, F.coalesce("component", "rep").alias("component"))
     out = sets.select("doc_id", *keys, "candidate") \
