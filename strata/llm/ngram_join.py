@@ -20,11 +20,12 @@ Method: rare-first prefix filtering.
 
 Large groups of near copies would give all their pairs in step 4. Verified
 links already joining two documents make their pair redundant for the class,
-so step 4 first runs *star* rounds (each prefix element pairs one hub with
-its other documents) while the pairs still joining different classes outnumber
-the postings, then takes every remaining pair of different classes. No link
-between different classes is lost, and no list is expanded into all pairs of
-one class.
+so step 4 first runs a *star* round: each prefix element pairs its other
+documents with one hub, the text with the fewest elements of its own (the one
+the others were copied from). Further rounds with other hubs follow while the
+pairs of different classes outnumber the postings by far; then every remaining
+pair of different classes is taken. No link between different classes is lost,
+and no list is expanded into all pairs of one class.
 
 Hashes are 64 bits for shingles; sets are compared by them.
 
@@ -50,7 +51,7 @@ from strata.session import materialize
 WIDTH = 5
 PERCENT = 75
 FREQUENCY = 3
-STAR_ROUNDS = 6
+STAR_ROUNDS = 4
 SETS = ("doc_id long, n long, key1 long, key2 long, candidate boolean, "
         "grams array<long>, places array<int>, elements binary")
 _U = np.uint64
@@ -231,8 +232,10 @@ def near_duplicate_classes(docs: DataFrame, width: int = WIDTH, percent: int = P
     reps = (cand.join(rep_of, keys).filter(F.col("doc_id") == F.col("rep"))
             .dropDuplicates(["rep", *keys]))
     reps = materialize(reps.select("rep", "n", "grams", "places", "elements"), "representatives")
-    postings = (reps.select("rep", "n", F.explode(F.arrays_zip("grams", "places")).alias("p"))
-                .select(F.col("p.grams").alias("g"), "rep", "n", F.col("p.places").alias("place")))
+    # alone: elements no other document has; the places of a prefix start there
+    postings = (reps.select("rep", "n", F.element_at("places", 1).alias("alone"),
+                            F.explode(F.arrays_zip("grams", "places")).alias("p"))
+                .select(F.col("p.grams").alias("g"), "rep", "n", "alone", F.col("p.places").alias("place")))
     shared = postings.groupBy("g").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("g")
     postings = materialize(postings.join(shared, "g"), "postings")
     total = postings.count()
@@ -263,38 +266,44 @@ def near_duplicate_classes(docs: DataFrame, width: int = WIDTH, percent: int = P
         Classes only grow, so an element once closed stays closed."""
         if merged is not None:
             rows = rows.join(merged.toDF("label", "to"), "label", "left") \
-                .select("g", "rep", "n", "place", F.coalesce("to", "label").alias("label"))
+                .select("g", "rep", "n", "alone", "place", F.coalesce("to", "label").alias("label"))
         span = rows.groupBy("g").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
             .filter("l0 <> l1").select("g")
-        return materialize(rows.join(span, "g").select("g", "rep", "n", "place", "label"), "open")
+        return materialize(rows.join(span, "g").select("g", "rep", "n", "alone", "place", "label"), "open")
+
+    def may_link(na, pa, ua, nb, pb, ub):
+        """Length and positional filters of a pair sharing the elements at
+        places pa and pb; ua and ub elements are its sides' own. No more
+        elements can be common than lie before, at and after them."""
+        need = F.ceil((na + nb) * percent / (100 + percent) - 1e-9)
+        return (_length_ok(na, nb, percent)
+                & (F.least(pa - ua, pb - ub) + F.least(na - pa, nb - pb) >= need))
 
-    rows = materialize(rows.select("g", "rep", "n", "place", "label"), "open")
     for turn in range(STAR_ROUNDS):
-        per = rows.groupBy("g", "label").agg(F.count(F.lit(1)).cast("double").alias("c")) \
-            .groupBy("g").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-        left = per.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
-        if left <= total:
-            break
-        order = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "label")
+        if turn:
+            per = rows.groupBy("g", "label").agg(F.count(F.lit(1)).cast("double").alias("c")) \
+                .groupBy("g").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+            left = per.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
+            if left <= 4 * total:
+                break
+        # the text the others were copied from has the fewest elements of its own
+        order = F.struct(F.col("alone") if turn == 0 else F.xxhash64("rep", F.lit(turn)).alias("h"),
+                         "rep", "n", "label", "place", F.col("alone").alias("own"))
         hub = rows.groupBy("g").agg(F.min(order).alias("hub"))
         mine, other = F.col("rep") < F.col("hub.rep"), F.col("hub.label")
         pairs = (rows.join(hub, "g").filter(F.col("label") != other)
-                 .filter(_length_ok(F.col("n"), F.col("hub.n"), percent))
+                 .filter(may_link(F.col("n"), F.col("place"), F.col("alone"),
+                                  F.col("hub.n"), F.col("hub.place"), F.col("hub.own")))
                  .select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"),
                          F.when(mine, F.col("label")).otherwise(other).alias("la"),
                          F.when(mine, other).otherwise(F.col("label")).alias("lb")).distinct())
         rows = still_open(rows, verified(pairs))
-    x = rows.select("g", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"),
-                    F.col("label").alias("la"))
-    y = rows.select("g", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"),
-                    F.col("label").alias("lb"))
-    shared_places = (x.join(y, "g").filter("a < b AND la <> lb")
-                     .filter(_length_ok(F.col("na"), F.col("nb"), percent))
-                     .groupBy("a", "b", "na", "nb", "la", "lb")
-                     .agg(F.count(F.lit(1)).alias("c"), F.max("pa").alias("pa"), F.max("pb").alias("pb")))
-    need = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent) - 1e-9)
-    possible = F.col("c") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    verified(shared_places.filter(possible >= need).select("a", "b", "la", "lb"))
+    x = rows.toDF("g", "a", "na", "ua", "pa", "la")
+    y = rows.toDF("g", "b", "nb", "ub", "pb", "lb")
+    pairs = (x.join(y, (x["g"] == y["g"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))
+                    & may_link(*(F.col(c) for c in ("na", "pa", "ua", "nb", "pb", "ub"))))
+             .select("a", "b", "la", "lb").distinct())
+    verified(pairs)
     sides.unpersist()
 
     # rows sharing a doc_id are one node
