@@ -140,9 +140,9 @@ class Codec:
             self._ids.clear()
             self._text.clear()
         cut = [self._cut.findall(t) for t in texts]
-        new = set().union(*cut) - self._ids.keys()
+        new = [p for p in set().union(*cut) if p not in self._ids]
         if new:
-            self._encode_new(list(new))
+            self._encode_new(new)
         return cut
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:

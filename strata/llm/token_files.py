@@ -87,8 +87,9 @@ class WordEncoder:
         if len(self._grams) > MEMO:
             self._grams.clear()
         words = self._space.findall(text)
-        for w in set(words) - self._words.keys():
-            self._words[w] = self._word(w)
+        for w in set(words):
+            if w not in self._words:
+                self._words[w] = self._word(w)
         return np.frombuffer(b"".join(map(self._words.__getitem__, words)), np.uint32)
 
 
