@@ -24,85 +24,56 @@ def with_class_weights(df: DataFrame, label: str = LABEL, out: str = "weight") -
 
 # ----------------------------------------------------------------- SMOTE
 
-def _sq_dist(a, b):
-    """Squared Euclidean distance of two equal-length double arrays."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0),
-                       lambda acc, v: acc + v)
-
-
 def knn_within(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
-               max_cells_per_dim: int = 256) -> DataFrame:
+               block_rows: int = 2048) -> DataFrame:
     """Exact k nearest neighbours of every point among the same points.
 
-    No all-pairs join. Two pivot keys per point: key1 = distance to the
-    centroid, key2 = distance to the point farthest from it.
-    (1) Neighbours by rank in each key (+-k positions: a bounded candidate
-    set) give an upper bound r of each point's k-th neighbour distance.
-    (2) By the triangle inequality every true neighbour x of q satisfies
-    |key_i(x) - key_i(q)| <= d(q, x) <= r_q for both keys, so an equi-join on
-    2-D key cells covering the box [key1 +- r] x [key2 +- r] finds all of
-    them; exact distances pick the k smallest (ties by id). Two keys keep
-    points that share a distance to the centroid (a shell) apart.
-    Returns (id, nbr_id, rank, dist).
+    In high dimension no bound prunes much, so the search is blocked: points
+    are dealt by a hash of their id to blocks of about ``block_rows``; every
+    ordered pair of blocks is one group that compares its points as matrices
+    and keeps k rows per point, so no key is hot, memory is two blocks, and k
+    rows per point and block leave a group. A ranked window merges them (ties
+    by id). The quadratic work is inherent to exact search and spreads over
+    blocks squared groups. Returns (id, nbr_id, rank, dist).
     """
-    from strata.operators.ranking import exact_row_number
+    import math
+
+    import numpy as np
+    import pandas as pd
 
-    pts = points.select(F.col(id_col).alias("id"),
+    pts = points.select(F.col(id_col).cast("long").alias("id"),
                         F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vec"))
-    cen = {r["i"]: r["c"] for r in pts.select(F.posexplode("vec").alias("i", "v"))
-                                     .groupBy("i").agg(F.avg("v").alias("c")).collect()}
-    c1 = F.array(*[F.lit(float(cen[i] or 0.0)) for i in range(len(cen))])
-    k1 = pts.withColumn("key1", F.sqrt(_sq_dist(F.col("vec"), c1)))
-    far = k1.agg(F.max_by("vec", F.struct("key1", "id")).alias("p")).first()["p"]
-    c2 = F.array(*[F.lit(float(v)) for v in far])
-    keyed = k1.withColumn("key2", F.sqrt(_sq_dist(F.col("vec"), c2)))
-    # (1) bounded candidates: +-k positions in each key order
-    offs = [o for o in range(-k, k + 1) if o != 0]
-    cands = None
-    for key in ("key1", "key2"):
-        ranked = exact_row_number(keyed.select("id", "vec", key), [F.col(key), F.col("id")], (),
-                                  out="pos")
-        probe = (ranked.select("id", "vec", "pos", F.explode(F.array(*[F.lit(o) for o in offs]))
-                               .alias("o"))
-                       .withColumn("cpos", F.col("pos") + F.col("o")))
-        cand = probe.alias("q").join(ranked.alias("c"), F.col("q.cpos") == F.col("c.pos")).select(
-            F.col("q.id").alias("id"), F.col("c.id").alias("cid"),
-            F.sqrt(_sq_dist(F.col("q.vec"), F.col("c.vec"))).alias("d"))
-        cands = cand if cands is None else cands.unionByName(cand)
-    cands = cands.dropDuplicates(["id", "cid"])
-    w = Window.partitionBy("id").orderBy("d", "cid")
-    radius = (cands.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-                   .groupBy("id").agg(F.max("d").alias("r")))
-    q = keyed.join(radius, "id", "left")
-    st = q.agg(F.expr("percentile_approx(r, 0.5)").alias("w"), F.max("r").alias("rmax"),
-               F.min("key1").alias("lo1"), F.max("key1").alias("hi1"),
-               F.min("key2").alias("lo2"), F.max("key2").alias("hi2")).first()
-    extent = max((st["hi1"] or 0.0) - (st["lo1"] or 0.0), (st["hi2"] or 0.0) - (st["lo2"] or 0.0))
-    width = max(st["w"] or 0.0, extent / max_cells_per_dim, 1e-12)
-    big = float(st["rmax"] or 0.0) + extent + 1.0     # a point with < k partners sees everything
-    q = q.withColumn("r", F.coalesce(F.col("r"), F.lit(big)))
-
-    def cells(key, lo_v, hi_v):
-        lo = F.greatest(F.floor((F.col(key) - F.col("r")) / F.lit(width)), F.lit(int(lo_v // width)))
-        hi = F.least(F.floor((F.col(key) + F.col("r")) / F.lit(width)), F.lit(int(hi_v // width)))
-        return F.explode(F.sequence(lo.cast("long"), hi.cast("long")))
-
-    qs = (q.select("id", "vec", "key1", "key2", "r", cells("key1", st["lo1"], st["hi1"]).alias("b1"))
-           .select("*", cells("key2", st["lo2"], st["hi2"]).alias("b2")))
-    xs = keyed.select("id", "vec", "key1", "key2",
-                      F.floor(F.col("key1") / F.lit(width)).cast("long").alias("b1"),
-                      F.floor(F.col("key2") / F.lit(width)).cast("long").alias("b2"))
-    j = qs.alias("q").join(
-        xs.alias("x"),
-        (F.col("q.b1") == F.col("x.b1")) & (F.col("q.b2") == F.col("x.b2"))
-        & (F.col("q.id") != F.col("x.id"))
-        & (F.abs(F.col("q.key1") - F.col("x.key1")) <= F.col("q.r"))
-        & (F.abs(F.col("q.key2") - F.col("x.key2")) <= F.col("q.r")))
-    dist = j.select(F.col("q.id").alias("id"), F.col("x.id").alias("nbr_id"),
-                    F.sqrt(_sq_dist(F.col("q.vec"), F.col("x.vec"))).alias("dist"))
+    n = pts.count()
+    blocks = max(1, math.ceil(n / block_rows))
+    dealt = pts.withColumn("mine", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = dealt.withColumn("other", every)
+    right = dealt.select("id", "vec", F.col("mine").alias("other")).withColumn("mine", every)
+
+    def nearest(a, b):
+        out = {"id": [], "nbr_id": [], "dist": []}
+        if len(a) and len(b):
+            x, y = np.stack(a["vec"].to_numpy()), np.stack(b["vec"].to_numpy())
+            ids, others = a["id"].to_numpy(), b["id"].to_numpy()
+            for lo in range(0, len(x), 256):
+                part = x[lo:lo + 256]
+                d = np.empty((len(part), len(y)))
+                for i, row in enumerate(part):           # differences, not norms: exact zeros
+                    d[i] = np.sqrt(((y - row) ** 2).sum(1))
+                for i in range(len(part)):
+                    me = ids[lo + i]
+                    keep = np.lexsort((others, d[i]))[:k + 1]
+                    keep = keep[others[keep] != me][:k]
+                    out["id"] += [me] * len(keep)
+                    out["nbr_id"] += others[keep].tolist()
+                    out["dist"] += d[i][keep].tolist()
+        return pd.DataFrame(out)
+
+    found = (left.groupBy("mine", "other").cogroup(right.groupBy("mine", "other"))
+             .applyInPandas(nearest, "id long, nbr_id long, dist double"))
     wn = Window.partitionBy("id").orderBy("dist", "nbr_id")
-    return (dist.withColumn("rank", F.row_number().over(wn)).filter(F.col("rank") <= k)
-                .select("id", "nbr_id", F.col("rank").cast("int"), "dist"))
+    return (found.withColumn("rank", F.row_number().over(wn)).filter(F.col("rank") <= k)
+                 .select("id", "nbr_id", F.col("rank").cast("int"), "dist"))
 
 
 def smote(train: DataFrame, k: int = 5, seed: int = 42, id_col: str = "id", vec_col: str = "vec",

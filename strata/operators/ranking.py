@@ -13,10 +13,11 @@ results in a distributed way:
    construction);
 4. finish the rank / running sum locally inside each range.
 
-Consistency: the rank/offset branches read the range exchange twice. Range
-bounds are sampled from the input, and an input recomputed after a shuffle
-may arrive in another order, so the range path first writes its input as a
-Parquet table in the shared checkpoint folder (``session.materialize``). Orders that come with a deterministic monotone bucket
+Consistency: every evaluation of a range exchange samples its own bounds, so
+range id and local position (or local running sum) are assigned in one pass
+and that frame is written to the shared checkpoint folder
+(``session.materialize``); offsets and final values are computed from the
+written table only. Orders that come with a deterministic monotone bucket
 (``bucket=`` -- e.g. a prefix of an md5 shuffle key) skip sampling entirely:
 the bucket is a pure function of the row.
 
@@ -75,23 +76,22 @@ def exact_row_number(df: DataFrame, order_cols: Sequence, partition_cols: Sequen
 
     With ``bucket`` (a deterministic expression monotone in the order, e.g.
     ``md5_bucket``): counts per (group, bucket) -> offsets -> row_number
-    inside each bucket. Otherwise: materialize the input, range-partition,
-    and take the per-range row index from ``monotonically_increasing_id``
-    right after a sort within each range partition (lower 33 bits = record
-    number in the partition), so the big side is shuffled once.
+    inside each bucket. Otherwise: range-partition once, take the per-range
+    row index from ``monotonically_increasing_id`` right after a sort within
+    each range partition (lower 33 bits = record number in the partition),
+    write the frame, and add offsets counted from the written table.
     """
     keys = list(partition_cols)
     order = _as_cols(order_cols)
     if bucket is not None:
         return _bucketed_row_number(df, order, keys, bucket, out)
     from strata.session import materialize
-    df = materialize(df)
     n = _num_ranges(df, num_ranges)
-    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-                .sortWithinPartitions(*[F.col(k) for k in keys], *order)
-                .withColumn(_RNG, F.spark_partition_id())
-                .withColumn(_IDX, F.monotonically_increasing_id()
-                            - F.shiftleft(F.col(_RNG).cast("bigint"), 33)))
+    ranged = materialize(df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+                         .sortWithinPartitions(*[F.col(k) for k in keys], *order)
+                         .withColumn(_RNG, F.spark_partition_id())
+                         .withColumn(_IDX, F.monotonically_increasing_id()
+                                     - F.shiftleft(F.col(_RNG).cast("bigint"), 33)), "ranks")
     counts = ranged.groupBy(_RNG, *keys).agg(F.count(F.lit(1)).alias("_cnt"))
     if keys:
         w_in = Window.partitionBy(_RNG).orderBy(*[F.col(k) for k in keys]).rowsBetween(
@@ -112,30 +112,29 @@ def exact_row_number(df: DataFrame, order_cols: Sequence, partition_cols: Sequen
 
 def exact_prefix_sum(df: DataFrame, order_cols: Sequence, value_cols: Sequence[str],
                      partition_cols: Sequence[str] = (), suffix: str = "_cum",
-                     num_ranges: int | None = None, input_materialized: bool = False) -> DataFrame:
+                     num_ranges: int | None = None) -> DataFrame:
     """Running sums (inclusive) of ``value_cols`` in ``order_cols`` order per group.
 
-    Order keys should be unique within a group (callers pre-aggregate). The
-    (pre-aggregated) input is materialized first unless the caller already
-    did -- see module notes.
+    Order keys should be unique within a group (callers pre-aggregate). Range
+    ids and local running sums are assigned once and written -- see module
+    notes.
     """
     from strata.session import materialize
-    if not input_materialized:
-        df = materialize(df)
     n = _num_ranges(df, num_ranges)
     keys = list(partition_cols)
     order = _as_cols(order_cols)
+    w_local = (Window.partitionBy(_RNG, *keys).orderBy(*order)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
                 .withColumn(_RNG, F.spark_partition_id()))
+    ranged = materialize(ranged.select(
+        "*", *[F.sum(v).over(w_local).alias(f"_l_{v}") for v in value_cols]), "prefix-sums")
     totals = ranged.groupBy(_RNG, *keys).agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     w_across = (Window.partitionBy(*[F.col(k) for k in keys]) if keys else Window.partitionBy())
     w_across = w_across.orderBy(_RNG).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(_RNG, *keys, *[
         F.coalesce(F.sum(f"_t_{v}").over(w_across), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
-    w_local = (Window.partitionBy(_RNG, *keys).orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.select("*", *[F.sum(v).over(w_local).alias(f"_l_{v}") for v in value_cols])
-    joined = local.join(offsets, [_RNG, *keys], "inner")
+    joined = ranged.join(offsets, [_RNG, *keys], "inner")
     return joined.select(
         *[c for c in df.columns],
         *[(F.col(f"_l_{v}") + F.col(f"_o_{v}")).alias(f"{v}{suffix}") for v in value_cols])
@@ -156,8 +155,7 @@ def exact_quantiles(long_df: DataFrame, group_cols: Sequence[str], value_col: st
     # distinct values with multiplicity, written once: feeds the group sizes,
     # the prefix sums and the final lookup without recomputing the input
     vc = materialize(vals.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_c")), "values")
-    cum = exact_prefix_sum(vc, [value_col], ["_c"], keys, num_ranges=num_ranges,
-                           input_materialized=True)
+    cum = exact_prefix_sum(vc, [value_col], ["_c"], keys, num_ranges=num_ranges)
     sizes = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     # one target row per (group, prob): a few rows per group
     targets = sizes.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))

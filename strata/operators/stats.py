@@ -142,7 +142,8 @@ def histogram(long: DataFrame, bins: int, group_cols=()) -> DataFrame:
     b = b.select(*keys, "n", F.when(const, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
                  F.when(const, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
     b = b.withColumn("width", (F.col("hi") - F.col("lo")) / F.lit(bins))
-    j = long.join(b.select(*keys, "lo", "hi"), keys, "inner")
+    # one row per group: bounded by groups x features
+    j = long.join(F.broadcast(b.select(*keys, "lo", "hi")), keys, "inner")
     # bins are [a, b) (last one closed); +1e-9 keeps values that sit on an
     # edge in exact arithmetic in the upper bin whatever the float noise
     pos = (F.col("value") - F.col("lo")) * F.lit(bins) / (F.col("hi") - F.col("lo"))
@@ -158,19 +159,19 @@ def histogram(long: DataFrame, bins: int, group_cols=()) -> DataFrame:
 
 
 def kde_curve(long: DataFrame, group_cols=(), points: int = 1000, cut: float | None = None,
-              max_exact_values: int = 200_000, bins: int = 16_384) -> DataFrame:
+              bins: int | None = None) -> DataFrame:
     """Gaussian KDE on a grid per group.
 
     Bandwidth: Scott, h = std(ddof 1) x n^(-1/5). Grid: ``points`` values over
     [min - r/2, max + r/2] (r = range) or, with ``cut`` given, over
     [min - cut x h, max + cut x h].
 
-    Work: values are first reduced to (distinct value, multiplicity) --
-    exact. Only a group with more than ``max_exact_values`` distinct values
-    is reduced further to ``bins`` equal-width bin centres (binned KDE; the
-    error is bounded by the bin width relative to h). Each kept value is
-    exploded over the grid and reduced map-side, so at most ``points``
-    partial sums per group leave each task.
+    Work: values are reduced to (distinct value, multiplicity) -- exact, the
+    same at every size. Only when the caller sets ``bins`` are values moved to
+    the centres of that many equal-width bins first (binned KDE; the error is
+    bounded by the bin width relative to h). Each value is exploded over the
+    grid and reduced map-side, so at most ``points`` partial sums per group
+    leave each task.
     """
     keys = [*group_cols, "feature"]
     b = _group_bounds(long, keys).filter(F.col("n") > 1)
@@ -184,14 +185,15 @@ def kde_curve(long: DataFrame, group_cols=(), points: int = 1000, cut: float | N
     b = b.withColumn("x0", start).withColumn("step", (stop - start) / F.lit(points - 1))
     b = b.filter(F.col("h") > 0)
     distinct = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("w"))
-    nd = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("nd"))
-    bb = b.join(nd, keys, "inner")
-    j = distinct.join(bb.select(*keys, "n", "nd", "lo", "hi", "h", "x0", "step"), keys, "inner")
-    width = (F.col("hi") - F.col("lo")) / F.lit(bins)
-    centre = F.col("lo") + (F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))
-                            + 0.5) * width
-    j = j.withColumn("value", F.when(F.col("nd") > max_exact_values, centre).otherwise(F.col("value")))
-    j = j.groupBy(*keys, "value", "n", "h", "x0", "step").agg(F.sum("w").alias("w"))
+    # one row per group: bounded by groups x features
+    bounds = F.broadcast(b.select(*keys, "n", "lo", "hi", "h", "x0", "step"))
+    j = distinct.join(bounds, keys, "inner")
+    if bins is not None:
+        width = (F.col("hi") - F.col("lo")) / F.lit(bins)
+        centre = F.col("lo") + (F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1))
+                                + 0.5) * width
+        j = (j.withColumn("value", centre).groupBy(*keys, "value", "n", "h", "x0", "step")
+              .agg(F.sum("w").alias("w")))
     j = j.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     x = F.col("x0") + F.col("k") * F.col("step")
     z = (x - F.col("value")) / F.col("h")
@@ -213,7 +215,8 @@ def box_stats(long: DataFrame, group_cols=()) -> DataFrame:
         F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("q3"))
     qw = (qw.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
             .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))
-    j = long.join(qw, keys, "inner")
+    # one row per group: bounded by groups x features
+    j = long.join(F.broadcast(qw), keys, "inner")
     # points within 1e-9 of a fence count as inside (fences often equal a
     # data point in exact arithmetic; float noise must not decide)
     tol = F.lit(FENCE_TOL) * F.greatest(F.lit(1.0), F.abs(F.col("q3") - F.col("q1")))
@@ -233,4 +236,5 @@ def clip_at_quantile(long: DataFrame, q: float = 0.99, group_cols=()) -> DataFra
     """Cap each group's values at its own q-quantile, NULLs kept."""
     keys = [*group_cols, "feature"]
     caps = exact_quantiles(long, keys, "value", [q], out="cap").drop("prob")
-    return long.join(caps, keys, "inner").withColumn("value", clip_upper("value", "cap")).drop("cap")
+    # one row per group: bounded by groups x features
+    return long.join(F.broadcast(caps), keys, "inner").withColumn("value", clip_upper("value", "cap")).drop("cap")

@@ -28,13 +28,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every DOUBLE column (sums differ in the last bits by order)."""
+def rounded(df: DataFrame, digits: int = DIGITS, per: dict[str, int] | None = None) -> DataFrame:
+    """Round every DOUBLE column (sums differ in the last bits by order);
+    ``per`` names columns with digits of their own."""
+    per = per or {}
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             # + 0.0 turns -0.0 into 0.0 so both engines print one zero
-            cols.append((F.round(F.col(f"`{f.name}`").cast("double"), digits) + F.lit(0.0))
+            cols.append((F.round(F.col(f"`{f.name}`").cast("double"), per.get(f.name, digits)) + F.lit(0.0))
                         .alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))

@@ -213,9 +213,7 @@ def drift_density(spark, sf_dir):
     top = _top10_corr_features(_d1_train_long(spark, sf_dir))
     tr = prepared_long(spark, sf_dir, top, split="train")
     k = sx.kde_curve(tr.select("cohort", "feature", "value"), ["cohort"], 1000)
-    out = rounded(k.select("cohort", "feature", F.col("k").cast("int").alias("k"), "x"))
-    return out.join(rounded(k.select("cohort", "feature", "k", "density"), 9)
-                    .withColumn("k", F.col("k").cast("int")), ["cohort", "feature", "k"])
+    return rounded(k.withColumn("k", F.col("k").cast("int")), per={"density": 9})
 
 
 @register("variance_top10", _sql(
@@ -287,9 +285,7 @@ def age_kde_by_label(spark, sf_dir):
     """Age KDE (1000 points, Scott bandwidth) per cohort and label."""
     lg = prepared_long(spark, sf_dir, ["age"])
     k = sx.kde_curve(lg.select("cohort", "label", "feature", "value"), ["cohort", "label"], 1000)
-    keys = ["cohort", "label", "feature", "k"]
-    k = k.withColumn("k", F.col("k").cast("int"))
-    return rounded(k.select(*keys, "x")).join(rounded(k.select(*keys, "density"), 9), keys)
+    return rounded(k.withColumn("k", F.col("k").cast("int")), per={"density": 9})
 
 
 def _box_sql(src: str, keys: str) -> str:
@@ -345,6 +341,4 @@ def violin_density(spark, sf_dir):
     lg = prepared_long(spark, sf_dir, keep=_in_panel)
     k = sx.kde_curve(lg.select("cohort", "label", "feature", "value"), ["cohort", "label"], 100,
                      cut=0.0)
-    keys = ["cohort", "label", "feature", "k"]
-    k = k.withColumn("k", F.col("k").cast("int"))
-    return rounded(k.select(*keys, "x")).join(rounded(k.select(*keys, "density"), 9), keys)
+    return rounded(k.withColumn("k", F.col("k").cast("int")), per={"density": 9})

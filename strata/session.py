@@ -45,8 +45,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a shared file system path). Only when it is
-    unset -- local runs and tests -- a fresh scratch folder is created.
+    On a cluster this must be set (a shared file system path). Only a local
+    master -- local runs and tests -- gets a fresh scratch folder when it is
+    unset; any other master raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -74,4 +77,20 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
+
+
+# Stage tables written by this process, per application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stage tables this application wrote (call when their results
+    are no longer read); returns how many."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)

@@ -141,12 +141,15 @@ def claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     if cached is None:
         from strata.sources.sinks import scratch_path
         path = scratch_path(spark, "claim-lines")
-        li = read_table(spark, sf_dir, "lineitem")
+        # only what a view uses is read and written
+        li = read_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
         o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
         p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
         j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey, "left")
         j = j.withColumn("_has_part", F.col("p_partkey").isNotNull())
-        (j.drop("o_orderkey", "p_partkey").write.mode("overwrite")
+        (j.drop("o_orderkey", "p_partkey", "l_partkey").write.mode("overwrite")
           .partitionBy("l_returnflag", "l_linestatus").parquet(path))
         # one listing of the written files, shared by every slice
         cached = spark.read.parquet(path)
@@ -181,19 +184,36 @@ def claims_transactions(spark, sf_dir):
         F.col("l_extendedprice").alias("AMOUNT"))
 
 
+class _Views(dict):
+    """Views built when they are first asked for: a query on patients or
+    encounters never touches the fact table."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._args = (spark, sf_dir)
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name in LINE_SLICES:
+            self[name] = _lines(*self._args, name)
+        else:
+            self[name] = _VIEWS[name](*self._args)
+        return self[name]
+
+    def __contains__(self, name) -> bool:
+        return name in _VIEWS or name in LINE_SLICES
+
+    def get(self, name, default=None):
+        return self[name] if name in self else default
+
+
+_VIEWS = {"patients": patients, "encounters": encounters, "observations": observations,
+          "payer_transitions": payer_transitions, "claims": claims,
+          "claims_transactions": claims_transactions}
+
+
 def load_ehr(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All EHR-shaped views, lazily defined."""
-    t = {
-        "patients": patients(spark, sf_dir),
-        "encounters": encounters(spark, sf_dir),
-        "observations": observations(spark, sf_dir),
-        "payer_transitions": payer_transitions(spark, sf_dir),
-        "claims": claims(spark, sf_dir),
-        "claims_transactions": claims_transactions(spark, sf_dir),
-    }
-    for name in LINE_SLICES:
-        t[name] = _lines(spark, sf_dir, name)
-    return t
+    """All EHR-shaped views by name, built on demand."""
+    return _Views(spark, sf_dir)
 
 
 # --------------------------------------------------------------------------

@@ -1,10 +1,11 @@
 import math
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators import balance as ba
-from strata.operators.ranking import exact_quantiles, exact_row_number, md5_bucket
+from strata.operators.ranking import exact_prefix_sum, exact_quantiles, exact_row_number, md5_bucket
 
 
 def _shuffled(spark, n=3000):
@@ -73,3 +74,34 @@ def test_knn_exact_on_a_shell(spark):
     got = {(r["id"], r["rank"]): r["nbr_id"] for r in ba.knn_within(df, 2).collect()}
     for i, _ in pts:   # the two adjacent points (equal distance: compare as a set)
         assert {got[(i, 1)], got[(i, 2)]} == {(i - 1) % 40, (i + 1) % 40}
+
+
+@pytest.mark.parametrize("partitions", ["8", "200"])
+def test_ranks_beyond_the_range_sampler(spark, partitions):
+    """300,000 distinct keys with a spare column: every evaluation of a range
+    exchange samples its own bounds, so ranks must come from one of them."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        n = 300_000
+        df = (spark.range(n).repartition(7)
+              .select(F.pmod(F.col("id") * 7919, F.lit(n)).alias("k"), F.lit(1).cast("long").alias("w"),
+                      F.sha2(F.col("id").cast("string"), 256).alias("spare"), (F.col("id") % 2).alias("g")))
+        ranked = exact_row_number(df, ["k"], out="rn")
+        assert ranked.filter(F.col("rn") != F.col("k") + 1).count() == 0 and ranked.count() == n
+        sums = exact_prefix_sum(df, ["k"], ["w"])
+        assert sums.filter(F.col("w_cum") != F.col("k") + 1).count() == 0 and sums.count() == n
+        values = df.select("g", (F.col("k") / 7.0).alias("v"))
+        got = {(r["g"], r["prob"]): r["value"] for r in exact_quantiles(values, ["g"], "v", [0.1, 0.5, 0.9]).collect()}
+        for r in values.groupBy("g").agg(F.percentile("v", [0.1, 0.5, 0.9]).alias("p")).collect():
+            for p, v in zip([0.1, 0.5, 0.9], r["p"]):
+                assert abs(got[(r["g"], p)] - v) < 1e-6
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_knn_over_several_blocks(spark):
+    pts = _points(spark, 90)
+    one = {(r["id"], r["rank"]): r["nbr_id"] for r in ba.knn_within(pts, 3).collect()}
+    many = {(r["id"], r["rank"]): r["nbr_id"] for r in ba.knn_within(pts, 3, block_rows=16).collect()}
+    assert one == many and len(one) == 270
