@@ -26,7 +26,8 @@ PII_KEY = b"surrogates of the corpus"
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from strata.llm.crf import fit, score
     model = fit(docs, read_table(spark, sf_dir, "labels"))
-    return score(docs, model, keep=docs.columns).filter("score < 0.5").select(*docs.columns)
+    return score(docs, model, keep=docs.columns, score_col="__score").filter("__score < 0.5") \
+        .select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +44,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from strata.llm.surrogates import replace_pii
-    return replace_pii(docs, PII_KEY).select(*docs.columns)
+    return replace_pii(docs, PII_KEY, count_col=None)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

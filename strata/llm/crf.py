@@ -370,8 +370,9 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_pieces
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-          keep: list[str] | None = None) -> DataFrame:
-    """``OUT`` for every row; ``keep`` names columns of ``docs`` to carry."""
+          keep: list[str] | None = None, score_col: str = "score") -> DataFrame:
+    """``OUT`` for every row, the score as ``score_col``; ``keep`` names columns
+    of ``docs`` to carry (they win over other output columns of their name)."""
     every = keep or []
     keep = [c for c in every if c != text_col]             # the text travels once
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("__text"),
@@ -402,5 +403,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kinds = "".join(f", __{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
     out = rows.mapInArrow(run, OUT + ", __text string" + kinds)
     carried = [F.col("__text" if c == text_col else f"__{keep.index(c)}").alias(c) for c in every]
-    names = ["doc_id", "score", "n_tokens", "expected_toxic", "offsets"]
-    return out.select(*[n for n in names if n not in every], *carried)
+    own = {"doc_id": "doc_id", score_col: "score", "n_tokens": "n_tokens",
+           "expected_toxic": "expected_toxic", "offsets": "offsets"}
+    return out.select(*[F.col(v).alias(k) for k, v in own.items() if k == score_col or k not in every],
+                      *[c for c, name in zip(carried, every) if name != score_col])

@@ -246,9 +246,12 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WOR
              .groupBy(*_KEY, "copy", "size", "pass")
              .agg(F.array_sort(F.collect_list(F.struct("first", inside.alias("n")))).alias("pieces"),
                   F.sum(inside).alias("got")))
-    same = Window.partitionBy(*_KEY).orderBy(F.lit(1))
-    text = docs.withColumn("th", F.xxhash64("text")).withColumn("copy", F.row_number().over(same))
-    cond = [F.col(f"d.{k}").eqNullSafe(F.col(f"p.{k}")) for k in [*_KEY, "copy"]]
+    # identical rows are told apart by a number; which is which does not matter
+    same = Window.partitionBy("doc_id", "source", "__th").orderBy(F.lit(1))
+    text = docs.withColumn("__th", F.xxhash64(F.col("text").cast("string"))) \
+        .withColumn("__copy", F.row_number().over(same))
+    cond = [F.col(f"d.{a}").eqNullSafe(F.col(f"p.{b}"))
+            for a, b in (("doc_id", "doc_id"), ("source", "source"), ("__th", "th"), ("__copy", "copy"))]
     words = F.regexp_extract_all(F.col("d.text"), F.lit(f"({WORD})"), F.lit(1))
     cut = F.array_join(F.flatten(F.transform(
         "p.pieces", lambda x: F.slice(words, (x["first"] + 1).cast("int"), x["n"].cast("int")))), " ")
@@ -256,5 +259,5 @@ def mixed_documents(docs: DataFrame, seed: int = 0, block_words: int = BLOCK_WOR
     out = text.alias("d").join(parts.alias("p"), cond)
     keep = [new_text.alias("text") if c == "text"
             else F.length(new_text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-            else F.col(f"d.{c}") for c in docs.columns]
+            else F.col(f"d.`{c}`") for c in docs.columns]
     return out.select(*keep)

@@ -299,9 +299,11 @@ def resolve(entities: DataFrame, key: bytes) -> DataFrame:
         todo = draw(clash.select("kind", "canon", (F.col("attempt") + 1).cast("int").alias("attempt")))
 
 
-def replace_pii(docs: DataFrame, key: bytes) -> DataFrame:
+def replace_pii(docs: DataFrame, key: bytes, count_col: str | None = "n_entities") -> DataFrame:
     """``docs`` (doc_id, text and any other columns) with surrogates in the
-    texts, plus n_entities. Column n_chars, if any, is recomputed."""
+    texts, plus the number of entities as ``count_col`` (instead of a column
+    of that name; None: no such column). Column n_chars, if any, is
+    recomputed."""
     found = materialize(_occurrences(docs), "pii-occurrences")
     settled = resolve(found.select("kind", "canon").distinct(), key)
     bumps = settled.filter("attempt > 0").select("kind", "canon", "attempt")
@@ -313,9 +315,9 @@ def replace_pii(docs: DataFrame, key: bytes) -> DataFrame:
         found.withColumn("salt", F.pmod(F.xxhash64("doc_id", "th"), F.lit(salts)).cast("int"))
         .join(salted, ["kind", "canon", "salt"])
         .groupBy("doc_id", "th").agg(F.collect_set(F.struct("kind", "canon", "attempt")).alias("bumps")), "pii-bumps")
-    names = [c for c in docs.columns if c != "text"]
+    names = [c for c in docs.columns if c not in ("text", count_col)]
     rows = docs.withColumn("__th", F.xxhash64(F.col("text").cast("string")))
-    p = per_doc.select(F.col("doc_id").alias("__id"), F.col("th").alias("__pth"), "bumps")
+    p = per_doc.select(F.col("doc_id").alias("__id"), F.col("th").alias("__pth"), F.col("bumps").alias("__bumps"))
     joined = rows.join(p, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__th") == F.col("__pth")), "left")
     keyed = Keyed(key)
 
@@ -341,15 +343,17 @@ def replace_pii(docs: DataFrame, key: bytes) -> DataFrame:
                                   names=["__text", "__n", *[f"__{i}" for i in range(len(names))]])
 
     kinds = "".join(f", __{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
-    out = joined.select(F.col("text").cast("string").alias("__text"), "bumps", *[F.col(f"`{c}`") for c in names]) \
+    out = joined.select(F.col("text").cast("string").alias("__text"), "__bumps", *[F.col(f"`{c}`") for c in names]) \
         .mapInArrow(run, "__text string, __n long" + kinds)
     at = {c: f"__{i}" for i, c in enumerate(names)}
     cols = []
     for c in docs.columns:
+        if c == count_col:
+            continue
         if c == "text":
             cols.append(F.col("__text").alias("text"))
         elif c == "n_chars":
             cols.append(F.length("__text").cast(docs.schema[c].dataType).alias(c))
         else:
             cols.append(F.col(at[c]).alias(c))
-    return out.select(*cols, F.col("__n").alias("n_entities"))
+    return out.select(*cols, *([F.col("__n").alias(count_col)] if count_col else []))
