@@ -189,7 +189,7 @@ def _linked(a: bytes, b: bytes, na: int, nb: int, percent: int, ranges: int = 16
 
 def _verify(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """(a, b, la, lb, linked) of candidate pairs of representatives and their
-    classes; ``reps`` (rep, n, elements) is dealt by rep."""
+    classes; ``reps``: (rep, n, elements)."""
     full = (pairs.join(reps.toDF("b", "nb", "eb"), "b").join(reps.toDF("a", "na", "ea"), "a")
             .select("a", "b", "na", "nb", "ea", "eb", "la", "lb"))
 
@@ -240,10 +240,7 @@ def near_duplicate_classes(docs: DataFrame, width: int = WIDTH, percent: int = P
     postings = materialize(postings.join(shared, "g"), "postings")
     total = postings.count()
 
-    # Verification reads the elements in every round: dealt by representative
-    # once, kept by Spark (lost blocks are recomputed from the written table).
-    sides = reps.select("rep", "n", "elements").repartition("rep").persist()
-
+    sides = reps.select("rep", "n", "elements")
     labels = None                                         # (node, component) of linked representatives
     rows = postings.withColumn("label", F.col("rep"))
 
@@ -304,7 +301,6 @@ def near_duplicate_classes(docs: DataFrame, width: int = WIDTH, percent: int = P
                     & may_link(*(F.col(c) for c in ("na", "pa", "ua", "nb", "pb", "ub"))))
              .select("a", "b", "la", "lb").distinct())
     verified(pairs)
-    sides.unpersist()
 
     # rows sharing a doc_id are one node
     row_rep = cand.select("doc_id", *keys).join(rep_of.select("rep", *keys), keys)

@@ -138,6 +138,10 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             gender, parts = _GENDER[m["given"]], [m["given"], m["sur"]]
             s, e = m.span()
         out.append((s, e, "name", f"{gender or 'm'}:{' '.join(parts)}"))
+    # other mentions of a full name, without its title
+    for canon in sorted({x[3] for x in out if x[2] == "name" and " " in x[3]}):
+        for m in re.finditer(rf"\b{re.escape(canon.split(':', 1)[1])}\b", text):
+            out.append((*m.span(), "name", canon))
     out.sort()
     clean, last = [], 0
     for x in out:
