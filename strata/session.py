@@ -76,7 +76,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     import uuid
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    # zstd works in pooled heap buffers; snappy's direct ones stay until a collection
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
