@@ -31,7 +31,6 @@ import re
 import struct
 import uuid
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -48,15 +47,30 @@ MAGIC = b"EFTOKEN1"
 _HEAD = struct.Struct("<8sBxxxIIQQQQq")
 FILE_IDS = 2_000_000
 END_ID = 2
-MEMO = 600_000
+MEMO = 800_000
 MANIFEST = "part int, file int, n_docs long, n_ids long, path string"
 OUT = "part int, before long, at long, doc_id long, n_tokens long, ids binary, ids_crc32 long"
 
 
+class _Memo(dict):
+    """Remembers what ``make`` gives for a string; emptied when it is large."""
+
+    def __init__(self, make):
+        super().__init__()
+        self._make = make
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) > MEMO:
+            self.clear()
+        got = self[key] = self._make(key)
+        return got
+
+
 class WordEncoder:
-    """Ids of whole texts from the ids of their words."""
+    """Ids of whole texts from the ids of their words, as little-endian
+    unsigned integers of ``width`` bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, width: int = 4):
         import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -65,38 +79,30 @@ class WordEncoder:
         self._pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self._space = re.compile("[^\t-\r ]+")
         self._chars = dict(enumerate(byte_characters()))
-        self._words: dict[str, bytes] = {}
-        self._grams: dict[str, bytes] = {}
+        self._code = {2: "H", 4: "I"}[width]
+        self._words = _Memo(self._word)
+        self._grams = _Memo(self._gram)
+
+    def _ids(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self._code}", *ids)
 
     def _gram(self, g: str) -> bytes:
-        got = self._grams.get(g)
-        if got is None:
-            spelled = g.encode("utf-8").decode("latin-1").translate(self._chars)
-            got = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
-            self._grams[g] = got
-        return got
+        spelled = g.encode("utf-8").decode("latin-1").translate(self._chars)
+        return self._ids([t.id for t in self.tokenizer.model.tokenize(spelled)])
 
     def _word(self, w: str) -> bytes:
         if w.isascii() or (max(w) < "Ā" and not any(c.isspace() for c in w)):
-            return b"".join(map(self._gram, self._pattern.findall(w.lower())))
-        return array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
+            return b"".join(map(self._grams.__getitem__, self._pattern.findall(w.lower())))
+        return self._ids(self.tokenizer.encode(w, add_special_tokens=False).ids)
 
-    def encode(self, text: str) -> np.ndarray:
-        if len(self._words) > MEMO:
-            self._words.clear()
-        if len(self._grams) > MEMO:
-            self._grams.clear()
-        words = self._space.findall(text)
-        for w in set(words):
-            if w not in self._words:
-                self._words[w] = self._word(w)
-        return np.frombuffer(b"".join(map(self._words.__getitem__, words)), np.uint32)
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self._words.__getitem__, self._space.findall(text)))
 
 
 @functools.lru_cache(maxsize=2)
-def _encoder(path: str) -> WordEncoder:
+def _encoder(path: str, width: int) -> WordEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return WordEncoder(path)
+    return WordEncoder(path, width)
 
 
 def _file_system(uri: str):
@@ -106,15 +112,14 @@ def _file_system(uri: str):
     return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
-def file_image(part: int, number: int, before: int, doc_ids: list, ids: list[np.ndarray], width: int) -> bytes:
-    """One file's bytes; null doc_ids must come last."""
+def file_image(part: int, number: int, before: int, doc_ids: list, ids: list[bytes], width: int) -> bytes:
+    """One file's bytes; ``ids`` in the file's width, null doc_ids last."""
     known = [d for d in doc_ids if d is not None]
     least = known[0] if known else 0
-    bounds = np.concatenate(([0], np.cumsum([len(i) for i in ids], dtype=np.int64)))
+    bounds = np.concatenate(([0], np.cumsum([len(i) // width for i in ids], dtype=np.int64)))
     head = _HEAD.pack(MAGIC, width, part, number, len(doc_ids), len(known), int(bounds[-1]), before, least)
     return b"".join([head, EliasFano.of(bounds).to_bytes(),
-                     EliasFano.of(np.array(known, np.int64) - least).to_bytes(),
-                     np.concatenate(ids).astype(f"<u{width}").tobytes() if ids else b""])
+                     EliasFano.of(np.array(known, np.int64) - least).to_bytes(), *ids])
 
 
 class TokenFile:
@@ -178,14 +183,13 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
             state["before"] += size
             return row
 
-        enc = _encoder(tokenizer_path)
-        end = np.array([end_id], np.uint32)
+        enc = _encoder(tokenizer_path, width)
+        end = end_id.to_bytes(width, "little")
         for batch in batches:
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = np.concatenate([enc.encode(t or ""), end])
                 doc_ids.append(d)
-                ids.append(got.astype(np.uint16) if width == 2 else got)
-                size += len(got)
+                ids.append(enc.encode(t or "") + end)
+                size += len(ids[-1]) // width
                 if size >= file_ids:
                     yield flush()
                     doc_ids, ids, size = [], [], 0
