@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import gc
 import hashlib
 import re
 import struct
@@ -167,6 +168,7 @@ class Codec:
 
 @functools.lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
+    gc.set_threshold(200_000)              # the memos hold no cycles: look for garbage rarely
     return Codec(path, pattern)
 
 

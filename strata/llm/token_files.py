@@ -26,6 +26,7 @@ documents give no files and an empty result; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import gc
 import os
 import re
 import struct
@@ -91,7 +92,7 @@ class WordEncoder:
         return self._ids([t.id for t in self.tokenizer.model.tokenize(spelled)])
 
     def _word(self, w: str) -> bytes:
-        if w.isascii() or (max(w) < "Ā" and not any(c.isspace() for c in w)):
+        if w.isascii() or (max(w) < "Ā" and "\x85" not in w and "\xa0" not in w):
             return b"".join(map(self._grams.__getitem__, self._pattern.findall(w.lower())))
         return self._ids(self.tokenizer.encode(w, add_special_tokens=False).ids)
 
@@ -102,6 +103,7 @@ class WordEncoder:
 @functools.lru_cache(maxsize=2)
 def _encoder(path: str, width: int) -> WordEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    gc.set_threshold(200_000)              # the memos hold no cycles: look for garbage rarely
     return WordEncoder(path, width)
 
 
