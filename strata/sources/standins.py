@@ -9,7 +9,9 @@ Mapping (one reference table -> one derived view):
 
   patients            customer + nation + region
   encounters          orders
-  observations        events (VALUE as text, parsed leniently downstream)
+  observations        events (VALUE as text, parsed leniently downstream; few patients
+                      have any) and orders (value in thousands, one type per status:
+                      dense and sparse types on either side of the 50 % limit)
   conditions          returned lineitems of quantity >= 45, DESCRIPTION=part name
   medications..       lineitem joined to orders (patient) and part (names),
                       one disjoint slice of (returnflag, linestatus) each
@@ -119,10 +121,17 @@ def _observation_select():
             ("VALUE", "CAST(value AS VARCHAR(64))"), ("DATE", "ts")]
 
 
+def _order_observation_select():
+    return [("PATIENT", "o_custkey"), ("DESCRIPTION", "concat('order value ', o_orderstatus)"),
+            ("VALUE", "CAST(CAST(floor(o_totalprice / 1000) AS INT) AS VARCHAR(64))"),
+            ("DATE", "CAST(o_orderdate AS TIMESTAMP)")]
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
-    return e.select(*[F.expr(x.replace("VARCHAR(64)", "STRING")).alias(n)
-                      for n, x in _observation_select()])
+    parts = [read_table(spark, sf_dir, t).select(
+        *[F.expr(x.replace("VARCHAR(64)", "STRING")).alias(n) for n, x in cols])
+        for t, cols in (("events", _observation_select()), ("orders", _order_observation_select()))]
+    return parts[0].unionByName(parts[1])
 
 
 _LINES_CACHE: dict[tuple[str, str], DataFrame] = {}
@@ -233,7 +242,8 @@ def sql_views() -> dict[str, str]:
         ).replace("date_add(DATE '1930-01-01', CAST((c_custkey * 7919) % 33000 AS INT))",
                   "DATE '1930-01-01' + CAST((c_custkey * 7919) % 33000 AS INTEGER)"),
         "encounters": f"SELECT {_sql_select(_encounter_select())} FROM orders",
-        "observations": f"SELECT {_sql_select(_observation_select())} FROM events",
+        "observations": (f"SELECT {_sql_select(_observation_select())} FROM events UNION ALL "
+                         f"SELECT {_sql_select(_order_observation_select())} FROM orders"),
         "payer_transitions": ("SELECT o_custkey AS PATIENT, l_suppkey AS PAYER, l_shipdate AS START_DATE "
                               "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"),
         "claims": ("SELECT o_orderkey AS Id, o_custkey AS PATIENTID, o_totalprice AS OUTSTANDING1, "
