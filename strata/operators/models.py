@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.balance import with_class_weights
+from strata.session import materialize
 
 LABEL = "label"
 SEED = 42
@@ -62,7 +63,8 @@ def f1_evaluator() -> Evaluator:
 def tree_grid_search(train: DataFrame, fold_col: str = "fold", parallelism: int = 4,
                      num_folds: int = 5):
     """M1 + M4: balanced-weight decision tree, depth grid, stratified CV by F1."""
-    data = with_class_weights(train.withColumn(LABEL, F.col(LABEL).cast("double")))
+    # written once: the grid fits read it many times
+    data = materialize(with_class_weights(train.withColumn(LABEL, F.col(LABEL).cast("double"))), "tree-train")
     dt = DecisionTreeClassifier(labelCol=LABEL, featuresCol="features", weightCol="weight",
                                 seed=SEED)
     grid = ParamGridBuilder().addGrid(

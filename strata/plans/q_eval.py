@@ -132,3 +132,15 @@ def before_after(spark, sf_dir):
     """M8: two models on the D2 set, deltas and improved/dropped flag."""
     m = ev.binary_metrics(predictions(spark, sf_dir), GROUPS).filter(F.col("evaluated_on") == "D2")
     return rounded(ev.before_after(m, "chars", "words"), 4)
+
+
+@register("metrics_csv_roundtrip", _sql(
+    "SELECT model, " + ", ".join(f"{r(m)} AS {m}" for m in ev.METRICS) + ", evaluated_on FROM met",
+    COUNTS, *AUC, METRIC_SQL))
+def metrics_csv_roundtrip(spark, sf_dir):
+    """Metric table written as CSV and read with its fixed schema."""
+    from strata.sources import sinks
+    path = sinks.scratch_path(spark, "metrics")
+    m = ev.binary_metrics(predictions(spark, sf_dir), GROUPS)
+    sinks.write_table_csv(m.select("model", "accuracy", "precision", "recall", "f1", "roc_auc", "evaluated_on"), path)
+    return rounded(sinks.read_metrics_csv(spark, path))

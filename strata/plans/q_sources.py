@@ -57,6 +57,35 @@ def csv_lenient_scan(spark, sf_dir):
         F.avg(cost).alias("avg_cost"), F.count_if(cost.isNull()).alias("n_missing_cost")))
 
 
+def _scratch_csv(spark, sf_dir):
+    path = sinks.scratch_path(spark, "csv")
+    _csv_lines(read_table(spark, sf_dir, "orders")).write.mode("overwrite").text(path)
+    return path
+
+
+@register("csv_column_list_scan", (
+    "SELECT ENCOUNTERCLASS, CAST(count(DISTINCT PATIENT) AS BIGINT) AS n_patients FROM (SELECT o_custkey AS PATIENT, "
+    "CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL WHEN o_orderpriority = '1-URGENT' THEN '1,URGENT' "
+    "ELSE o_orderpriority END AS ENCOUNTERCLASS FROM orders WHERE o_orderstatus <> 'P') GROUP BY ENCOUNTERCLASS"))
+def csv_column_list_scan(spark, sf_dir):
+    """Read named columns only; names that the file lacks are tolerated."""
+    enc = read_csv_lenient(spark, _scratch_csv(spark, sf_dir), columns=CSV_COLUMNS, header=False,
+                           usecols=["PATIENT", "ENCOUNTERCLASS", "NOT_THERE"])
+    return enc.groupBy("ENCOUNTERCLASS").agg(F.count_distinct("PATIENT").alias("n_patients"))
+
+
+@register("csv_column_predicate_scan", (
+    "SELECT column_name, CAST(n AS BIGINT) AS n FROM (SELECT 'Id' AS column_name, count(o_orderkey) AS n FROM orders "
+    "WHERE o_orderstatus <> 'P' UNION ALL SELECT 'BASE_ENCOUNTER_COST', count(*) FILTER (WHERE o_orderpriority <> '5-LOW') "
+    "FROM orders WHERE o_orderstatus <> 'P')"))
+def csv_column_predicate_scan(spark, sf_dir):
+    """S3: columns chosen by a predicate on their names; values present per column."""
+    enc = read_csv_lenient(spark, _scratch_csv(spark, sf_dir), columns=CSV_COLUMNS, header=False,
+                           usecols=lambda c: c == "Id" or "COST" in c)
+    return (enc.unpivot([], enc.columns, "column_name", "v").filter(F.col("v").isNotNull())
+            .groupBy("column_name").agg(F.count(F.lit(1)).alias("n")))
+
+
 @register("na_tokens", (
     "SELECT c_nationkey AS nation, CAST(count(seg) AS BIGINT) AS n_present, "
     "CAST(count(DISTINCT seg) AS BIGINT) AS n_distinct FROM (SELECT c_nationkey, CASE c_mktsegment "

@@ -315,14 +315,24 @@ def utilization_box_stats(spark, sf_dir):
     return rounded(sx.box_stats(capped, ["cohort", "label"]))
 
 
+INCOME_SRC = "(SELECT cohort, label, feature, value FROM scaled WHERE feature = 'INCOME')"
+
+
+@register("income_box_by_label", _sql(_box_sql(INCOME_SRC, "cohort, label, feature")))
+def income_box_by_label(spark, sf_dir):
+    """INCOME box statistics per cohort and label."""
+    lg = prepared_long(spark, sf_dir, ["INCOME"])
+    return rounded(sx.box_stats(lg.select("cohort", "label", "feature", "value"), ["cohort", "label"]))
+
+
 def _in_panel(name: str) -> bool:
-    """Named clinical panel plus, as stand-in panel, the average-cost columns
-    (the stand-in observation means are too sparse to survive P3a)."""
-    return name in CLINICAL_FEATURES or name.startswith("avg_")
+    """Named clinical panel plus, as stand-in panel, the surviving observation
+    columns and the average-cost columns."""
+    return name in CLINICAL_FEATURES or name.startswith(("avg_", "obs_"))
 
 
 PANEL_SRC = ("(SELECT cohort, label, feature, value FROM scaled WHERE feature IN "
-             f"{_in(CLINICAL_FEATURES)} OR starts_with(feature, 'avg_'))")
+             f"{_in(CLINICAL_FEATURES)} OR starts_with(feature, 'avg_') OR starts_with(feature, 'obs_'))")
 
 
 @register("clinical_box_stats", _sql(_box_sql(PANEL_SRC, "cohort, label, feature")))
