@@ -126,3 +126,57 @@ def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.surrogates import replace_pii
     out = replace_pii(read_table(spark, sf_dir, "documents"), PII_KEY)
     return out.select("doc_id", "text", "n_entities")
+
+
+# Bytes as pairs of hex digits; p: 1-based byte position.
+ORACLE["op6_lpf_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+b AS (SELECT doc_id, hx, len(hx) // 2 AS n FROM d),
+w AS (SELECT doc_id, p, substr(hx, 2 * p - 1, 100) AS k
+      FROM (SELECT doc_id, hx, unnest(range(1, n - 48)) AS p FROM b)),
+f AS (SELECT k, min(doc_id) AS m FROM w GROUP BY k),
+hit AS (SELECT w.doc_id, w.p FROM w JOIN f USING (k) WHERE f.m < w.doc_id),
+grp AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS g
+        FROM (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS new FROM hit)),
+span AS (SELECT doc_id, g, min(p) AS a, max(p) + 49 AS z FROM grp GROUP BY doc_id, g),
+cut AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span),
+kept AS (SELECT c.doc_id, string_agg(substr(b.hx, 2 * before + 1, 2 * (a - before - 1)), '' ORDER BY a) AS hx,
+                max(z) AS last, CAST(sum(z - a + 1) AS BIGINT) AS gone, count(*) AS spans
+         FROM cut c JOIN b USING (doc_id) GROUP BY c.doc_id)
+SELECT b.doc_id, b.n AS n_bytes, coalesce(k.gone, 0) AS n_removed, coalesce(k.spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN k.doc_id IS NULL THEN b.hx ELSE k.hx || substr(b.hx, 2 * k.last + 1) END)) AS kept_sha256
+FROM b LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLE["op8_recompression"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, p, array_to_string(ws[p:p + 12], ' ') AS k
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS p FROM d)),
+f AS (SELECT k, min(doc_id) AS m FROM w GROUP BY k),
+hit AS (SELECT DISTINCT doc_id, p + unnest(range(0, 13)) AS p
+        FROM (SELECT w.doc_id, w.p FROM w JOIN f USING (k) WHERE f.m < w.doc_id)),
+u AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM d),
+kept AS (SELECT u.doc_id, string_agg(word, ' ' ORDER BY u.p) AS text, count(*) AS n
+         FROM u ANTI JOIN hit ON u.doc_id = hit.doc_id AND u.p = hit.p GROUP BY u.doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLE["op9_ngram_jaccard"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[p:p + 4], ' ') AS k
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS p FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+      WHERE 100 * common >= 75 * (p.n + q.n - common)),
+both_ways AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach(doc_id, c) AS (SELECT DISTINCT x, x FROM both_ways
+                     UNION SELECT r.doc_id, w.y FROM reach r JOIN both_ways w ON w.x = r.c)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(r.c, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(c) AS c FROM reach GROUP BY doc_id) r USING (doc_id)
+"""
