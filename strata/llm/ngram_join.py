@@ -12,7 +12,8 @@ Method: rare-first prefix filtering.
    ``n - ceil(t n) + 1`` elements. Elements of frequency one match nothing, so
    a document whose prefix holds only those has no link and is done here.
 3. Documents with equal sets become one representative (128-bit set hash).
-4. Representatives sharing a prefix element are candidates; length filter,
+4. Representatives sharing a prefix element are candidates, at the first
+   element they share; length filter,
    positional filter (elements left after the last shared one) and suffix
    filter (elements per hash range) discard pairs; the others are verified
    once by intersecting their sets.
@@ -231,11 +232,13 @@ def near_duplicate_classes(docs: DataFrame, width: int = WIDTH, percent: int = P
     # doc_id share the name: they are one node.
     reps = (cand.join(rep_of, keys).filter(F.col("doc_id") == F.col("rep"))
             .dropDuplicates(["rep", *keys]))
-    reps = materialize(reps.select("rep", "n", "grams", "places", "elements"), "representatives")
+    reps = materialize(reps.select("rep", "n", F.col("key1").alias("set_id"), "grams", "places", "elements"),
+                       "representatives")
     # alone: elements no other document has; the places of a prefix start there
-    postings = (reps.select("rep", "n", F.element_at("places", 1).alias("alone"),
+    postings = (reps.select("rep", "n", "set_id", F.element_at("places", 1).alias("alone"),
                             F.explode(F.arrays_zip("grams", "places")).alias("p"))
-                .select(F.col("p.grams").alias("g"), "rep", "n", "alone", F.col("p.places").alias("place")))
+                .select(F.col("p.grams").alias("g"), "rep", "n", "set_id", "alone",
+                        F.col("p.places").alias("place")))
     shared = postings.groupBy("g").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("g")
     postings = materialize(postings.join(shared, "g"), "postings")
     total = postings.count()
@@ -263,10 +266,11 @@ def near_duplicate_classes(docs: DataFrame, width: int = WIDTH, percent: int = P
         Classes only grow, so an element once closed stays closed."""
         if merged is not None:
             rows = rows.join(merged.toDF("label", "to"), "label", "left") \
-                .select("g", "rep", "n", "alone", "place", F.coalesce("to", "label").alias("label"))
+                .select("g", "rep", "n", "set_id", "alone", "place", F.coalesce("to", "label").alias("label"))
         span = rows.groupBy("g").agg(F.min("label").alias("l0"), F.max("label").alias("l1")) \
             .filter("l0 <> l1").select("g")
-        return materialize(rows.join(span, "g").select("g", "rep", "n", "alone", "place", "label"), "open")
+        return materialize(rows.join(span, "g").select(
+            "g", "rep", "n", "set_id", "alone", "place", "label"), "open")
 
     def may_link(na, pa, ua, nb, pb, ub):
         """Length and positional filters of a pair sharing the elements at
@@ -295,10 +299,17 @@ def near_duplicate_classes(docs: DataFrame, width: int = WIDTH, percent: int = P
                          F.when(mine, F.col("label")).otherwise(other).alias("la"),
                          F.when(mine, other).otherwise(F.col("label")).alias("lb")).distinct())
         rows = still_open(rows, verified(pairs))
-    x = rows.toDF("g", "a", "na", "ua", "pa", "la")
-    y = rows.toDF("g", "b", "nb", "ub", "pb", "lb")
+    # Every remaining pair comes out once, at its first common prefix element:
+    # each posting carries the prefix elements before its own.
+    before = F.slice("grams", F.lit(1), F.col("place") - F.col("alone"))
+    last = (rows.join(reps.select("rep", "set_id", "grams"), ["rep", "set_id"])
+            .select("g", "rep", "n", "alone", "place", "label", before.alias("before")))
+    last = materialize(last, "last-postings")
+    x = last.toDF("g", "a", "na", "ua", "pa", "la", "ba")
+    y = last.toDF("g", "b", "nb", "ub", "pb", "lb", "bb")
     pairs = (x.join(y, (x["g"] == y["g"]) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))
-                    & may_link(*(F.col(c) for c in ("na", "pa", "ua", "nb", "pb", "ub"))))
+                    & may_link(*(F.col(c) for c in ("na", "pa", "ua", "nb", "pb", "ub")))
+                    & ~F.arrays_overlap("ba", "bb"))
              .select("a", "b", "la", "lb").distinct())
     verified(pairs)
 
