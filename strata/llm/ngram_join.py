@@ -52,7 +52,7 @@ from strata.session import materialize
 WIDTH = 5
 PERCENT = 75
 FREQUENCY = 3
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
 SETS = ("doc_id long, n long, key1 long, key2 long, candidate boolean, "
         "grams array<long>, places array<int>, elements binary")
 _U = np.uint64
