@@ -1,14 +1,19 @@
 """PII replacement by keyed, type-consistent surrogates.
 
-Detected kinds: e-mail addresses, IPv4 addresses, phone numbers, payment card
-numbers, IBANs, US social security numbers, secret tokens in assignments, and
-personal names (after a title, or a listed given name before a capitalised
-surname). Each entity has a canonical form (case, spaces and separators
+Detected kinds: e-mail addresses, IPv4 and IPv6 addresses, phone numbers (with
+'+' or '(', or in the digit groups of a national form), payment card numbers
+(also grouped 4-6-5 and 4-6-4), IBANs, US social security numbers, secret
+tokens in assignments, and personal names: after a title, or a given name of
+``given_names`` before a capitalised surname, up to five words with initials,
+particles, apostrophes and hyphens. Not detected: names without title whose
+given name is not listed, names all in capitals, phone numbers of seven digits
+or less, and ungrouped or 3-3-3 grouped ones without '+', '(' or leading 0 (they
+look like other numbers). Each entity has a canonical form (case, spaces and separators
 removed), so different spellings of one entity are one entity.
 
 A surrogate is a function of (key, kind, canonical form, attempt): digits and
 letters come from an HMAC stream; length, punctuation, case and script stay;
-valid card and IBAN checksums stay valid; private and public IPv4 ranges stay
+valid card and IBAN checksums stay valid; private and public IP ranges stay
 apart; mail domains keep their last label; names keep title, gender and script.
 It is written in the format of the replaced spelling.
 
@@ -28,15 +33,17 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.given_names import GENDER, NOT_A_SURNAME
 from strata.session import materialize
 
-# Given names by gender and script, and surname syllables by script (fixed values).
+# Surrogate given names by gender and script, and surname syllables by script (fixed values).
 GIVEN = {
     ("latin", "f"): "Anna Clara Elena Emma Ines Julia Laura Lena Lucia Maria Marta Nora Olivia Paula Sara Sofia".split(),
     ("latin", "m"): "Adam Anton Carlos David Emil Felix Hugo Jonas Karl Leon Lukas Martin Oscar Paul Simon Tomas".split(),
@@ -56,24 +63,35 @@ TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Sir": "m", "Dr": "", "
           "Frau": "f", "Señor": "m", "Señora": "f", "Sr": "m", "Sra": "f", "Monsieur": "m", "Madame": "f",
           "Mme": "f", "Signor": "m", "Signora": "f", "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f"}
 
-_GENDER = {n: g for (_, g), names in GIVEN.items() for n in names}
-_CAP = r"[^\W\d_a-zà-öø-ÿа-яα-ωά-ώ][^\W\d_]+"
+_GENDER = {n: g for (_, g), names in GIVEN.items() for n in names} | GENDER
+_UPPER = r"[^\W\d_a-zà-öø-ÿа-яα-ωά-ώ]"
+# A name part: Smith, O'Brien, d'Arc, Smith-Jones; more parts: F., van der Berg.
+_CAP = rf"(?:[^\W\d_]{{1,2}}['’])?{_UPPER}[^\W\d_]+(?:['’-]{_UPPER}[^\W\d_]+)*"
+_PARTICLE = r"(?:(?:de|del|della|di|da|dos|du|la|le|van|von|der|den|ter|ten|zu|bin|ibn|al|el|y) ){0,2}"
+_MORE = rf"(?: (?:{_UPPER}\.|{_PARTICLE}{_CAP}))"
 # Between the parts of a number: white space and the marks that noisy text puts after words.
+_MARKS = r"[|!#$%&*]{0,4}"
 _GAP = r"[\s|!#$%&*]{0,6}[-. ]?[\s|!#$%&*]{0,3}"
 _NUMERIC = re.compile(
     r"(?P<email>[\w.+%-]+@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
+    r"|(?P<ipv6>(?<![\w.])(?:[0-9A-Fa-f]{0,4}:){2,7}(?:(?:\d{1,3}\.){3}\d{1,3}|[0-9A-Fa-f]{0,4})(?!\w|\.\d|:))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<secret>(?i:\b(?:token|secret|password|api[_ -]?key|access[_ -]?key)\b[\"']?\s*[=:]\s*[\"']?)"
     r"(?P<value>[A-Za-z0-9+/_-]{12,}))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))"
-    r"|(?P<card>(?<![\dA-Za-z])(?:\d{4}[ -]?){3}\d{1,7}(?![\dA-Za-z]))"
+    r"|(?P<card>(?<![\dA-Za-z])(?:(?:\d{4}[ -]?){3}\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\dA-Za-z]))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<phone>(?<![\w.])(?:\+1" + _GAP + r"\(?|\()\d{3}\)?" + _GAP + r"\d{3}[-. ]" + _GAP + r"\d{4}(?!\d)"
-    r"|(?<![\w.])\+\d{1,3}(?:[-. ]?\(?\d{2,5}\)?){2,4}(?![\d]|\.\d))")
-_NAME = re.compile(
-    r"\b(?P<title>" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\b\.? (?P<named>" + _CAP
-    + r"(?: " + _CAP + r")?)|\b(?P<given>" + "|".join(sorted(_GENDER, key=len, reverse=True)) + r") (?P<sur>"
-    + _CAP + ")")
+    r"|(?<![\w.])\+\d{1,3}(?:[-. ]?\(?\d{2,5}\)?){2,4}(?![\d]|\.\d)"
+    # national forms: 3-3-4, a leading 0 with pairs, with two or three groups, or ungrouped
+    r"|(?<![\w.+/-])(?:(?:1[-. ])?(?:\d{3}[-.]\d{3}[-.]\d{4}|(?<!\d )[2-9]\d{2}" + _MARKS + r" \d{3}" + _MARKS
+    + r"[-. ]\d{4})|(?<!\d )0[1-9](?:" + _MARKS + r"[-. ]\d{2}){4}(?! \d)"
+    r"|(?<!\d )0\d{2,4}" + _MARKS + r"[-/ ](?:\d{3,4}" + _MARKS + r"[- ]\d{3,4}|\d{5,8})(?! \d)"
+    r"|0[1-9]\d{8,9})(?!\w|[-./]\d))")
+_TITLED = re.compile(
+    r"\b(?P<title>" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\b\.? (?P<named>(?:" + _UPPER
+    + r"\. ?){0,3}" + _CAP + _MORE + "{0,4})")
+_WORDS = re.compile(r"\b" + _CAP + _MORE + "+")
 _QUICK = re.compile(r"[0-9@]|(?i:token|secret|password|key)")
 
 
@@ -102,6 +120,39 @@ def iban_ok(canon: str) -> bool:
     return int("".join(str(int(c, 36)) for c in canon[4:] + canon[:4])) % 97 == 1
 
 
+def ipv6(s: str) -> str | None:
+    """Canonical form of an IPv6 address, the dotted part of one that holds an
+    IPv4 address; None for what only looks like one (times, hex dumps)."""
+    try:
+        a = ipaddress.IPv6Address(s)
+    except ValueError:
+        return None
+    groups = [g for g in s.split(":") if g]
+    if "." in s:
+        return groups[-1]
+    if "::" in s:
+        plain = len(groups) > 1 and max(map(len, groups)) > 2 and any(c.isdigit() for c in s)
+    else:
+        plain = any(len(g) != 2 for g in groups)
+    return a.compressed if plain else None
+
+
+def _given(word: str) -> str:
+    """Gender of a listed given name (also the first half of Jean-Luc), or ''."""
+    return _GENDER.get(word) or _GENDER.get(word.split("-")[0], "")
+
+
+def _name_parts(words: list[str], first: int) -> list[str]:
+    """Leading words that can be one name: up to a word that continues no name;
+    the last one is a surname, not an initial or particle."""
+    n = first
+    while n < len(words) and words[n] not in NOT_A_SURNAME:
+        n += 1
+    while n > first and (words[n - 1].endswith(".") or words[n - 1].islower()):
+        n -= 1
+    return words[:n]
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of the entities, left to right."""
     out = []
@@ -122,6 +173,14 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                     continue
             elif kind == "ip":
                 canon = got
+            elif kind == "ipv6":
+                s += got.startswith(":") and not got.startswith("::")
+                e -= got.endswith(":") and not got.endswith("::")
+                canon = ipv6(text[s:e])
+                if canon is None:
+                    continue
+                if "." in canon:                             # an IPv4 address in IPv6
+                    s, kind = e - len(canon), "ip"
             else:
                 canon = _digits(got)
                 if kind == "card" and not 13 <= len(canon) <= 19:
@@ -129,15 +188,24 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 if kind == "phone" and not 7 <= len(canon) <= 15:
                     continue
             out.append((s, e, kind, canon))
-    for m in _NAME.finditer(text):
-        if m["title"]:
-            parts = m["named"].split(" ")
-            gender = TITLES[m["title"]] or _GENDER.get(parts[0], "")
-            s, e = m.span("named")
-        else:
-            gender, parts = _GENDER[m["given"]], [m["given"], m["sur"]]
-            s, e = m.span()
-        out.append((s, e, "name", f"{gender or 'm'}:{' '.join(parts)}"))
+    titled, taken = {}, set()
+    for m in _TITLED.finditer(text):
+        named = " ".join(_name_parts(m["named"].split(" "), 1))
+        gender = TITLES[m["title"]] or _GENDER.get(named.split(" ")[0], "")
+        s = m.start("named")
+        titled.setdefault(named, gender or "m")
+        taken.add(s)
+        out.append((s, s + len(named), "name", f"{gender or 'm'}:{named}"))
+    for m in _WORDS.finditer(text):
+        words, s, i = m.group().split(" "), m.start(), 0
+        while i < len(words):
+            gender = _given(words[i])
+            parts = _name_parts(words[i:i + 6], 1) if gender else words[i:i + 1]
+            if len(parts) > 1 and s not in taken:
+                name = " ".join(parts)
+                out.append((s, s + len(name), "name", f"{titled.get(name, gender)}:{name}"))
+            s += len(" ".join(parts)) + 1
+            i += len(parts)
     # other mentions of a full name, without its title
     for canon in sorted({x[3] for x in out if x[2] == "name" and " " in x[3]}):
         for m in re.finditer(rf"\b{re.escape(canon.split(':', 1)[1])}\b", text):
@@ -213,6 +281,16 @@ class Keyed:
                 while rest[0] in ("10", "127", "172", "192"):
                     rest[0] = str(1 + self._pick(s, 223))
             return ".".join(first + rest)
+        if kind == "ipv6":
+            a = ipaddress.IPv6Address(canon)
+            groups = [int(x, 16) for x in a.exploded.split(":")]
+            # zero groups stay while few attempts were needed: the pool grows with need
+            new = [1 + self._pick(s, 0xFFFF) if g or attempt > 3 else 0 for g in groups]
+            if groups[0] >= 0xFC00:                          # local and multicast ranges stay
+                new[0] = groups[0]
+            elif groups[0]:
+                new[0] = 0x2000 | self._pick(s, 0x2000)
+            return str(ipaddress.IPv6Address(":".join(f"{g:x}" for g in new)))
         if kind == "card":
             body = canon[0] + "".join(str(self._pick(s, 10)) for _ in canon[2:])
             ends = [body + str(d) for d in range(10)]
@@ -223,7 +301,7 @@ class Keyed:
             check = 98 - int("".join(str(int(c, 36)) for c in body + canon[:2] + "00")) % 97
             return f"{canon[:2]}{check:02d}{body}"
         if kind == "phone":
-            keep = 1 if canon.startswith("1") and len(canon) == 11 else 0
+            keep = 1 if canon.startswith("1") and len(canon) == 11 or canon.startswith("0") else 0
             return canon[:keep] + "".join(str(2 + self._pick(s, 8)) if i == 0 else str(self._pick(s, 10))
                                           for i in range(len(canon) - keep))
         if kind == "secret":
@@ -236,9 +314,11 @@ class Keyed:
             # later attempts draw longer surnames: the pool grows with need
             sur = "".join(syllables[self._pick(s, len(syllables))] for _ in range(3 + attempt // 2))
             sur = sur.capitalize() + SURNAME_END[script]
+            first = given[self._pick(s, len(given))]
             if " " in name:
-                return f"{gender}:{given[self._pick(s, len(given))]} {sur}"
-            return f"{gender}:{given[self._pick(s, len(given))] if name in _GENDER else sur}"
+                middle = "".join(f"{given[self._pick(s, len(given))]} " for _ in name.split(" ")[2:])
+                return f"{gender}:{first} {middle}{sur}"
+            return f"{gender}:{first if name in _GENDER and attempt < 3 else sur}"
         return self._alike(canon, s)                         # ssn
 
     @staticmethod
@@ -249,7 +329,7 @@ class Keyed:
             return "".join(next(fill) if c.isalnum() else c for c in surface)
         if kind == "name":
             return canon.split(":", 1)[1]
-        if kind == "email" and surface.isupper():
+        if kind in ("email", "ipv6") and surface.isupper():
             return canon.upper()
         return canon
 

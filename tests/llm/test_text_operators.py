@@ -111,6 +111,40 @@ def test_surrogates_on_awkward_rows(spark):
     assert surrogates.replace_pii(empty(spark), b"k").count() == 0
 
 
+def test_personal_data_in_common_forms_is_found():
+    for got in ("555-123-4567", "212.555.0187", "212 555-0187", "1-800-555-0199", "06 12 34 56 78", "0612345678",
+                "020 7946 0958", "07911 123456", "030 1234567", "089/12345678", "212!! 555-0187",
+                "2001:db8::8a2e:370:7334", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::1",
+                "3782 822463 10005", "3782-822463-10005", "John Smith", "Mary Johnson", "John Michael Smith",
+                "Sean O'Brien", "Jean-Luc Picard-Dupont", "John F. Kennedy", "Ludwig van der Berg", "Сергей Иванов"):
+        text = f"Then we met {got}, today."
+        assert [text[s:e] for s, e, _, _ in surrogates.find(text)] == [got]
+    for title, got in (("Mr ", "John Michael Smith"), ("Mr. ", "O'Brien"), ("Dr. ", "J. Smith"), ("Mrs ", "Smith-Jones")):
+        text = f"Then {title}{got} came. They left."
+        assert [text[s:e] for s, e, _, _ in surrogates.find(text)] == [got]
+    text = "Mr Andrea Rossi came; Andrea Rossi left."
+    assert [c for _, _, _, c in surrogates.find(text)] == ["m:Andrea Rossi"] * 2
+    keyed = surrogates.Keyed(b"k")
+    assert keyed.canonical("ipv6", "fe80::1").startswith("fe80::") and keyed.canonical("ipv6", "2001:db8::1")[0] in "23"
+    assert keyed.canonical("phone", "0612345678")[0] == "0"
+
+
+def test_clean_text_is_left_alone():
+    for text in ("At 12:34:56 and 01:02:03.", "std::vector and a::b", "MAC aa:bb:cc:dd:ee:ff",
+                 "aa:bb:cc:dd:ee:ff:00:11:22:33:44:55:66:77:88:99", "ISBN 978-3-16-148410-0", "2024-01-15, 15.01.2024",
+                 "12 345 678 units, 1 234 567 890", "1,234,567.89", "order 123-4567890-1234567", "pages 100-2000",
+                 "01 02 03 04 05 06 07", "Mary The", "John And then", "Peter Street", "The Mark Of", "It was Paul."):
+        assert surrogates.find(text) == []
+
+
+def test_more_given_names_than_surrogates_settle(spark):
+    """Single given names after a title outnumber the pool of given names."""
+    names = sorted(n for n, g in surrogates.GENDER.items() if g == "m" and n.isascii())[:120]
+    df = spark.createDataFrame([("name", f"m:{n}") for n in names], "kind string, canon string")
+    got = {r.surrogate for r in surrogates.resolve(df, b"k").collect()}
+    assert len(got) == 120 and not got & {f"m:{n}" for n in names}
+
+
 # -------------------------------------------------------------------- tokens
 
 def test_elias_fano():
