@@ -43,7 +43,7 @@ def op7_elias_fano_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from strata.llm.token_files import read_token_files, write_token_files
     folder, manifest = write_token_files(read_table(spark, sf_dir, "documents"),
-                                         public_tokenizers.path("word_bpe_49k.json"))
+                                         public_tokenizers.path("word_bpe_49k.json"), special_ids=True)
     return read_token_files(folder, manifest, with_ids=False)
 
 

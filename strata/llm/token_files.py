@@ -16,7 +16,9 @@ Texts are encoded with the tokenizers library, white-space words once per
 task: the vocabulary's pattern drops white space, so ids of a text are the ids
 of its words in order. Words of Latin-1 characters are normalised and cut here
 and only the merges are run by the library; all other words take the library's
-whole path.
+whole path. With ``special_ids`` the literal strings of the vocabulary's added
+tokens become their ids, as the library does by default: texts are cut at them
+first. Otherwise these strings are ordinary text.
 
 Defined cases: null text is empty (only the end id); rows with a null doc_id
 come last; rows sharing a doc_id are ordered by the hash of their text; no
@@ -71,11 +73,11 @@ class WordEncoder:
     """Ids of whole texts from the ids of their words, as little-endian
     unsigned integers of ``width`` bytes."""
 
-    def __init__(self, path: str, width: int = 4):
+    def __init__(self, path: str, width: int = 4, special_ids: bool = False):
         import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = not special_ids
         # The vocabulary's pre-token pattern, on text without white space.
         self._pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self._space = re.compile("[^\t-\r ]+")
@@ -83,6 +85,15 @@ class WordEncoder:
         self._code = {2: "H", 4: "I"}[width]
         self._words = _Memo(self._word)
         self._grams = _Memo(self._gram)
+        self._special = self._whole = None
+        added = self.tokenizer.get_added_tokens_decoder() if special_ids else {}
+        if any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added.values()):
+            # matched on normalised text or with their surroundings: not cut here
+            self._whole = True
+        elif added:
+            longest = sorted((t.content for t in added.values()), key=len, reverse=True)
+            self._special = re.compile("(" + "|".join(map(re.escape, longest)) + ")")
+            self._special_id = {t.content: self._ids([i]) for i, t in added.items()}
 
     def _ids(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self._code}", *ids)
@@ -97,14 +108,22 @@ class WordEncoder:
         return self._ids(self.tokenizer.encode(w, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
+        if self._whole:
+            return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if self._special is not None and self._special.search(text):
+            parts = self._special.split(text)           # the odd ones are added tokens
+            return b"".join(self._special_id[p] if k % 2 else self._plain(p) for k, p in enumerate(parts))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         return b"".join(map(self._words.__getitem__, self._space.findall(text)))
 
 
 @functools.lru_cache(maxsize=2)
-def _encoder(path: str, width: int) -> WordEncoder:
+def _encoder(path: str, width: int, special_ids: bool) -> WordEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     gc.set_threshold(200_000)              # the memos hold no cycles: look for garbage rarely
-    return WordEncoder(path, width)
+    return WordEncoder(path, width, special_ids)
 
 
 def _file_system(uri: str):
@@ -145,11 +164,12 @@ class TokenFile:
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None = None,
                       end_id: int = END_ID, vocabulary_size: int = 49_408,
                       file_ids: int = FILE_IDS, id_col: str = "doc_id",
-                      text_col: str = "text") -> tuple[str, DataFrame]:
+                      text_col: str = "text", special_ids: bool = False) -> tuple[str, DataFrame]:
     """Encode and write all documents; (folder, manifest with a row per file).
 
     ``folder`` must be reachable by all executors; unset, a new one in the
-    shared checkpoint folder is used."""
+    shared checkpoint folder is used. ``special_ids``: the strings of added
+    tokens become their ids (the library's default) instead of ordinary text."""
     spark = docs.sparkSession
     folder = folder or f"{ensure_checkpoint_dir(spark)}/token-files-{uuid.uuid4().hex}"
     fs, path = _file_system(folder)
@@ -185,7 +205,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str | None =
             state["before"] += size
             return row
 
-        enc = _encoder(tokenizer_path, width)
+        enc = _encoder(tokenizer_path, width, special_ids)
         end = end_id.to_bytes(width, "little")
         for batch in batches:
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

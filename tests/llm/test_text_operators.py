@@ -183,6 +183,21 @@ def test_token_files(spark, tmp_path):
     assert token_files.read_token_files(folder, manifest).count() == 0
 
 
+def test_token_query_equals_the_library_default(spark, tmp_path):
+    """Strings of added tokens in a text, as the library takes them by itself."""
+    from strata.llm import queries
+    tok = Tokenizer.from_file(WORD_BPE)
+    texts = ["a <|endoftext|> b", "x<|startoftext|><|endoftext|>É日本<|endoftext|", "<|ENDOFTEXT|> <|endoftext|>", "plain",
+             "<|<|endoftext|>|> ﬁ<|endoftext|>'s", "a\u0301<|endoftext|>\u0301", None]
+    data = rows() + [(1000 + k, t, *rows()[0][2:]) for k, t in enumerate(texts)]
+    frame(spark, data).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op7_elias_fano_tokens(spark, str(tmp_path)).collect()
+    want = [(str(i), tok.encode(t or "", add_special_tokens=False).ids + [2]) for i, t, *_ in data]
+    assert want[len(rows())][1] == [320, 49407, 321, 2]
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in got) == sorted(
+        (i, len(v), zlib.crc32(np.array(v, "<u4").tobytes())) for i, v in want)
+
+
 def test_byte_bpe_equals_tiktoken(spark):
     ranks = byte_bpe.read_ranks(BPE)
     tk = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
