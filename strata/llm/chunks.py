@@ -24,6 +24,7 @@ ASK = "bucket int, chunk long, payload binary"
 ANSWER = "chunk long, kind int, payload binary"
 CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20
+HOT_CHUNKS = 32
 
 
 def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
@@ -32,10 +33,12 @@ def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
 
 
 class Plan:
-    """Chunk and bucket counts of one corpus."""
+    """Chunk and bucket counts of one corpus; a key in more than
+    ``hot_chunks`` (at most 254) chunks is hot."""
 
     def __init__(self, total_bytes: int, chunk_bytes: int = CHUNK_BYTES,
-                 bucket_bytes: int = BUCKET_BYTES):
+                 bucket_bytes: int = BUCKET_BYTES, hot_chunks: int = HOT_CHUNKS):
+        self.hot_chunks = hot_chunks
         self.chunks = max(1, math.ceil(total_bytes / chunk_bytes))
         self.buckets = max(1, math.ceil(total_bytes / bucket_bytes))
 

@@ -3,7 +3,8 @@
 Anchors: the smallest hashed ``SEED``-byte gram of each window (a minimizer).
 Equal windows have the same minimizer, so all copies of a window meet in the
 minimizer's bucket; consecutive windows with one minimizer travel together as
-one text of at most ``2 * width`` bytes.
+one text of at most ``2 * width`` bytes. Windows of a minimizer that many
+chunks hold are compared by two 64-bit hashes of their halves instead.
 
 In a bucket the texts are concatenated and their suffixes sorted (prefix
 doubling up to the window length, ties by document). For every suffix the
@@ -201,5 +202,9 @@ def remove_repeated_bytes(docs: DataFrame, width: int = WIDTH, seed: int = SEED,
         at = np.repeat(b - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
         return t.data[at].tobytes()
 
-    return rp.remove_repeats(docs, windows, keys, payload, _flag_windows(width), _cut,
+    def window_keys(t, w, idx):
+        b = t.offsets[:-1][w.row[idx]] + w.start[idx]
+        return slice_hash(w.prefix, b, b + width // 2), slice_hash(w.prefix, b + width // 2, b + width)
+
+    return rp.remove_repeats(docs, windows, keys, payload, window_keys, _flag_windows(width), _cut,
                              OUT, width, plan, id_col, text_col)

@@ -151,6 +151,10 @@ def _run_payload(t, w, first, count) -> bytes:
     return w.sig[_run_index(first, count)].tobytes()
 
 
+def _window_keys(t, w, idx):
+    return w.sig[idx], w.anchor[idx]
+
+
 def _flag_windows(bodies, count, ids):
     sig = np.frombuffer(b"".join(bodies), np.uint64)
     doc = np.repeat(ids, count)
@@ -189,5 +193,5 @@ def remove_repeated_words(docs: DataFrame, width: int = WIDTH, id_col: str = "do
     """Drop each word covered by a ``width``-word window that also starts in a
     document with a smaller id. Returns ``OUT``: the kept words joined by one
     space, counts and the SHA-256 of the kept text."""
-    return rp.remove_repeats(docs, lambda t: _Parsed(t, width), _run_keys, _run_payload,
+    return rp.remove_repeats(docs, lambda t: _Parsed(t, width), _run_keys, _run_payload, _window_keys,
                              _flag_windows, _cut, OUT, width, plan, id_col, text_col)

@@ -7,7 +7,13 @@ recognised; the exchange is the same:
 1. every chunk asks which of its distinct anchors other chunks hold too;
 2. windows whose anchor is shared go to the anchor's bucket as *runs*
    (consecutive windows with one anchor occurrence); a bucket decides which
-   windows also start in a smaller document and answers with spans;
+   windows also start in a smaller document and answers with spans.
+   An anchor that more than ``hot_chunks`` chunks hold is *hot*: runs at the
+   edges of a wide-spread passage reach into each document's own text, so one
+   bucket would get a run of every document. Its windows go one by one to
+   buckets of their own, spread by two 64-bit keys of the window's content
+   and at most once per chunk and document id (whether an anchor is hot is the
+   same in all chunks, so all copies of a window go the same way);
 3. every chunk cuts the spans out of its documents.
 
 Inside a chunk equal runs are sent once, for the smallest document holding
@@ -66,11 +72,64 @@ def span_payload(row, start, end) -> bytes:
     return np.stack([row, start, end]).astype(np.int64).tobytes()
 
 
-def ask_runs(windows_of, run_keys, run_payload, buckets: int, width: int):
+def _group_low(ids: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Smallest id among the entries with the same two keys, per entry."""
+    order = np.lexsort((ids, two, one))
+    head = np.ones(len(order), bool)
+    head[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+    low = np.empty(len(ids), np.int64)
+    low[order] = ids[order[np.flatnonzero(head)]][np.cumsum(head) - 1]
+    return low
+
+
+def _ask_hot(t: Texts, w: Windows, idx: np.ndarray, window_keys, buckets: int, width: int):
+    """Windows of hot anchors: payloads per window bucket and local spans."""
+    one, two = window_keys(t, w, idx)
+    row, start = w.row[idx], w.start[idx]
+    ids = t.ids[row]
+    later = ids > _group_low(ids, one, two)
+    parts = []
+    if later.any():
+        spans = merge_spans(row[later], start[later], start[later] + width)
+        parts.append((_LOCAL, span_payload(*spans)))
+    sent = np.flatnonzero(~later)
+    b, _ = ch.spread(mix(combine(one[sent], two[sent])), buckets)
+    o = np.argsort(b, kind="stable")
+    sent, b = sent[o], b[o]
+    for bk, i, j in ch.by_bucket(b):
+        pick = sent[i:j]
+        parts.append((buckets + bk, np.int64(len(pick)).tobytes() + one[pick].tobytes() + two[pick].tobytes()
+                      + ids[pick].tobytes() + np.stack([row[pick], start[pick]]).astype(np.uint32).tobytes()))
+    return parts
+
+
+def _answer_hot(asks, width: int):
+    """Bucket side of ``_ask_hot``: spans of windows with a copy in a smaller document."""
+    ones, twos, ids, places = [], [], [], []
+    for _, p in asks:
+        n = int(np.frombuffer(p, np.int64, 1)[0])
+        ones.append(np.frombuffer(p, np.uint64, n, offset=8))
+        twos.append(np.frombuffer(p, np.uint64, n, offset=8 + 8 * n))
+        ids.append(np.frombuffer(p, np.int64, n, offset=8 + 16 * n))
+        places.append(np.frombuffer(p, np.uint32, 2 * n, offset=8 + 24 * n).reshape(2, n).astype(np.int64))
+    every = np.concatenate(ids)
+    later = every > _group_low(every, np.concatenate(ones), np.concatenate(twos))
+    parts, at = [], 0
+    for (chunk, _), (row, start) in zip(asks, places):
+        hit = later[at:at + len(row)]
+        at += len(row)
+        if hit.any():
+            parts.append((chunk, span_payload(*merge_spans(row[hit], start[hit], start[hit] + width))))
+    return ch.answer_table(SPANS, parts)
+
+
+def ask_runs(windows_of, run_keys, run_payload, window_keys, buckets: int, width: int,
+             hot_chunks: int = ch.HOT_CHUNKS):
     """Second round: runs of windows whose anchors are shared.
 
     ``run_keys(texts, w, first, count)`` -> 64-bit content hash per run;
-    ``run_payload(texts, w, first, count)`` -> content bytes of chosen runs."""
+    ``run_payload(texts, w, first, count)`` -> content bytes of chosen runs;
+    ``window_keys(texts, w, index)`` -> two 64-bit content keys per window."""
     def ask(key, docs, answers):
         if docs.num_rows == 0:
             return ch.ask_table(0, [])
@@ -78,7 +137,8 @@ def ask_runs(windows_of, run_keys, run_payload, buckets: int, width: int):
         t = Texts(docs)
         w = windows_of(t)
         bucket, _, inverse = ch.distinct_places(mix(w.anchor), buckets)
-        shared = ch.answered(answers, SEEN, bucket) > 1
+        holders = ch.answered(answers, SEEN, bucket)
+        shared = holders > 1
         # documents of this chunk that share an anchor among themselves
         if len(inverse):
             low = np.full(len(bucket), len(t), np.int64)
@@ -87,9 +147,15 @@ def ask_runs(windows_of, run_keys, run_payload, buckets: int, width: int):
             np.maximum.at(high, inverse, w.row)
             shared |= high > low
         keep = shared[inverse] & t.valid[w.row] if len(inverse) else np.zeros(0, bool)
+        parts = []
+        if len(inverse):
+            hot = keep & (holders > hot_chunks)[inverse]
+            if hot.any():
+                parts = _ask_hot(t, w, np.flatnonzero(hot), window_keys, buckets, width)
+                keep = keep & ~hot
         first, count = runs_of(w, keep)
         if len(first) == 0:
-            return ch.ask_table(chunk, [])
+            return ch.ask_table(chunk, parts)
         content = combine(run_keys(t, w, first, count), w.anchor[first])
         row = w.row[first]
         order = np.lexsort((row, content))              # rows are in id order
@@ -98,7 +164,6 @@ def ask_runs(windows_of, run_keys, run_payload, buckets: int, width: int):
         lowest = order[np.flatnonzero(head)][np.cumsum(head) - 1]
         later = np.zeros(len(first), bool)
         later[order] = t.ids[row[order]] > t.ids[row[lowest]]
-        parts = []
         if later.any():
             s = w.start[first[later]]
             spans = merge_spans(row[later], s, s + count[later] + (width - 1))
@@ -116,7 +181,7 @@ def ask_runs(windows_of, run_keys, run_payload, buckets: int, width: int):
     return ask
 
 
-def answer_runs(flag_windows, width: int):
+def answer_runs(flag_windows, buckets: int, width: int):
     """Bucket side of round two.
 
     ``flag_windows(bodies, counts, ids)`` -> one flag per window, True when
@@ -125,6 +190,8 @@ def answer_runs(flag_windows, width: int):
         if table.column("bucket")[0].as_py() == _LOCAL:
             return ch.answer_table(SPANS, list(zip(table.column("chunk").to_pylist(), ch.payloads(table))))
         asks = sorted(zip(table.column("chunk").to_pylist(), ch.payloads(table)))
+        if table.column("bucket")[0].as_py() >= buckets:
+            return _answer_hot(asks, width)
         heads, ids, bodies = [], [], []
         for _, p in asks:
             n = int(np.frombuffer(p, np.int64, 1)[0])
@@ -161,19 +228,19 @@ def spans_of(answers: pa.Table):
     return merge_spans(*np.concatenate(got, axis=1))
 
 
-def remove_repeats(docs: DataFrame, windows_of, run_keys, run_payload, flag_windows, cut,
+def remove_repeats(docs: DataFrame, windows_of, run_keys, run_payload, window_keys, flag_windows, cut,
                    out_schema: str, width: int, plan: ch.Plan | None = None,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Run the three rounds; ``cut(texts, row, start, end)`` builds the output."""
     plan = plan or ch.Plan(ch.text_bytes(docs, text_col))
     rows = ch.chunked(docs, plan, id_col, text_col)
     asks = rows.groupBy("chunk").applyInArrow(ask_anchors(windows_of, plan.buckets), ch.ASK)
-    seen = asks.groupBy("bucket").applyInArrow(ch.answer_counts(SEEN, 2), ch.ANSWER)
+    seen = asks.groupBy("bucket").applyInArrow(ch.answer_counts(SEEN, 255), ch.ANSWER)
     runs = rows.groupBy("chunk").cogroup(seen.groupBy("chunk")).applyInArrow(
-        ask_runs(windows_of, run_keys, run_payload, plan.buckets, width), ch.ASK)
+        ask_runs(windows_of, run_keys, run_payload, window_keys, plan.buckets, width, plan.hot_chunks), ch.ASK)
     # local spans are spread over the chunks, not gathered in one bucket
     spans = (runs.withColumn("own", F.when(F.col("bucket") < 0, F.col("chunk")).otherwise(F.lit(0)))
-             .groupBy("bucket", "own").applyInArrow(answer_runs(flag_windows, width), ch.ANSWER))
+             .groupBy("bucket", "own").applyInArrow(answer_runs(flag_windows, plan.buckets, width), ch.ANSWER))
 
     def finish(key, left, answers):
         t = Texts(left)

@@ -1,15 +1,21 @@
 """Byte and word passage removal against brute force."""
 
+import collections
 import hashlib
+import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
+from strata.llm import chunks as ch
+from strata.llm import repeats as rp
 from strata.llm.chunks import Plan
 from strata.llm.lpf_dedup import longest_previous_factor, remove_repeated_bytes, suffix_ranks
 from strata.llm.recompression import remove_repeated_words, window_signatures
-from tests.llm.data import empty, frame, rows
+from tests.llm.data import empty, frame, rows, words
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -53,6 +59,45 @@ def test_bytes(spark, plan):
     assert sum(c for _, _, c, _, _ in want) > 1000
 
 
+def test_hot_anchors(spark):
+    """Anchors in more than two chunks go by windows; results stay."""
+    plan = Plan(60_000, 6_000, 4_000, hot_chunks=2)
+    got = remove_repeated_bytes(frame(spark), plan=plan).collect()
+    assert sorted([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], key=str) == \
+        brute(rows(), lambda b: b, 50, bytes)
+    got = remove_repeated_words(frame(spark), plan=plan).collect()
+    assert sorted([(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got], key=str) == \
+        sorted([(a, b, c, e) for a, b, c, _, e in brute(rows(), WORD.findall, 13, b" ".join)], key=str)
+
+
+@pytest.mark.parametrize("operator", ["bytes", "words"])
+def test_no_bucket_gathers_the_edges_of_a_passage(monkeypatch, operator):
+    """A passage all documents share: the payload of the fullest bucket must
+    not grow with the documents of a chunk, only with the chunks."""
+    got = {}
+    monkeypatch.setattr(rp, "remove_repeats", lambda docs, *parts: got.update(parts=parts))
+    (remove_repeated_bytes if operator == "bytes" else remove_repeated_words)(None, plan=Plan(1))
+    windows, run_keys, run_payload, window_keys = got["parts"][:4]
+    rng = random.Random(3)
+    passage = " ".join(words(rng, 60))
+    buckets, chunks, fullest = 2000, 12, []
+    for per_chunk in (10, 80):
+        tables = [pa.table({"doc_id": pa.array(range(c * 1000, c * 1000 + per_chunk), pa.int64()), "text": pa.array(
+            [" ".join([*words(rng, 20), passage, *words(rng, 20)]) for _ in range(per_chunk)])}) for c in range(chunks)]
+        asks = pa.concat_tables(rp.ask_anchors(windows, buckets)((pa.scalar(c),), t) for c, t in enumerate(tables))
+        by = [asks.filter(pc.equal(asks["bucket"], b)) for b in sorted(set(asks["bucket"].to_pylist()))]
+        seen = pa.concat_tables(ch.answer_counts(rp.SEEN, 255)(t) for t in by)
+        size = collections.Counter()
+        for c, t in enumerate(tables):
+            out = rp.ask_runs(windows, run_keys, run_payload, window_keys, buckets, 50 if operator == "bytes" else 13, 4)(
+                (pa.scalar(c),), t, seen.filter(pc.equal(seen["chunk"], c)))
+            for b, p in zip(out["bucket"].to_pylist(), out["payload"].to_pylist()):
+                size[b] += len(p) if b >= 0 else 0
+        fullest.append(max(size.values()))
+    print(operator, fullest)
+    assert fullest[1] < 3 * fullest[0]
+
+
 def test_empty_tables(spark):
     assert remove_repeated_words(empty(spark)).count() == 0
     assert remove_repeated_bytes(empty(spark)).count() == 0
