@@ -6,16 +6,24 @@ fields may contain commas and doubled quotes, blank-header columns are
 dropped, and the common missing-value tokens become NULL.
 
 Spark's own modes do not match that (DROPMALFORMED drops short lines too,
-PERMISSIVE keeps long lines truncated, and with column pruning a long line
-is not even flagged), so lines are read as text, long lines are recognised
-by counting the delimiters outside quoted parts, and the rest are parsed
-with ``from_csv``. Quoted fields spanning lines are not supported.
+PERMISSIVE keeps long lines truncated), so records are read with the raw text
+of those whose field count is off, and long ones are recognised by counting
+the delimiters outside quoted fields.
+
+One scan of the lines gives each file's header and whether a quoted field
+spans lines in it. Such files are read record by record (``multiLine``: one
+task per file), all others in splits. Headers are dropped by position, once
+per file, and every file's columns go by its own header; a column that only
+some files have is NULL in the others.
 """
 
 from __future__ import annotations
 
 import csv as pycsv
 import re
+from collections import defaultdict
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +31,9 @@ from pyspark.sql import functions as F
 from strata.functions.parse import null_na_tokens
 
 JUNK_COLUMN = re.compile(r"^_c\d+$")
+_RAW = "__raw_record"
+_QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
+_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": False}
 
 
 def _parse_header(line: str) -> list[str]:
@@ -31,34 +42,65 @@ def _parse_header(line: str) -> list[str]:
     return [n if n.strip() else f"_c{i}" for i, n in enumerate(names)]
 
 
+def _outside_quotes(c):
+    return F.regexp_replace(c, _QUOTED_FIELD, "$1")
+
+
+def _files(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
+    """(path, first line, a quoted field spans lines) of every file with text."""
+    lines = (spark.read.text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"),
+                     F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+             .filter(F.trim("value") != ""))
+    got = lines.groupBy("file").agg(F.min_by("value", "at").alias("first"),
+                                    F.max(_outside_quotes(F.col("value")).rlike('(^|,)"')).alias("spans"))
+    # file names come as URIs; the reader takes plain names with globs
+    return sorted((re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(x["file"])), x["first"], x["spans"])
+                  for x in got.collect())
+
+
+def _header(spark: SparkSession, file: str, first: str, spans: bool) -> tuple[str, ...]:
+    if spans:
+        row = spark.read.options(**_OPTIONS).csv(file, multiLine=True).head(1)[0]
+        return tuple(n if n and n.strip() else f"_c{i}" for i, n in enumerate(row))
+    return tuple(_parse_header(first))
+
+
+def _records(spark: SparkSession, files: list[str], names: tuple[str, ...], header: bool, spans: bool) -> DataFrame:
+    ddl = ", ".join(f"`{n}` STRING" for n in (*names, _RAW))
+    rows = (spark.read.schema(ddl).options(**_OPTIONS)
+            .csv(files, header=header, multiLine=spans, columnNameOfCorruptRecord=_RAW))
+    delimiters = F.length(F.regexp_replace(_outside_quotes(F.col(_RAW)), r"[^,]", ""))
+    # the last condition always holds: Spark refuses to read the raw text alone
+    return rows.filter((F.col(_RAW).isNull() | (delimiters < F.lit(len(names))))
+                       & ~F.col(f"`{names[0]}`").eqNullSafe(F.lit("\0"))).drop(_RAW)
+
+
 def read_csv_lenient(spark: SparkSession, path: str, columns: list[str] | None = None,
                      usecols=None, header: bool | None = None, na_tokens: bool = True) -> DataFrame:
     """Read CSV text as all-string columns with pandas-like bad-line handling.
 
-    Lines are read as text; a line with more delimiters (outside quoted
-    parts) than the header allows is skipped; the rest are parsed with
-    ``from_csv`` (PERMISSIVE: missing trailing fields -> NULL).
+    A record with more delimiters (outside quoted fields) than the header
+    allows is skipped; missing trailing fields are NULL.
     ``columns``: names when the files have no header (or, with ``header=True``,
     to override it). ``header`` defaults to True only when ``columns`` is None.
     ``usecols``: list of names or predicate; absent names are tolerated (S2, S3).
     """
     if header is None:
         header = columns is None
-    lines = spark.read.text(path).filter(F.length("value") > 0)
-    header_line = None
-    if header:
-        first = lines.head(1)
-        header_line = first[0]["value"] if first else ""
-    names = columns if columns is not None else _parse_header(header_line or "")
-    if header_line is not None:
-        lines = lines.filter(F.col("value") != F.lit(header_line))  # header of every file
-    outside_quotes = F.regexp_replace(F.col("value"), r'"[^"]*"', "")
-    delimiters = F.length(F.regexp_replace(outside_quotes, r"[^,]", ""))
-    kept = lines.filter(delimiters < F.lit(len(names)))
-    ddl = ", ".join(f"`{n}` STRING" for n in names)
-    parsed = kept.select(F.from_csv("value", ddl, {"quote": '"', "escape": '"',
-                                                   "mode": "PERMISSIVE"}).alias("r")).select("r.*")
-    keep_cols = [c for c in names if not JUNK_COLUMN.match(c)]
+    groups = defaultdict(list)                       # files read alike
+    for file, first, spans in _files(spark, path):
+        names = tuple(columns) if columns is not None else _header(spark, file, first, spans)
+        groups[names, spans].append(file)
+    if not groups:
+        groups[tuple(columns or ()), False] = []
+    parts = []
+    for (names, spans), files in groups.items():
+        rows = _records(spark, files, names, header, spans) if files else spark.createDataFrame(
+            [], ", ".join(f"`{n}` STRING" for n in names))
+        parts.append(rows.select(*[F.col(f"`{c}`") for c in names if not JUNK_COLUMN.match(c)]))
+    parsed = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    keep_cols = parsed.columns
     if usecols is not None:
         want = usecols if not callable(usecols) else [c for c in keep_cols if usecols(c)]
         keep_cols = [c for c in keep_cols if c in set(want)]

@@ -35,3 +35,29 @@ def test_explicit_columns_keep_first_line(spark):
         f.write("1,a\n2,b\n1,a\n")
     df = read_csv_lenient(spark, d, columns=["k", "v"])
     assert df.count() == 3
+
+
+def test_quoted_fields_that_span_lines(spark):
+    d = tempfile.mkdtemp(prefix="strata-csv-")
+    with open(os.path.join(d, "a b.csv"), "w") as f:
+        f.write('A,B,C\n1,"first\nsecond, ""third""\n",x\n2,5" pipe,y\n3,"p\nq",z,long\n4,"r\n\ns"\n')
+    with open(os.path.join(d, "plain.csv"), "w") as f:
+        f.write('A,B,C\n5,6" pipe,7" pipe\n')
+    df = read_csv_lenient(spark, d)
+    assert sorted(tuple(r) for r in df.collect()) == [
+        ("1", 'first\nsecond, "third"\n', "x"), ("2", '5" pipe', "y"), ("4", "r\n\ns", None),
+        ("5", '6" pipe', '7" pipe')]
+    assert df.count() == 4
+
+
+def test_header_of_each_file_by_position(spark):
+    d = tempfile.mkdtemp(prefix="strata-csv-")
+    for name, text in (("1.csv", "A,B\n1,2\nA,B\n"), ("2.csv", "B,A,C\n4,3,5\n"), ("3.csv", '"A","B\nB"\n6,7\n')):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    df = read_csv_lenient(spark, d)
+    assert sorted(df.columns) == ["A", "B", "B\nB", "C"]
+    got = sorted(((r["A"], r["B"], r["C"], r["B\nB"]) for r in df.collect()), key=str)
+    assert got == [("1", "2", None, None), ("3", "4", "5", None), ("6", None, None, "7"), ("A", "B", None, None)]
+    df = read_csv_lenient(spark, d, columns=["x", "y"], header=True)
+    assert sorted(tuple(r) for r in df.collect()) == [("1", "2"), ("6", "7"), ("A", "B")]
