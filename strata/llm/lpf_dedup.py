@@ -10,7 +10,8 @@ In a bucket the texts are concatenated and their suffixes sorted (prefix
 doubling up to the window length, ties by document). For every suffix the
 previous and the next entry of the suffix array with a smaller document are
 found with the least common prefix on the way; the larger of the two prefixes
-is the suffix's longest previous factor. A window whose factor reaches the
+is the suffix's longest previous factor, cut to the window length (prefixes
+shorter than the window count as none). A window whose factor reaches the
 window length also starts in an earlier document and is removed; the copy in
 the smallest document stays.
 
