@@ -180,3 +180,40 @@ reach(doc_id, c) AS (SELECT DISTINCT x, x FROM both_ways
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(r.c, d.doc_id) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(c) AS c FROM reach GROUP BY doc_id) r USING (doc_id)
 """
+
+
+@_query
+def op13_fp_tree_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of the sources of every language, with its strongest terms."""
+    from strata.llm.source_divergence import source_divergence
+    return source_divergence(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_fp_tree_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT id, lang, source, unnest(ws) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lc FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+c AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+v AS (SELECT lang, count(*) AS v, sum(lc) AS ln FROM k GROUP BY lang),
+g AS (SELECT g.lang, g.source, coalesce(n.n, 0) AS n, coalesce(v.v, 0) AS v, coalesce(v.ln, 0) AS ln
+      FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN n USING (lang, source) LEFT JOIN v USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+             1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 1)) // (g.n + g.v) AS p,
+             1 + (CAST(1000000000 AS HUGEINT) * (k.lc + 1)) // (g.ln + g.v) AS q
+      FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+      GROUP BY a.lang, a.source, b.source),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE c > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM u)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM r WHERE part = 'pair' OR rank <= 200
+"""
