@@ -217,3 +217,42 @@ r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM r WHERE part = 'pair' OR rank <= 200
 """
+
+
+@_query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    from strata.llm.conversation_trie import conversation_trie
+    return conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+# crc: CRC-32 of the decimal conv_id, bit by bit; its last two bits are h.
+# key: digest of a rebuilt conversation's first d turns.
+ORACLE["op12_conversation_trie"] = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+           FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(sha256(len(role) || ':' || role || text) ORDER BY turn NULLS FIRST, role, text) AS ids,
+             list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY turn NULLS FIRST, role, text) AS ns
+      FROM t GROUP BY conv_id),
+h AS (SELECT *, conv_id - conv_id % 20 AS head_id,
+             xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                 lambda c: CAST(ord(c) AS BIGINT)),
+               lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                 lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) % 4 AS h FROM o),
+r AS (SELECT h.conv_id, coalesce(d.ids[1:h.h], []) || h.ids[h.h + 1:] AS ids,
+             coalesce(d.ns[1:h.h], []) || h.ns[h.h + 1:] AS ns
+      FROM h LEFT JOIN o d ON d.conv_id = h.head_id),
+p AS (SELECT conv_id, d, len(ids) AS len, sha256(array_to_string(ids[1:d], '')) AS key,
+             sha256(array_to_string(ids[1:d - 1], '')) AS up, CASE WHEN d = 0 THEN 0 ELSE ns[d] END AS words
+      FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM r)),
+n AS (SELECT key, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(up) AS up, any_value(words) AS words,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len = d), '')) AS ends
+      FROM p GROUP BY key, d),
+k AS (SELECT up, d - 1 AS d, count(*) AS kids FROM n WHERE d > 0 GROUP BY up, d),
+f AS (SELECT n.*, coalesce(k.kids, 0) AS kids FROM n LEFT JOIN k ON k.up = n.key AND k.d = n.d),
+s AS (SELECT p.key, p.d, sum(CASE WHEN f.kids = 0 THEN 1 ELSE 0 END) AS leaves, sum((f.n_convs - 1) * f.words) AS saved
+      FROM f JOIN p ON p.conv_id = f.conv_id AND p.d <= f.d GROUP BY p.key, p.d)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, f.n_convs, CAST(f.kids AS BIGINT) AS n_children,
+       CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, f.ends AS ends_sha256
+FROM f JOIN s ON s.key = f.key AND s.d = f.d LEFT JOIN n u ON f.d > 0 AND u.key = f.up AND u.d = f.d - 1
+"""
