@@ -256,3 +256,29 @@ SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, u.conv_id AS parent_conv_id, f.n
        CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, f.ends AS ends_sha256
 FROM f JOIN s ON s.key = f.key AND s.d = f.d LEFT JOIN n u ON f.d > 0 AND u.key = f.up AND u.d = f.d - 1
 """
+
+
+@_query
+def op11_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of vectors at cosine 0.95 or more."""
+    from strata.llm.multi_index import near_duplicate_vectors
+    return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op11_inverted_multi_index"] = """
+WITH RECURSIVE u AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL),
+v AS (
+  SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM u
+  WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+reach(vec_id, c) AS (SELECT DISTINCT x, x FROM l UNION SELECT r.vec_id, l.y FROM reach r JOIN l ON l.x = r.c),
+m AS (SELECT vec_id, min(c) AS c FROM reach GROUP BY vec_id),
+n AS (SELECT x AS vec_id, count(*) AS n FROM l GROUP BY x)
+SELECT i.vec_id, coalesce(n.n, 0) AS n_links, coalesce(m.c, i.vec_id) AS component_id,
+       coalesce(m.c, i.vec_id) = i.vec_id AS kept
+FROM (SELECT DISTINCT vec_id FROM u) i LEFT JOIN n USING (vec_id) LEFT JOIN m USING (vec_id)
+"""
