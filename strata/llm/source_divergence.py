@@ -1,6 +1,7 @@
 """Audit of how far the sources of a language diverge, over a frequent-pattern tree.
 
-Terms are runs of letters (``TERM``; only A-Z are lower-cased). A language
+Terms are runs of ASCII letters, of which A-Z are lower-cased, and of other
+characters beyond ASCII. A language
 keeps the terms found in at least ``min_docs`` of its documents (rows). A group
 (language, source), and the language as a whole, gives a kept term the scaled
 probability ``p = 1 + floor(SCALE * (count + 1) / (N + V))``; the divergence of
@@ -36,6 +37,8 @@ columns are not read. Sums of f must fit 63 bits (they stay below about
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -43,44 +46,73 @@ from pyspark.sql import functions as F
 
 from strata.llm.stages import written
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# UTF-8 bytes with A-Z lower-cased and every byte that ends a term made a space
+AS_WORDS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 0x20 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 SCALE = 1_000_000_000
 MIN_DOCS = 3
 TOP_TERMS = 200
 RUN_ITEMS = 400_000
+HELD_TERMS = 400_000
+BEGINNING = 6                       # items of a row that decide its range
 SALTS = 16
 CORRECTIONS = "lang string, s int, t int, st long, ts long"
 
 
 def share(count: str, total: str) -> str:
-    """SQL of 1 + floor(SCALE * (count + 1) / total): long division in base
-    1000, so that no product leaves 63 bits; null where total is 0."""
+    """SQL of 1 + floor(SCALE * (count + 1) / total); null where total is 0.
+    Where the product could leave 63 bits it is a long division in base 1000."""
     t = f"nullif({total}, 0L)"
+    short = f"(({SCALE}L * ({count} + 1L)) div {t})"
     digits, rest = [f"(({count} + 1L) div {t})"], f"(({count} + 1L) % {t})"
     for _ in range(3):
         digits.append(f"(({rest} * 1000L) div {t})")
         rest = f"(({rest} * 1000L) % {t})"
-    return "(1L + " + " + ".join(f"{d} * {SCALE // 1000 ** k}L" for k, d in enumerate(digits)) + ")"
+    long = " + ".join(f"{d} * {SCALE // 1000 ** k}L" for k, d in enumerate(digits))
+    return f"(1L + CASE WHEN {count} < 9000000000L THEN {short} ELSE {long} END)"
 
 
 def divergence(p: str, q: str) -> str:
     return f"((({p} - {q}) * ({p} - {q})) div {q})"
 
 
-def term_rows(docs: DataFrame, text_col: str, lang_col: str, source_col: str, min_docs: int) -> DataFrame:
-    """(lang, term, lang_count, items of (source, count)) of every kept term."""
-    words = F.sort_array(F.regexp_extract_all(F.translate("text", UPPER, LOWER), F.lit(TERM), F.lit(0)))
-    before = F.concat(F.array(F.lit(None).cast("string")), F.col("words"))
-    each = (docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in
-                          ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))))
-            .withColumn("words", words)
-            .select("lang", "source", F.explode(F.arrays_zip("words", before.alias("before"))).alias("w"))
-            .select("lang", "source", F.col("w.words").alias("term"), F.col("w.before").alias("before"))
-            .filter("term IS NOT NULL"))
-    first = F.when(F.col("before").isNull() | (F.col("before") != F.col("term")), 1).otherwise(0)
-    counts = each.groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("count"),
-                                                        F.sum(first).alias("in_docs"))
+def _count_terms(held_terms: int):
+    """Task: (lang, source, term, count, in_docs) of its documents; counts
+    leave whenever ``held_terms`` terms are held."""
+    def rows(counts, docs):
+        for (lang, source), terms in counts.items():
+            found = docs[lang, source]
+            names = list(terms)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(names), pa.string()), pa.array([source] * len(names), pa.string()),
+                 pa.array(names, pa.binary()).cast(pa.string()), pa.array(terms.values(), pa.int64()),
+                 pa.array([found[w] for w in names], pa.int64())], ["lang", "source", "term", "count", "in_docs"])
+
+    def task(batches):
+        counts, docs = defaultdict(Counter), defaultdict(Counter)
+        for batch in batches:
+            text = batch.column("text").cast(pa.binary()).to_pylist()
+            for raw, lang, source in zip(text, batch.column("lang").to_pylist(), batch.column("source").to_pylist()):
+                words = raw.translate(AS_WORDS).split()
+                counts[lang, source].update(words)
+                docs[lang, source].update(set(words))
+            if sum(map(len, counts.values())) >= held_terms:
+                yield from rows(counts, docs)
+                counts, docs = defaultdict(Counter), defaultdict(Counter)
+        yield from rows(counts, docs)
+
+    return task
+
+
+def term_rows(docs: DataFrame, text_col: str, lang_col: str, source_col: str, min_docs: int,
+              held_terms: int = HELD_TERMS) -> DataFrame:
+    """(lang, term, lang_count, items of (source, count)) of every kept term.
+    Tasks count their own documents first, so a common term or a large source
+    ships one row a task; one shuffle by (lang, term) serves both sums."""
+    each = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in
+                         ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))))
+    counts = (each.mapInArrow(_count_terms(held_terms), "lang string, source string, term string, count long, in_docs long")
+              .repartition("lang", "term").groupBy("lang", "source", "term")
+              .agg(F.sum("count").alias("count"), F.sum("in_docs").alias("in_docs")))
     return (counts.groupBy("lang", "term").agg(F.sum("in_docs").alias("in_docs"), F.sum("count").alias("lang_count"),
                                                F.collect_list(F.struct("source", "count")).alias("items"))
             .filter(F.col("in_docs") >= min_docs).drop("in_docs"))
@@ -212,7 +244,9 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     paths = (items.groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct(
                 F.col("rank").cast("int").alias("rank"), "count", "p", "p0"))).alias("items"))
              .groupBy("lang", "items").agg(F.count(F.lit(1)).alias("times"))
-             .repartitionByRange("lang", "items").sortWithinPartitions("lang", "items"))
+             .repartitionByRange("lang", F.slice(F.transform("items", lambda i: F.struct(i["rank"], i["count"])),
+                                                 1, BEGINNING))
+             .sortWithinPartitions("lang", "items"))
     both = written(tree_corrections(paths), "corrections")
 
     def two_ways(d: DataFrame, s: str, t: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 
-from strata.llm.source_divergence import PatternTree, share, source_divergence
+from strata.llm.source_divergence import PatternTree, share, source_divergence, term_rows
 from tests.llm.data import SCHEMA, empty, frame
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -65,6 +65,18 @@ def test_divergence_equals_brute_force(spark):
     assert run(spark, docs, top_terms=3, min_docs=10) == brute(docs, 10, 3)
 
 
+def test_counts_that_leave_early_add_up(spark):
+    docs = documents(8, 80)
+    full = frame(spark, [(i, t, lang, s, 0, 1, 2, 3, 4, 0.9, 5, 6, 7, 8, 9) for i, (t, lang, s) in enumerate(docs)])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        parts = [sorted((r["lang"], r["term"], r["lang_count"], tuple(sorted(map(tuple, r["items"])))) for r in
+                        term_rows(full, "text", "lang", "source", 2, held).collect()) for held in (1, 10 ** 6)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert parts[0] == parts[1] and len(parts[0]) > 30
+
+
 def test_awkward_rows_and_no_terms(spark):
     got = run(spark, [("ba be", "en", "s"), (None, None, None), ("x", "en", "t")])
     assert got == [("en", "s", "pair", "t", 0, 1), ("en", "t", "pair", "s", 0, 1)]
