@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import materialize
+
 LABEL = "label"
 
 
@@ -24,60 +28,194 @@ def with_class_weights(df: DataFrame, label: str = LABEL, out: str = "weight") -
 
 # ----------------------------------------------------------------- SMOTE
 
+PIVOT_SAMPLE = 20_000
+MOST_PIVOTS = 2048
+KNN = "id long, nbr_id long, dist double"
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row-by-row distances by differences, not norms: equal rows give zero."""
+    out = np.empty((len(a), len(b)))
+    for i, row in enumerate(a):
+        out[i] = np.sqrt(((b - row) ** 2).sum(1))
+    return out
+
+
+def _k_nearest(ids: np.ndarray, d: np.ndarray, me: int, k: int) -> np.ndarray:
+    """Places of the k smallest distances, own id left out, ties by id."""
+    if len(d) > k + 1:
+        worst = np.partition(d, k)[k]
+        near = np.flatnonzero(d <= worst)
+    else:
+        near = np.arange(len(d))
+    near = near[ids[near] != me]
+    return near[np.lexsort((ids[near], d[near]))[:k]]
+
+
+def _rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    flat = np.concatenate([np.asarray(c.flatten(), np.float64) for c in table.column("vec").chunks] or [np.zeros(0)])
+    return np.asarray(table.column("id")), flat.reshape(table.num_rows, -1)
+
+
+def _found(ids: np.ndarray, x: np.ndarray, others: np.ndarray, y: np.ndarray, k: int) -> pa.Table:
+    who, nbr, dist = [], [], []
+    for lo in range(0, len(ids), 256):
+        for me, d in zip(ids[lo:lo + 256].tolist(), _distances(x[lo:lo + 256], y)):
+            keep = _k_nearest(others, d, me, k)
+            who += [me] * len(keep)
+            nbr += others[keep].tolist()
+            dist += d[keep].tolist()
+    return pa.table({"id": pa.array(who, pa.int64()), "nbr_id": pa.array(nbr, pa.int64()),
+                     "dist": pa.array(dist, pa.float64())})
+
+
+def _pivots(pts: DataFrame, n: int, block_rows: int) -> np.ndarray:
+    """Pivots of the cells: about one per half block, far apart, chosen from a
+    bounded sample (each next one is the sample row furthest from the others)."""
+    sample = pts.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).select("id", "vec").toArrow()
+    _, x = _rows(sample)
+    want = min(MOST_PIVOTS, max(1, -(-2 * n // block_rows)), len(x))
+    chosen = [0]
+    far = np.sqrt(((x - x[0]) ** 2).sum(1))
+    while len(chosen) < want and far.max() > 0:
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, np.sqrt(((x - x[chosen[-1]]) ** 2).sum(1)))
+    return x[chosen]
+
+
 def knn_within(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
                block_rows: int = 2048) -> DataFrame:
     """Exact k nearest neighbours of every point among the same points.
 
-    In high dimension no bound prunes much, so the search is blocked: points
-    are dealt by a hash of their id to blocks of about ``block_rows``; every
-    ordered pair of blocks is one group that compares its points as matrices
-    and keeps k rows per point, so no key is hot, memory is two blocks, and k
-    rows per point and block leave a group. A ranked window merges them (ties
-    by id). The quadratic work is inherent to exact search and spreads over
-    blocks squared groups. Returns (id, nbr_id, rank, dist).
-    """
-    import math
-
-    import numpy as np
-    import pandas as pd
+    Points lie in the cell of their nearest pivot; a cell has the radius of its
+    furthest point, and is cut by a hash into blocks of about ``block_rows``.
+    First every block finds its points' k nearest in itself: the k-th distance
+    bounds the true one. Then a point goes to another cell's blocks only if the
+    cell can hold a nearer point: ``d(point, pivot) - radius``, and half the
+    excess over its own pivot's distance measured between the pivots, are both
+    within the bound. A ranked window merges the results (ties by id).
 
-    pts = points.select(F.col(id_col).cast("long").alias("id"),
-                        F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("vec"))
-    n = pts.count()
-    blocks = max(1, math.ceil(n / block_rows))
-    dealt = pts.withColumn("mine", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = dealt.withColumn("other", every)
-    right = dealt.select("id", "vec", F.col("mine").alias("other")).withColumn("mine", every)
-
-    def nearest(a, b):
-        out = {"id": [], "nbr_id": [], "dist": []}
-        if len(a) and len(b):
-            x, y = np.stack(a["vec"].to_numpy()), np.stack(b["vec"].to_numpy())
-            ids, others = a["id"].to_numpy(), b["id"].to_numpy()
-            for lo in range(0, len(x), 256):
-                part = x[lo:lo + 256]
-                d = np.empty((len(part), len(y)))
-                for i, row in enumerate(part):           # differences, not norms: exact zeros
-                    d[i] = np.sqrt(((y - row) ** 2).sum(1))
-                for i in range(len(part)):
-                    me = ids[lo + i]
-                    keep = np.lexsort((others, d[i]))[:k + 1]
-                    keep = keep[others[keep] != me][:k]
-                    out["id"] += [me] * len(keep)
-                    out["nbr_id"] += others[keep].tolist()
-                    out["dist"] += d[i][keep].tolist()
-        return pd.DataFrame(out)
-
-    found = (left.groupBy("mine", "other").cogroup(right.groupBy("mine", "other"))
-             .applyInPandas(nearest, "id long, nbr_id long, dist double"))
+    A point is copied once for each block that it has to visit, a stored point
+    once for about ``block_rows`` visits: on clustered points that is a small
+    share of all pairs of blocks (``knn_visits``), on points without structure
+    in many dimensions no bound prunes and it is all of them. Pivots and cell
+    sizes (``MOST_PIVOTS`` rows at most) are sent to all tasks.
+    Returns (id, nbr_id, rank, dist).
+    """
+    visits, near = _knn_phases(points, k, id_col, vec_col, block_rows)
+    found = near if visits is None else near.unionByName(_visited(visits[0], visits[1], k, block_rows))
     wn = Window.partitionBy("id").orderBy("dist", "nbr_id")
     return (found.withColumn("rank", F.row_number().over(wn)).filter(F.col("rank") <= k)
                  .select("id", "nbr_id", F.col("rank").cast("int"), "dist"))
 
 
+def knn_visits(points: DataFrame, k: int = 5, id_col: str = "id", vec_col: str = "vec",
+               block_rows: int = 2048) -> tuple[int, int]:
+    """(visits of points to blocks other than their own, visits if nothing were
+    pruned): the work that the bounds leave."""
+    visits, _ = _knn_phases(points, k, id_col, vec_col, block_rows)
+    if visits is None:
+        return 0, 0
+    blocks = visits[1].select("cell", "block").distinct().count()
+    return visits[0].count(), visits[1].count() * (blocks - 1)
+
+
+def _knn_phases(points: DataFrame, k: int, id_col: str, vec_col: str, block_rows: int):
+    """((visits, stored points) or None if there is one block, first results)."""
+    pts = materialize(points.select(F.col(id_col).cast("long").alias("id"), F.transform(
+        F.col(vec_col), lambda x: x.cast("double")).alias("vec")), "knn-points")
+    n = pts.count()
+    if n <= block_rows:
+        def alone(table: pa.Table) -> pa.Table:
+            ids, x = _rows(table)
+            return _found(ids, x, ids, x, k)
+        return None, pts.groupBy(F.lit(0)).applyInArrow(alone, KNN)
+    pivots = _pivots(pts, n, block_rows)
+
+    def place(batches):
+        for batch in batches:
+            ids, x = _rows(pa.table(batch))
+            d = _distances(x, pivots)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("vec"), pa.array(d.argmin(1), pa.int32()),
+                 pa.array(d.min(1) if len(ids) else [], pa.float64())], ["id", "vec", "cell", "away"])
+
+    placed = materialize(pts.mapInArrow(place, "id long, vec array<double>, cell int, away double"), "knn-cells")
+    # one row per pivot
+    cells = placed.groupBy("cell").agg(F.max("away").alias("radius"), F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks"))
+    stats = {r["cell"]: (r["radius"], r["blocks"]) for r in cells.collect()}
+    radius = np.array([stats.get(c, (-np.inf, 0))[0] for c in range(len(pivots))])
+    blocks = np.array([stats.get(c, (0, 0))[1] for c in range(len(pivots))])
+    count = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
+    stored = placed.withColumn("block", F.pmod(F.xxhash64("id"), count).cast("int"))
+
+    def own(key, table: pa.Table) -> pa.Table:
+        ids, x = _rows(table)
+        got = _found(ids, x, ids, x, k)
+        bound = np.full(len(ids), np.inf)
+        order = np.argsort(ids, kind="stable")
+        who, dist = np.asarray(got["id"]), np.asarray(got["dist"])
+        names, size = np.unique(who, return_counts=True)
+        worst = np.zeros(len(names))
+        np.maximum.at(worst, np.searchsorted(names, who), dist)
+        at = order[np.searchsorted(ids[order], names)]
+        bound[at] = np.where(size >= k, worst, np.inf)
+        bounds = pa.table({"id": pa.array(ids, pa.int64()), "nbr_id": pa.nulls(len(ids), pa.int64()),
+                           "dist": pa.array(bound, pa.float64())})
+        return pa.concat_tables([got, bounds])
+
+    first = materialize(stored.groupBy("cell", "block").applyInArrow(own, KNN), "knn-own")
+    bounds = first.filter("nbr_id IS NULL").select("id", F.col("dist").alias("bound"))
+    between = _distances(pivots, pivots)
+
+    def travel(batches):
+        for batch in batches:
+            ids, x = _rows(pa.table(batch))
+            home, mine = np.asarray(batch.column("cell")), np.asarray(batch.column("block"))
+            bound, d = np.asarray(batch.column("bound")), _distances(x, pivots)
+            slack = 1e-9 * (1 + d)                                         # rounding must not skip a tie
+            reach = d - radius - slack <= bound[:, None]
+            own_d = d[np.arange(len(ids)), home][:, None] if len(ids) else d
+            apart = between[home]
+            half = np.divide(d * d - own_d * own_d, 2 * apart, out=np.zeros_like(d), where=apart > 0)
+            reach &= half - slack <= bound[:, None]
+            row, cell = np.nonzero(reach & (blocks > 0))
+            times = blocks[cell]
+            row, cell = np.repeat(row, times), np.repeat(cell, times)
+            block = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+            other = (cell != home[row]) | (block != mine[row])
+            row, cell, block = row[other], cell[other], block[other]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[row], pa.int64()), batch.column("vec").take(pa.array(row)), pa.array(cell, pa.int32()),
+                 pa.array(block, pa.int32())], ["id", "vec", "cell", "block"])
+
+    visits = (stored.join(bounds, "id").select("id", "vec", "cell", "block", "bound")
+              .mapInArrow(travel, "id long, vec array<double>, cell int, block int"))
+    return (visits, stored.select("id", "vec", "cell", "block")), first.filter("nbr_id IS NOT NULL")
+
+
+def _visited(visits: DataFrame, stored: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """Results of the visits; many visits to one block are cut into parts."""
+    visits = materialize(visits, "knn-visits")
+    parts = visits.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / (4 * block_rows)).cast("int").alias("parts"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    left = visits.join(parts, ["cell", "block"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    right = stored.join(parts, ["cell", "block"]).withColumn("part", every)
+    cols = ["cell", "block", "part", "id", "vec"]
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not a.num_rows or not b.num_rows:
+            return pa.table({"id": pa.array([], pa.int64()), "nbr_id": pa.array([], pa.int64()),
+                             "dist": pa.array([], pa.float64())})
+        return _found(*_rows(a), *_rows(b), k)
+
+    keys = ["cell", "block", "part"]
+    return (left.select(*cols).toDF(*cols).groupBy(*keys)
+            .cogroup(right.select(*cols).toDF(*cols).groupBy(*keys)).applyInArrow(meet, KNN))
+
+
 def smote(train: DataFrame, k: int = 5, seed: int = 42, id_col: str = "id", vec_col: str = "vec",
-          label: str = LABEL, broadcast_rows: int = 200_000, rows_per_partition: int = 1_000_000) -> DataFrame:
+          label: str = LABEL, broadcast_bytes: int = 64_000_000, rows_per_partition: int = 1_000_000) -> DataFrame:
     """Oversample the minority class to the majority count.
 
     The deficit's sample ids s = 0 .. deficit-1 come from ``spark.range``
@@ -86,9 +224,9 @@ def smote(train: DataFrame, k: int = 5, seed: int = 42, id_col: str = "id", vec_
     Sample s belongs to minority row number (s mod m) + 1, so rows get the
     deficit evenly; it uses that row's neighbour ``hash(s) mod k_i`` and step
     u = hash-uniform in [0, 1): x_new = x + u (x_nn - x).
-    Minority rows and their neighbour lists are joined by broadcast when the
-    (counted) minority has at most ``broadcast_rows`` rows, otherwise by a
-    shuffle join. Output: (id, vec, label, synthetic).
+    Minority rows and their neighbour lists (k + 1 vectors a row) are joined by
+    broadcast when they take at most ``broadcast_bytes``, counted from rows and
+    vector length, otherwise by a shuffle join. Output: (id, vec, label, synthetic).
     """
     from strata.operators.ranking import exact_row_number
 
@@ -110,7 +248,8 @@ def smote(train: DataFrame, k: int = 5, seed: int = 42, id_col: str = "id", vec_
                .select("pos", "id", "k_i", "x"))
     nbrs = nn.join(mino.select(F.col("id").alias("nbr_id"), F.col("vec").alias("xn")), "nbr_id") \
              .select("id", "rank", "xn")
-    small = m <= broadcast_rows
+    width = mino.agg(F.max(F.size("vec"))).first()[0] or 0
+    small = m * (k + 1) * (8 * width + 32) <= broadcast_bytes
     parts = max(1, min(deficit // rows_per_partition + 1, 100_000))
     samples = spark.range(0, deficit, 1, parts).select(
         F.col("id").alias("s"), (F.col("id") % F.lit(m) + 1).alias("pos"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.ranking import exact_quantiles, exact_row_number, md5_bucket
@@ -97,10 +97,23 @@ def split_key(id_col: str = KEY, seed: int = RANDOM_STATE):
     return F.md5(F.concat_ws("-", F.col(id_col).cast("string"), F.lit(str(seed))))
 
 
+def class_allocation(sizes: DataFrame, test_size: float, label: str = LABEL, group_cols=()) -> DataFrame:
+    """``_ntest`` per class of a table (groups, label, _nc): ceil(test_size x n)
+    test rows shared over the classes by largest remainder, ties to the smaller
+    label. Whole numbers throughout; one row per class."""
+    whole = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+    n, nt = F.sum("_nc").over(whole), F.ceil(F.lit(float(test_size)) * F.sum("_nc").over(whole))
+    q = (sizes.withColumn("_n", n).withColumn("_t", nt.cast("bigint"))
+         .withColumn("_base", F.expr("(_nc * _t) div _n")).withColumn("_rem", F.expr("(_nc * _t) % _n")))
+    extra = F.row_number().over(whole.orderBy(F.col("_rem").desc(), label)) <= F.col("_t") - F.sum("_base").over(whole)
+    return q.withColumn("_ntest", F.col("_base") + extra.cast("bigint")).drop("_n", "_t", "_base", "_rem")
+
+
 def stratified_split(df: DataFrame, test_size: float = TEST_SIZE, seed: int = RANDOM_STATE,
                      label: str = LABEL, id_col: str = KEY, group_cols=()) -> DataFrame:
-    """Exact stratified split (P4, W2): per class the round(test_size * n_c)
-    rows with the smallest shuffle key go to test.
+    """Exact stratified split (P4, W2): ceil(test_size * n) test rows, shared
+    over the classes by largest remainder; per class, the rows with the smallest
+    shuffle key go to test.
 
     Ranks come from the distributed ranker (no two-partition window); class
     sizes are a tiny aggregate joined back.
@@ -109,8 +122,7 @@ def stratified_split(df: DataFrame, test_size: float = TEST_SIZE, seed: int = RA
     key = split_key(id_col, seed)
     ranked = exact_row_number(df, [key, F.col(id_col)], [*g, label], out="_rn",
                               bucket=md5_bucket(key))
-    sizes = (df.groupBy(*g, label).agg(F.count(F.lit(1)).alias("_nc"))
-               .withColumn("_ntest", F.round(F.col("_nc") * F.lit(test_size)).cast("bigint")))
+    sizes = class_allocation(df.groupBy(*g, label).agg(F.count(F.lit(1)).alias("_nc")), test_size, label, g)
     return (ranked.join(sizes, [*g, label], "inner")
                   .withColumn("split", F.when(F.col("_rn") <= F.col("_ntest"), F.lit("test"))
                               .otherwise(F.lit("train")))

@@ -25,11 +25,16 @@ Hot keys stay safe: ranges split on the order keys, so one group holding a
 third of all rows is spread over many ranges. Inputs with many equal order
 keys are pre-aggregated by the callers (distinct value -> multiplicity)
 before ranking, so a range never has to hold one giant run of equal keys.
+
+Quantiles need no ranks of all rows: they are found by narrowing value ranges
+(``exact_quantiles``).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -140,42 +145,106 @@ def exact_prefix_sum(df: DataFrame, order_cols: Sequence, value_cols: Sequence[s
         *[(F.col(f"_l_{v}") + F.col(f"_o_{v}")).alias(f"{v}{suffix}") for v in value_cols])
 
 
+BINS = 1024
+CELL_ROWS = 50_000
+
+
+def _bin_of(v: Column, lo: Column, hi: Column, bins: int, logarithmic: bool) -> Column:
+    """Number of v's bin between lo and hi, monotone in v: equal widths, or
+    equal widths of the logarithm of v's place (for values far apart).
+    Infinities and NaN, the largest value, have bins of their own."""
+    wide = (hi - lo) == float("inf")                           # halves where hi - lo overflows
+    place = F.coalesce(F.try_divide(F.when(wide, v / 2 - lo / 2).otherwise(v - lo),
+                                    F.when(wide, hi / 2 - lo / 2).otherwise(hi - lo)), F.lit(0.0))
+    if logarithmic:
+        place = F.log1p(place * F.lit(float(1 << 52))) / F.lit(math.log1p(float(1 << 52)))
+    within = F.least(F.greatest(F.floor(place * F.lit(bins)), F.lit(0)), F.lit(bins - 1))
+    return (F.when(F.isnan(v), F.lit(bins + 1)).when(v == float("inf"), F.lit(bins)).when(v == float("-inf"), F.lit(-1))
+            .otherwise(within)).cast("int")
+
+
+def _cells(rows: DataFrame, keys: list[str], more: list[str], value: str) -> DataFrame:
+    """Rows counted per (keys, more), with the least and largest value and the
+    range of finite ones."""
+    v = F.col(value)
+    finite = F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
+    return rows.groupBy(*keys, *more).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(v).alias("_lo"), F.max(v).alias("_hi"),
+        F.min(finite).alias("_flo"), F.max(finite).alias("_fhi"))
+
+
+def _wanted(cells: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells that hold a target rank."""
+    c, t = cells.alias("_c"), targets.alias("_t")
+    cond = [F.col(f"_c.{k}") == F.col(f"_t.{k}") for k in keys]
+    cond += [F.col("_c._before") <= F.col("_t._k"), F.col("_t._k") < F.col("_c._before") + F.col("_c._rows")]
+    return c.join(t, reduce(lambda x, y: x & y, cond), "left_semi")
+
+
+def _inside(vals: DataFrame, cells: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Values that lie in a cell, with it. Cells: a few per group."""
+    v, c = vals.alias("_v"), cells.alias("_c")
+    cond = [F.col(f"_v.{k}") == F.col(f"_c.{k}") for k in keys]
+    cond += [F.col(f"_v.{value}") >= F.col("_c._lo"), F.col(f"_v.{value}") <= F.col("_c._hi")]
+    return v.join(c, reduce(lambda x, y: x & y, cond)).select(
+        *[F.col(f"_v.{k}").alias(k) for k in keys], F.col(f"_v.{value}").alias(value),
+        "_c._lo", "_c._hi", "_c._flo", "_c._fhi", "_c._before")
+
+
 def exact_quantiles(long_df: DataFrame, group_cols: Sequence[str], value_col: str,
                     probs: Sequence[float], out: str = "value",
-                    num_ranges: int | None = None) -> DataFrame:
+                    bins: int = BINS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Linear-interpolated quantiles (pandas / DuckDB ``quantile_cont``) per group.
 
-    Returns (group_cols..., prob, out). NULL values are ignored. Work is a
-    distinct-value count (map-side combined), a distributed prefix sum over
-    the distinct values, and a join against the small target-rank table.
+    Returns (group_cols..., prob, out). NULL values are ignored. Ranks are
+    selected by narrowing: a cell is a range of values of a group with its
+    number of rows and of rows below it. Each round counts the values of the
+    cells that hold a target rank into ``bins`` finer cells (map-side combined:
+    a task ships bins, not values) and keeps those that hold a target. When no
+    wanted cell has over ``cell_rows`` rows, or more than one value, the values
+    inside are counted and ranked, one cell a group. The data are never sorted
+    and are read once a round; every round divides a cell's range by ``bins``,
+    of the values and of their logarithms in turn. Meant for few, large groups.
     """
     from strata.session import materialize
     keys = list(group_cols)
-    vals = long_df.filter(F.col(value_col).isNotNull())
-    # distinct values with multiplicity, written once: feeds the group sizes,
-    # the prefix sums and the final lookup without recomputing the input
-    vc = materialize(vals.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_c")), "values")
-    cum = exact_prefix_sum(vc, [value_col], ["_c"], keys, num_ranges=num_ranges)
-    sizes = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    # one target row per (group, prob): a few rows per group
-    targets = sizes.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    targets = targets.withColumn("_pos", F.col("prob") * (F.col("_n") - 1))
-    targets = targets.withColumn("_k", F.explode(F.array_distinct(F.array(
-        F.floor("_pos"), F.ceil("_pos")))))
-    c, t = cum.alias("_cm"), targets.alias("_tg")
-    cond = [F.col(f"_cm.{k}") == F.col(f"_tg.{k}") for k in keys]
-    cond += [F.col("_cm._c_cum") - F.col("_cm._c") <= F.col("_tg._k"),
-             F.col("_tg._k") < F.col("_cm._c_cum")]
-    hit = (c.join(t, cond, "inner")
-            .select(*[F.col(f"_tg.{k}").alias(k) for k in keys], F.col("_tg.prob").alias("prob"),
-                    F.col("_tg._pos").alias("_pos"), F.col("_tg._k").alias("_k"),
-                    F.col(f"_cm.{value_col}").alias("_v")))
+    vals = long_df.filter(F.col(value_col).isNotNull()).select(*keys, F.col(value_col).cast("double").alias(value_col))
+    cells = materialize(_cells(vals, keys, [], value_col).withColumn("_before", F.lit(0).cast("bigint")), "cells")
+    # one target row per (group, prob, rank): a few rows per group
+    targets = cells.select(*keys, F.col("_rows").alias("_n"), F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")) \
+        .withColumn("_pos", F.col("prob") * (F.col("_n") - 1)).drop("_n") \
+        .withColumn("_k", F.explode(F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos")))))
+    large = (F.col("_rows") > cell_rows) & (F.col("_lo") != F.col("_hi"))
+    logarithmic = False
+    while not cells.filter(large).isEmpty():
+        number = _bin_of(F.col(value_col), F.col("_flo"), F.col("_fhi"), bins, logarithmic)
+        fine = _inside(vals, cells.filter(large), keys, value_col).withColumn("_bin", number) \
+            .withColumn("_start", F.col("_before"))
+        finer = _cells(fine, keys, ["_start", "_bin"], value_col)
+        below = (Window.partitionBy(*keys, "_start").orderBy("_bin")
+                 .rowsBetween(Window.unboundedPreceding, -1))              # at most bins + 3 rows
+        finer = finer.withColumn("_before", F.col("_start") + F.coalesce(F.sum("_rows").over(below), F.lit(0)))
+        cells = materialize(cells.filter(~large).unionByName(_wanted(finer, targets, keys).select(*cells.columns)), "cells")
+        logarithmic = not logarithmic
+    single = cells.filter("_lo = _hi").select(*keys, F.col("_lo").alias("_v"), F.col("_before").alias("_from"),
+                                              (F.col("_before") + F.col("_rows")).alias("_to"))
+    counted = (_inside(vals, cells.filter("_lo <> _hi"), keys, value_col)
+               .groupBy(*keys, "_before", F.col(value_col).alias("_v")).agg(F.count(F.lit(1)).alias("_rows")))
+    run = Window.partitionBy(*keys, "_before").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = counted.withColumn("_to", F.col("_before") + F.sum("_rows").over(run)) \
+        .select(*keys, "_v", (F.col("_to") - F.col("_rows")).alias("_from"), "_to")
+    c, t = counted.unionByName(single).alias("_c"), targets.alias("_t")
+    cond = [F.col(f"_c.{k}") == F.col(f"_t.{k}") for k in keys]
+    cond += [F.col("_c._from") <= F.col("_t._k"), F.col("_t._k") < F.col("_c._to")]
+    hit = c.join(t, reduce(lambda x, y: x & y, cond)).select(
+        *[F.col(f"_t.{k}").alias(k) for k in keys], "_t.prob", "_t._pos", "_t._k", "_c._v")
     res = hit.groupBy(*keys, "prob", "_pos").agg(
         F.max(F.when(F.col("_k") == F.floor("_pos"), F.col("_v"))).alias("_lo"),
         F.max(F.when(F.col("_k") == F.ceil("_pos"), F.col("_v"))).alias("_hi"))
     frac = F.col("_pos") - F.floor("_pos")
-    return res.select(*keys, "prob",
-                      (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias(out))
+    # equal neighbours need no interpolation (infinities would give NaN)
+    between = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac)
+    return res.select(*keys, "prob", between.alias(out))
 
 
 def dense_rank_values(df: DataFrame, col: str, out: str = "code",

@@ -63,7 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
     """Cut lineage by writing a Parquet table in the shared checkpoint folder.
 
     Used before a chain of driver barriers (null fractions, medians, scaler
@@ -77,21 +77,37 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
     # zstd works in pooled heap buffers; snappy's direct ones stay until a collection
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").partitionBy(*(partition_by or [])).parquet(path)
     _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._strata_stage = path
+    return out
 
 
 # Stage tables written by this process, per application.
 _WRITTEN: dict[str, list[str]] = {}
 
 
+def remove_stage(df: DataFrame) -> None:
+    """Delete one stage table that ``materialize`` returned and nothing reads
+    any more."""
+    path = getattr(df, "_strata_stage", None)
+    written = _WRITTEN.get(df.sparkSession.sparkContext.applicationId, [])
+    if path in written:
+        written.remove(path)
+        _delete(df.sparkSession, [path])
+
+
 def drop_stages(spark: SparkSession) -> int:
     """Delete the stage tables this application wrote (call when their results
     are no longer read); returns how many."""
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    _delete(spark, paths)
+    return len(paths)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
-    return len(paths)

@@ -61,3 +61,57 @@ def test_header_of_each_file_by_position(spark):
     assert got == [("1", "2", None, None), ("3", "4", "5", None), ("6", None, None, "7"), ("A", "B", None, None)]
     df = read_csv_lenient(spark, d, columns=["x", "y"], header=True)
     assert sorted(tuple(r) for r in df.collect()) == [("1", "2"), ("6", "7"), ("A", "B")]
+
+
+def test_states_follow_lines():
+    import itertools
+
+    import numpy as np
+
+    from strata.sources.csv import follow
+    kinds = [(False, False), (True, True), (False, True), (True, False)]          # after outside, after inside
+    for n in range(5):
+        for lines in itertools.product(kinds, repeat=n):
+            for start in (False, True):
+                want = [start]
+                for out, inside in lines:
+                    want.append(inside if want[-1] else out)
+                a, b = (np.array([x[k] for x in lines], bool) for k in (0, 1))
+                assert follow(a, b, start).tolist() == want
+
+
+def test_one_file_with_multi_line_fields_is_split(spark):
+    """A large file with fields that span lines and blocks: many tasks, and the
+    rows of Python's own reader."""
+    import csv
+    import random
+    rng = random.Random(4)
+    d = tempfile.mkdtemp(prefix="strata-csv-")
+    pieces = ["a", "b,c", 'say ""no""', "x\ny", "\n\n", "long " * 30, "", "p\n\"\"q\"\"\n,r"]
+    lines, n = ["id,text,more"], 3000
+    for i in range(n):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 5)))
+        lines.append(f'{i},"{text}",{rng.choice(["m", "5\" pipe", "", chr(34) + "z" + chr(10) + "w" + chr(34)])}')
+    body = "\n".join(lines) + "\n"
+    with open(os.path.join(d, "t.csv"), "w", newline="") as f:
+        f.write(body)
+    want = sorted(tuple(r) for r in list(csv.reader(body.splitlines(True)))[1:])
+    assert len(want) == n
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spark.read.text(d).rdd.getNumPartitions() > 20
+        df = read_csv_lenient(spark, d, na_tokens=False)
+        got = sorted((r["id"], r["text"] or "", r["more"] or "") for r in df.collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == want
+
+
+def test_no_text_at_all(spark):
+    d = tempfile.mkdtemp(prefix="strata-csv-")
+    open(os.path.join(d, "t.csv"), "w").close()
+    assert read_csv_lenient(spark, d, columns=["a", "b"]).collect() == []
+    assert read_csv_lenient(spark, d).collect() == []

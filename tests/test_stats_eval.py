@@ -63,3 +63,44 @@ def test_roc_points_end_at_one(spark):
                                  "label int, prediction int, score double")
     pts = sorted((r["fpr"], r["tpr"]) for r in ev.roc_points(pred, drop_intermediate=False).collect())
     assert pts[0] == (0.0, 0.0) and pts[-1] == (1.0, 1.0) and len(pts) == 5
+
+
+def test_kde_equals_the_direct_sum(spark):
+    """The Gauss transform stays within 1e-9 of the sum over all values, also
+    for far outliers, equal values and grids finer or coarser than h."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    data = {"a": rng.normal(size=900), "b": np.concatenate([rng.normal(size=200), [60.0, 61.0]]),
+            "c": rng.integers(0, 4, 300).astype(float), "d": np.array([1e6, 1e6 + 1, 1e6 + 3])}
+    long = spark.createDataFrame([(f, float(v)) for f, vs in data.items() for v in vs] + [("e", 1.0), ("g", 2.0), ("g", 2.0)],
+                                 "feature string, value double").repartition(4)
+    for points, cut in ((1000, None), (100, 0.0), (17, 2.0)):
+        got = sx.kde_curve(long, points=points, cut=cut).collect()
+        assert {r["feature"] for r in got} == set(data) and len(got) == points * len(data)
+        for r in got:
+            v = data[r["feature"]]
+            h = v.std(ddof=1) * len(v) ** -0.2
+            want = np.exp(-0.5 * ((r["x"] - v) / h) ** 2).sum() / (len(v) * h * np.sqrt(2 * np.pi))
+            assert abs(r["density"] - want) < 1e-9
+
+
+def test_pairwise_complete_correlation_equals_pandas(spark, monkeypatch):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 6)) @ rng.normal(size=(6, 6)) + 1e6
+    x[:, 4] = 7.0                                              # constant
+    x[rng.random(x.shape) < 0.3] = np.nan
+    x[1:, 5] = np.nan                                          # one value
+    frame = pd.DataFrame(x, columns=list("abcdef"))
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in x]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in "abcdef")).repartition(7)
+    want = frame.corr()
+    for kw in ({}, {"block": 13, "tree_width": 2}):
+        got = sx.corr_matrix_lower(df, list("abcdef"), **kw).collect()
+        assert [(r["i"], r["j"]) for r in got] == [(i, j) for i in range(6) for j in range(i)]
+        for r in got:
+            w = want.loc[r["feature_a"], r["feature_b"]]
+            assert (r["r"] is None and np.isnan(w)) or abs(r["r"] - w) < 1e-9
+    none = sx.corr_matrix_lower(df.filter("a < 0"), ["a", "b"]).collect()
+    assert [r["r"] for r in none] == [None]
