@@ -9,10 +9,11 @@ The solution comes from a cascade. Rows are dealt by hash to parts of about
 ``PART_ROWS``; a task solves its part (pairs of multipliers at a time, the
 second by the largest gain) and passes on its support vectors only; parts are
 merged two by two and solved again from the multipliers they bring, until one
-is left. Its support vectors are then held against every row: while a row
-violates its optimality condition by more than ``TOL``, the support vectors go
-back into all first parts and the cascade runs again. It ends at the optimum of
-all rows; every pass raises the dual value, so it ends.
+is left. Its support vectors are then held against every row: while a pair of
+rows violates the optimality condition by more than twice ``TOL``, the support
+vectors and the ``WORST`` rows of either side go into all first parts and the
+cascade runs again. Every pass raises the dual value, so it ends, at the
+optimum of all rows.
 
 Several problems (values of C and folds) run through one cascade together,
 ``problem`` being part of every group's key. Nothing is collected on the
@@ -32,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.session import materialize
@@ -40,6 +41,7 @@ from strata.session import materialize
 PART_ROWS = 2000
 TOL = 1e-3
 CACHE_BYTES = 256_000_000
+WORST = 200
 ROWS = "problem int, part int, id long, y double, c double, alpha double, b double, x array<double>"
 
 
@@ -192,16 +194,30 @@ def cascade(rows: DataFrame, gamma: float, parts: int, tol: float = TOL) -> Data
         if parts == 1:                                   # one part held every row
             return level if done is None else done.unionByName(level)
         open_rows = rows if done is None else rows.join(level.select("problem").distinct(), "problem", "left_semi")
-        seen = level.filter("alpha > 0").select("problem", "id")
-        worst = (decision_values(open_rows, level, gamma, parts).join(seen, ["problem", "id"], "left_anti")
-                 .filter(F.col("y") * F.col("decision") < 1 - 2 * tol).select("problem").distinct())
+        alpha = level.filter("alpha > 0").select("problem", "id", "alpha")
+        held = materialize(decision_values(open_rows, level, gamma, parts).join(alpha, ["problem", "id"], "left")
+                           .withColumn("value", F.col("y") - F.col("decision"))
+                           .withColumn("alpha", F.coalesce("alpha", F.lit(0.0))), "svm-held")
+        rise = F.when(F.col("y") > 0, F.col("alpha") < F.col("c")).otherwise(F.col("alpha") > 0)
+        fall = F.when(F.col("y") > 0, F.col("alpha") > 0).otherwise(F.col("alpha") < F.col("c"))
+        worst = held.groupBy("problem").agg(F.max(F.when(rise, F.col("value"))).alias("top"),
+                                            F.min(F.when(fall, F.col("value"))).alias("low")) \
+            .filter(F.col("top") - F.col("low") > 2 * tol).select("problem")
         again = materialize(worst, "svm-open")
         settled = level.join(again, "problem", "left_anti")
         done = settled if done is None else done.unionByName(settled)
         if again.isEmpty():
             return materialize(done, "svm-vectors")
-        back = level.filter("alpha > 0").join(again, "problem", "left_semi").drop("part") \
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(*names)
+        # every part gets the support vectors and the worst rows of either side, so one part at
+        # least holds the pair that violates most and improves on the solution
+        up = Window.partitionBy("problem").orderBy(F.col("value").desc(), "id")
+        down = Window.partitionBy("problem").orderBy("value", "id")
+        idle = held.filter("alpha = 0").join(again, "problem", "left_semi")
+        pairs = idle.filter("y > 0").withColumn("r", F.row_number().over(up)).filter(F.col("r") <= WORST) \
+            .unionByName(idle.filter("y < 0").withColumn("r", F.row_number().over(down)).filter(F.col("r") <= WORST))
+        shared = materialize(level.filter("alpha > 0").join(again, "problem", "left_semi").select(*names).unionByName(
+            rows.join(pairs.select("problem", "id"), ["problem", "id"], "left_semi").select(*names)), "svm-shared")
+        back = shared.drop("part").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(*names)
         first = rows.join(again, "problem", "left_semi").select(*names).unionByName(back)
 
 
