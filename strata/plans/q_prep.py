@@ -49,9 +49,15 @@ def prep_ctes(inclusive: bool = False, variant: bool = False) -> list[str]:
         final,
         "med AS (SELECT cohort, feature, quantile_cont(value, 0.5) AS med FROM cvals GROUP BY cohort, feature)",
         "ranked AS (SELECT cohort, PATIENT, label, row_number() OVER (PARTITION BY cohort, label "
-        f"ORDER BY {MD5}, PATIENT) AS rn, count(*) OVER (PARTITION BY cohort, label) AS nc FROM coh)",
-        "splits AS (SELECT cohort, PATIENT, label, CASE WHEN rn <= round(nc * 0.2) THEN 'test' "
-        "ELSE 'train' END AS split FROM ranked)",
+        f"ORDER BY {MD5}, PATIENT) AS rn FROM coh)",
+        "quota AS (SELECT cohort, label, count(*) AS nc, sum(count(*)) OVER (PARTITION BY cohort) AS n, "
+        "CAST(ceil(CAST(0.2 AS DOUBLE) * sum(count(*)) OVER (PARTITION BY cohort)) AS BIGINT) AS t "
+        "FROM coh GROUP BY cohort, label)",
+        "alloc AS (SELECT cohort, label, base + CASE WHEN row_number() OVER (PARTITION BY cohort ORDER BY rem DESC, "
+        "label) <= t - sum(base) OVER (PARTITION BY cohort) THEN 1 ELSE 0 END AS ntest "
+        "FROM (SELECT *, nc * t // n AS base, nc * t % n AS rem FROM quota))",
+        "splits AS (SELECT r.cohort, r.PATIENT, r.label, CASE WHEN r.rn <= a.ntest THEN 'test' "
+        "ELSE 'train' END AS split FROM ranked r JOIN alloc a ON a.cohort = r.cohort AND a.label = r.label)",
         "imputed AS (SELECT s.cohort, s.split, s.PATIENT, s.label, f.feature, "
         "CASE WHEN k.feature IS NULL THEN 0.0 ELSE coalesce(v.value, md.med) END AS value "
         "FROM splits s JOIN final_feats f ON f.cohort = s.cohort "
