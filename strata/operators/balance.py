@@ -129,7 +129,7 @@ def _knn_phases(points: DataFrame, k: int, id_col: str, vec_col: str, block_rows
         def alone(table: pa.Table) -> pa.Table:
             ids, x = _rows(table)
             return _found(ids, x, ids, x, k)
-        return None, pts.groupBy(F.lit(0)).applyInArrow(alone, KNN)
+        return None, pts.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(alone, KNN)
     pivots = _pivots(pts, n, block_rows)
 
     def place(batches):
@@ -149,7 +149,7 @@ def _knn_phases(points: DataFrame, k: int, id_col: str, vec_col: str, block_rows
     count = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
     stored = placed.withColumn("block", F.pmod(F.xxhash64("id"), count).cast("int"))
 
-    def own(key, table: pa.Table) -> pa.Table:
+    def own(key, table):
         ids, x = _rows(table)
         got = _found(ids, x, ids, x, k)
         bound = np.full(len(ids), np.inf)

@@ -32,6 +32,31 @@ def test_quantiles_match_percentile(spark):
             assert abs(q[(g, p)] - v) < 1e-9
 
 
+@pytest.mark.parametrize("bins,cell_rows", [(1024, 50_000), (4, 10), (3, 1)])
+def test_quantiles_by_narrowing(spark, bins, cell_rows):
+    """Heavy tails, many equal values, constants, infinities, one row, nulls:
+    the same values however often the ranges are narrowed."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    data = {"normal": rng.normal(size=400), "tails": np.exp(rng.normal(size=300) * 40), "same": np.full(100, 3.5),
+            "few": rng.integers(0, 3, 500).astype(float), "one": np.array([7.0]), "wide": np.array([-1.7e308, 1.7e308, 0.0, 1.0]),
+            "ends": np.array([-np.inf, -np.inf, 1.0, 2.0, np.inf, np.inf, np.inf]), "zeros": np.array([0.0, -0.0, 1e-320, 0.0])}
+    rows = [(g, float(v)) for g, vs in data.items() for v in vs] + [("normal", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
+    got = {(r["g"], r["prob"]): r["value"] for r in
+           exact_quantiles(df, ["g"], "v", probs, bins=bins, cell_rows=cell_rows).collect()}
+    assert {g for g, _ in got} == set(data)
+    for g, vs in data.items():
+        s = np.sort(vs)
+        for p in probs:
+            k = p * (len(s) - 1)
+            lo, hi = s[math.floor(k)], s[math.ceil(k)]
+            want = lo if lo == hi else lo + (hi - lo) * (k - math.floor(k))
+            both_nan = math.isnan(got[(g, p)]) and math.isnan(want)      # half way from -inf
+            assert both_nan or got[(g, p)] == want or math.isclose(got[(g, p)], want, rel_tol=1e-12), (g, p)
+
+
 def _points(spark, n=60, dim=4):
     return spark.range(n).select(F.col("id"), F.array(*[F.rand(100 + i) for i in range(dim)]).alias("vec"))
 
@@ -105,3 +130,20 @@ def test_knn_over_several_blocks(spark):
     one = {(r["id"], r["rank"]): r["nbr_id"] for r in ba.knn_within(pts, 3).collect()}
     many = {(r["id"], r["rank"]): r["nbr_id"] for r in ba.knn_within(pts, 3, block_rows=16).collect()}
     assert one == many and len(one) == 270
+
+
+def test_knn_prunes_clustered_points(spark):
+    """Same rows as brute force, with ties and equal points, while most visits
+    of points to other blocks are skipped."""
+    import numpy as np
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 5)) * 20
+    x = np.concatenate([c + rng.normal(size=(40, 5)) for c in centres] + [np.tile(centres[0], (15, 1)), rng.integers(0, 3, (60, 5))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x.astype(float))], "id long, vec array<double>")
+    got = {(r["id"], r["rank"]): (r["nbr_id"], r["dist"]) for r in ba.knn_within(df, 4, block_rows=32).collect()}
+    for i, v in enumerate(x):
+        d = np.sqrt(((x - v) ** 2).sum(1))
+        order = [j for j in np.lexsort((np.arange(len(x)), d)) if j != i][:4]
+        assert [got[(i, r + 1)] for r in range(4)] == [(j, d[j]) for j in order]
+    made, every = ba.knn_visits(df, 4, block_rows=32)
+    assert 0 < made < 0.35 * every
