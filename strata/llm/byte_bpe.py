@@ -11,7 +11,8 @@ is that token (the rank rule for tokens no merge reaches).
 Texts are cut into pre-tokens by the pattern given with the vocabulary. A
 pre-token never reaches from one run of white space into the next, so a text
 is first cut at white space and each distinct piece is handled once per task
-(the memo is emptied when it is large; it never changes results).
+(the memo is emptied when it takes ``MEMO_BYTES`` and at the end of a task; it
+never changes results).
 
 Defined cases: null text is empty; an empty text has no ids; repeated rows
 are encoded alike; null ids pass through; other columns are ignored.
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 
 # White space of the vocabulary's pattern (Unicode White_Space, fixed values).
 WHITE = "\t-\r \x85\xa0  -     　"
-MEMO = 600_000
+MEMO_BYTES = 64_000_000
 OUT_IDS = "doc_id long, ids array<int>"
 OUT_BYTES = "doc_id long, decoded binary"
 OUT_DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -112,6 +113,7 @@ class Codec:
         self._chars = dict(enumerate(byte_characters()))
         self._pattern = regex.compile(pattern)
         self._cut = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+        self._held = 0                               # bytes of the memo, about
         self._ids: dict[str, bytes] = {}             # piece -> int32 ids
         self._text: dict[str, str] = {}              # piece -> ids in decimal
 
@@ -134,18 +136,23 @@ class Codec:
         for p, g in zip(pieces, grams):
             ids = known[g[0]] if len(g) == 1 else b"".join(map(known.__getitem__, g))
             self._ids[p] = ids
-            self._text[p] = ",".join(map(str, array("i", ids)))
+            self._text[p] = text = ",".join(map(str, array("i", ids)))
+            self._held += 400 + 2 * len(p) + len(ids) + len(text)
 
     def _pieces(self, texts: list[str]) -> list[list[str]]:
-        if len(self._ids) > MEMO:
-            self._ids.clear()
-            self._text.clear()
+        if self._held > MEMO_BYTES:
+            self.forget()
         cut = [self._cut.findall(t) for t in texts]
         new = [p for p in set().union(*cut) if p not in self._ids]
         if new:
             self._encode_new(new)
         return cut
 
+    def forget(self) -> None:
+        self._ids.clear()
+        self._text.clear()
+        self._held = 0
+
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """int32 ids of each text."""
         get = self._ids.__getitem__
@@ -184,7 +191,7 @@ def _groups(texts: list[str], most: int = 4_000_000):
         yield lo, len(texts)
 
 
-def _mapped(docs: DataFrame, id_col: str, text_col: str, make, schema: str) -> DataFrame:
+def _mapped(docs: DataFrame, id_col: str, text_col: str, make, schema: str, path: str, pattern: str) -> DataFrame:
     from pyspark.sql import functions as F
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
@@ -193,6 +200,7 @@ def _mapped(docs: DataFrame, id_col: str, text_col: str, make, schema: str) -> D
             ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
             for lo, hi in _groups(texts):
                 yield make(ids.slice(lo, hi - lo), texts[lo:hi])
+        codec(path, pattern).forget()                      # the worker outlives the task
     return rows.mapInArrow(run, schema)
 
 
@@ -202,7 +210,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def make(ids, texts):
         return pa.record_batch({"doc_id": ids, "ids": pa.array(
             codec(path, pattern).encode_batch(texts), pa.list_(pa.int32()))})
-    return _mapped(docs, id_col, text_col, make, OUT_IDS)
+    return _mapped(docs, id_col, text_col, make, OUT_IDS, path, pattern)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -227,4 +235,4 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
             "n_tokens": pa.array([len(g) for g, _ in got], pa.int64()),
             "ids_sha256": pa.array([hashlib.sha256(d.encode()).hexdigest() for _, d in got]),
             "decoded_sha256": pa.array([hashlib.sha256(c.decode(g)).hexdigest() for g, _ in got])})
-    return _mapped(docs, id_col, text_col, make, OUT_DIGEST)
+    return _mapped(docs, id_col, text_col, make, OUT_DIGEST, path, pattern)
