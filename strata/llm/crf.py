@@ -31,6 +31,7 @@ every score is 0; repeated rows score alike; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 import re
 
 import numpy as np
@@ -49,8 +50,9 @@ STEP = 0.75                                            # strength per bucket
 BUCKETS = 9                                            # 0: no sign
 STRONG = 3                                             # bucket that labels a token toxic
 LEAST_TOXIC = 3
-GAP = 64                                               # powers kept; later ones do not change
-MEMO = 500_000
+NEAR = 64                                              # gaps whose powers are listed
+FAR = 10_000                                           # longer gaps remembered
+MEMO_BYTES = 24_000_000
 OUT = ("doc_id long, score double, n_tokens long, expected_toxic double, "
        "offsets array<struct<start:int,end:int,p:double>>")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -62,15 +64,17 @@ def signs_of(word: str) -> list[str]:
 
 
 class _Buckets(dict):
-    """Strength bucket of a token, remembered."""
+    """Strength bucket of a token, remembered in about ``MEMO_BYTES``."""
 
     def __init__(self, signs: dict[str, float]):
         super().__init__()
-        self.signs = signs
+        self.signs, self.held = signs, 0
 
     def __missing__(self, token: str) -> int:
-        if len(self) > MEMO:
+        self.held += 160 + 2 * len(token)
+        if self.held > MEMO_BYTES:
             self.clear()
+            self.held = 160 + 2 * len(token)
         get = self.signs.get
         best = max((get(s, 0.0) for s in signs_of(token.lower())), default=0.0)
         b = min(BUCKETS - 1, 1 + int(best / STEP)) if best > 0 else 0
@@ -88,21 +92,42 @@ class Crf:
         self._ready = None
 
     def _powers(self):
-        """Powers of (transition x factor of a token without sign), scaled."""
+        """The transition, and powers of (transition x factor of a token
+        without sign), each scaled to sum 1: up to ``NEAR``, and every 2^k."""
         if self._ready is None:
             t = np.exp(self.transition)
             base = t * np.array([1.0, np.exp(self.emission[0])])
-            out = [np.eye(2)]
-            for _ in range(GAP):
-                m = out[-1] @ base
-                out.append(m / m.sum())
-            self._ready = [(t @ np.eye(2)).tolist(), [m.tolist() for m in out]]
+            near, twice = [np.eye(2)], [base / base.sum()]
+            for _ in range(NEAR):
+                m = near[-1] @ base
+                near.append(m / m.sum())
+            for _ in range(62):
+                m = twice[-1] @ twice[-1]
+                twice.append(m / m.sum())
+            self._ready = [t.tolist(), [m.tolist() for m in near], twice, {}]
         return self._ready
 
+    def _power(self, gap: int) -> list[list[float]]:
+        """The power of a gap of any length, by its binary digits."""
+        _, near, twice, far = self._powers()
+        if gap <= NEAR:
+            return near[gap]
+        got = far.get(gap)
+        if got is None:
+            m = np.eye(2)
+            for k in range(gap.bit_length()):
+                if gap >> k & 1:
+                    m = m @ twice[k]
+                    m = m / m.sum()
+            if len(far) >= FAR:
+                far.clear()
+            got = far[gap] = m.tolist()
+        return got
+
     def marginals(self, at: list[int], bucket: list[int], n: int) -> list[float]:
         """P(tag 1) of the tokens at the sorted places ``at`` of n tokens; all
         other tokens have bucket 0."""
-        t, power = self._powers()
+        t, power = self._powers()[0], self._power
         e = np.exp(self.emission).tolist()
         first = float(np.exp(self.first))
         factors, states = [], []
@@ -112,11 +137,11 @@ class Crf:
             if last < 0:
                 if p:                                      # p tokens without sign come first
                     x0, x1 = a0, a1 * e[0]
-                    m = power[min(p - 1, GAP)]
+                    m = power(p - 1)
                     x0, x1 = x0 * m[0][0] + x1 * m[1][0], x0 * m[0][1] + x1 * m[1][1]
                     a0, a1 = x0 * t[0][0] + x1 * t[1][0], x0 * t[0][1] + x1 * t[1][1]
             else:
-                m = power[min(p - last - 1, GAP)]
+                m = power(p - last - 1)
                 x0, x1 = a0 * m[0][0] + a1 * m[1][0], a0 * m[0][1] + a1 * m[1][1]
                 a0, a1 = x0 * t[0][0] + x1 * t[1][0], x0 * t[0][1] + x1 * t[1][1]
             a1 *= e[b]
@@ -125,7 +150,7 @@ class Crf:
             states.append((a0, a1))
             last = p
         out = [0.0] * len(at)
-        m = power[min(n - 1 - last, GAP)]
+        m = power(n - 1 - last)
         b0, b1 = m[0][0] + m[0][1], m[1][0] + m[1][1]
         for k in range(len(at) - 1, -1, -1):
             a0, a1 = states[k]
@@ -133,7 +158,7 @@ class Crf:
             if k:
                 f1 = e[bucket[k]] * b1
                 x0, x1 = t[0][0] * b0 + t[0][1] * f1, t[1][0] * b0 + t[1][1] * f1
-                m = power[min(at[k] - at[k - 1] - 1, GAP)]
+                m = power(at[k] - at[k - 1] - 1)
                 b0, b1 = m[0][0] * x0 + m[0][1] * x1, m[1][0] * x0 + m[1][1] * x1
                 s = b0 + b1
                 b0, b1 = b0 / s, b1 / s
@@ -377,10 +402,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     keep = [c for c in every if c != text_col]             # the text travels once
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("__text"),
                        *[F.col(c).alias(f"__{i}") for i, c in enumerate(keep)])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most most_signs signs
+    # at most most_signs signs; bytes, so that a worker keeps no model after the task
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
     def run(batches):
-        m = shared.value
+        m = pickle.loads(shared.value)                         # the task's own: it goes with its memo
         for batch in batches:
             n_tokens, expected, offsets, feats = [], [], [], []
             for text in batch.column(1).to_pylist():

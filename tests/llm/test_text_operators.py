@@ -273,5 +273,32 @@ def test_pipeline_on_awkward_rows(spark):
 def test_registered():
     import __spark_entry__ as E
     names = [q for q in E.queries() if re.match(r"op\d+_", q)]
-    assert sorted(int(re.match(r"op(\d+)", q)[1]) for q in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)", q)[1]) for q in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_marginals_of_long_gaps():
+    """Exact far beyond the listed powers, also where tags mix slowly."""
+    import numpy as np
+
+    from strata.llm.crf import Crf
+    rng = np.random.default_rng(5)
+    for transition, n in ((np.array([[4.0, -4.0], [-4.0, 4.0]]), 300), (rng.normal(size=(2, 2)) * 2, 2000),
+                          (np.array([[3.0, -3.0], [-5.0, 5.0]]), 10_000)):
+        crf = Crf(np.concatenate([[-0.05], rng.normal(size=8)]), transition, 0.3)
+        at = sorted({10, n - 10, *rng.integers(0, n, 4).tolist()})
+        bucket = rng.integers(1, 9, len(at)).tolist()
+        b = np.zeros(n, int)
+        b[at] = bucket
+        t, e = np.exp(crf.transition), np.exp(crf.emission)
+        factor = np.column_stack([np.ones(n), e[b]])
+        forward, backward = np.empty((n, 2)), np.ones((n, 2))
+        forward[0] = factor[0] * [1.0, np.exp(crf.first)]
+        for k in range(1, n):
+            forward[k] = (forward[k - 1] / forward[k - 1].sum()) @ t * factor[k]
+        for k in range(n - 2, -1, -1):
+            backward[k] = t @ (factor[k + 1] * backward[k + 1])
+            backward[k] /= backward[k].sum()
+        p = forward * backward
+        want = (p[:, 1] / p.sum(1))[at]
+        assert np.abs(np.array(crf.marginals(at, bucket, n)) - want).max() < 1e-9
