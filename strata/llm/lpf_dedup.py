@@ -3,8 +3,9 @@
 Anchors: the smallest hashed ``SEED``-byte gram of each window (a minimizer).
 Equal windows have the same minimizer, so all copies of a window meet in the
 minimizer's bucket; consecutive windows with one minimizer travel together as
-one text of at most ``2 * width`` bytes. Windows of a minimizer that many
-chunks hold are compared by two 64-bit hashes of their halves instead.
+one text of at most ``2 * width`` bytes. Windows of a minimizer that over
+``HOT_CHUNKS`` chunks hold are compared by two 64-bit hashes of their halves
+instead.
 
 In a bucket the texts are concatenated and their suffixes sorted (prefix
 doubling up to the window length, ties by document). For every suffix the
@@ -30,11 +31,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from strata.llm import chunks as ch
 from strata.llm import repeats as rp
 from strata.llm.textarrays import Texts, prefix_hash, slice_hash
 
 WIDTH = 50
 SEED = 24
+HOT_CHUNKS = 254                       # the most that a one-byte count tells from "more"
 OUT = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -207,5 +210,6 @@ def remove_repeated_bytes(docs: DataFrame, width: int = WIDTH, seed: int = SEED,
         b = t.offsets[:-1][w.row[idx]] + w.start[idx]
         return slice_hash(w.prefix, b, b + width // 2), slice_hash(w.prefix, b + width // 2, b + width)
 
+    plan = plan or ch.Plan(ch.text_bytes(docs, text_col), hot_chunks=HOT_CHUNKS)
     return rp.remove_repeats(docs, windows, keys, payload, window_keys, _flag_windows(width), _cut,
                              OUT, width, plan, id_col, text_col)
