@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 
 # White space of the vocabulary's pattern (Unicode White_Space, fixed values).
 WHITE = "\t-\r \x85\xa0  -     　"
-MEMO_BYTES = 64_000_000
+MEMO_BYTES = 80_000_000
 OUT_IDS = "doc_id long, ids array<int>"
 OUT_BYTES = "doc_id long, decoded binary"
 OUT_DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -115,7 +115,7 @@ class Codec:
         self._cut = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
         self._held = 0                               # bytes of the memo, about
         self._ids: dict[str, bytes] = {}             # piece -> int32 ids
-        self._text: dict[str, str] = {}              # piece -> ids in decimal
+        self._decimal = [str(i) for i in range(max(self.ranks.values()) + 2)]
 
     def _encode_new(self, pieces: list[str]) -> None:
         """Memorise the ids of new pieces; the model gets all their unknown
@@ -136,8 +136,7 @@ class Codec:
         for p, g in zip(pieces, grams):
             ids = known[g[0]] if len(g) == 1 else b"".join(map(known.__getitem__, g))
             self._ids[p] = ids
-            self._text[p] = text = ",".join(map(str, array("i", ids)))
-            self._held += 400 + 2 * len(p) + len(ids) + len(text)
+            self._held += 200 + 2 * len(p) + len(ids)
 
     def _pieces(self, texts: list[str]) -> list[list[str]]:
         if self._held > MEMO_BYTES:
@@ -150,7 +149,6 @@ class Codec:
 
     def forget(self) -> None:
         self._ids.clear()
-        self._text.clear()
         self._held = 0
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
@@ -160,9 +158,8 @@ class Codec:
 
     def encode_with_decimals(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
         """Ids of each text, also written in decimal and joined by commas."""
-        get, dec = self._ids.__getitem__, self._text.__getitem__
-        return [(np.frombuffer(b"".join(map(get, c)), np.int32), ",".join(map(dec, c)))
-                for c in self._pieces(texts)]
+        name = self._decimal.__getitem__
+        return [(ids, ",".join(map(name, ids.tolist()))) for ids in self.encode_batch(texts)]
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the ids' tokens in order (inverse mapping)."""
