@@ -86,6 +86,30 @@ def csv_column_predicate_scan(spark, sf_dir):
             .groupBy("column_name").agg(F.count(F.lit(1)).alias("n")))
 
 
+@register("csv_multiline_scan", (
+    "SELECT o_custkey AS PATIENT, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(length(note)) AS BIGINT) AS n_chars, "
+    "CAST(sum(length(note) - length(replace(note, chr(10), ''))) AS BIGINT) AS n_line_ends, "
+    "min(o_orderkey) AS first_id FROM (SELECT *, o_orderpriority || chr(10) || 'said \"' || o_orderstatus || '\", twice' "
+    "|| CASE WHEN o_orderstatus = 'F' THEN chr(10) || chr(10) || 'end' ELSE '' END AS note FROM orders) GROUP BY o_custkey"))
+def csv_multiline_scan(spark, sf_dir):
+    """Files with headers, written in two column orders, whose quoted
+    fields hold line ends, blank lines, commas and quotes."""
+    o = read_table(spark, sf_dir, "orders")
+    status = F.col("o_orderstatus")
+    note = F.concat("o_orderpriority", F.lit('\nsaid "'), status, F.lit('", twice'),
+                    F.when(status == "F", "\n\nend").otherwise(""))
+    rows = o.select(F.col("o_orderkey").alias("Id"), F.col("o_custkey").alias("PATIENT"), note.alias("NOTE"), status.alias("S"))
+    path = sinks.scratch_path(spark, "csv")
+    out = {"header": True, "escape": '"'}
+    rows.filter("S = 'O'").drop("S").write.mode("overwrite").options(**out).csv(path)
+    rows.filter("S <> 'O'").select("NOTE", "PATIENT", "Id").write.mode("append").options(**out).csv(path)
+    got = read_csv_lenient(spark, path)
+    ends = F.length("NOTE") - F.length(F.regexp_replace("NOTE", "\n", ""))
+    return got.groupBy(F.col("PATIENT").cast("bigint").alias("PATIENT")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("NOTE")).cast("bigint").alias("n_chars"),
+        F.sum(ends).cast("bigint").alias("n_line_ends"), F.min(F.col("Id").cast("bigint")).alias("first_id"))
+
+
 @register("na_tokens", (
     "SELECT c_nationkey AS nation, CAST(count(seg) AS BIGINT) AS n_present, "
     "CAST(count(DISTINCT seg) AS BIGINT) AS n_distinct FROM (SELECT c_nationkey, CASE c_mktsegment "

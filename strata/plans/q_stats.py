@@ -12,6 +12,7 @@ from strata.operators import stats as sx
 from strata.plans.common import compose, r, register, rounded
 from strata.plans.q_prep import VIEWS, prep_ctes
 from strata.plans.workflow import prepare_cohorts, tagged_splits
+from strata.sources.tables import read_table
 
 KEY = "PATIENT"
 
@@ -352,3 +353,25 @@ def violin_density(spark, sf_dir):
     k = sx.kde_curve(lg.select("cohort", "label", "feature", "value"), ["cohort", "label"], 100,
                      cut=0.0)
     return rounded(k.withColumn("k", F.col("k").cast("int")), per={"density": 9})
+
+
+_GAPS = ["balance", "n_orders", "spent", "largest"]
+_GAPS_SQL = ("SELECT c.c_custkey, CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal AS DOUBLE) END AS balance, "
+             "CAST(o.n AS DOUBLE) AS n_orders, CAST(o.spent AS DOUBLE) AS spent, "
+             "CASE WHEN o.n > 5 THEN CAST(o.largest AS DOUBLE) END AS largest FROM customer c LEFT JOIN "
+             "(SELECT o_custkey, count(*) AS n, sum(o_totalprice) AS spent, max(o_totalprice) AS largest FROM orders "
+             "GROUP BY o_custkey) o ON o.o_custkey = c.c_custkey")
+
+
+@register("corr_pairwise_complete", f"WITH g AS ({_GAPS_SQL}) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {r(f'corr({a}, {b})')} AS r FROM g"
+    for i, a in enumerate(_GAPS) for b in _GAPS[:i]))
+def corr_pairwise_complete(spark, sf_dir):
+    """X2 on columns with missing values: each pair over the rows that have both."""
+    orders = read_table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).cast("double").alias("n_orders"), F.sum("o_totalprice").cast("double").alias("spent"),
+        F.max("o_totalprice").cast("double").alias("most"))
+    frame = read_table(spark, sf_dir, "customer").join(orders, "c_custkey", "left").select(
+        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal").cast("double")).alias("balance"), "n_orders", "spent",
+        F.when(F.col("n_orders") > 5, F.col("most")).alias("largest"))
+    return rounded(sx.corr_matrix_lower(frame, _GAPS).select("feature_a", "feature_b", "r"))

@@ -56,3 +56,23 @@ def test_align_adds_zero_columns(spark):
     df = spark.createDataFrame([("p", 1, 2.0, 3.0)], "PATIENT string, label int, a double, extra double")
     out = pp.align_columns(df, ["b", "a"])
     assert out.columns == ["PATIENT", "label", "b", "a"] and tuple(out.first()) == ("p", 1, 0.0, 2.0)
+
+
+def test_class_allocation_by_largest_remainder(spark):
+    """ceil(0.2 n) test rows for every class mix, each class within one row of
+    its share; ties to the smaller label."""
+    import math
+
+    from strata.operators.preprocess import class_allocation
+    mixes = [(12, 12), (107, 12), (1, 1), (3, 0), (1000, 1), (7, 7, 7), (2, 3, 5, 8, 13), (86, 2066)]
+    rows = [(g, c, n) for g, mix in enumerate(mixes) for c, n in enumerate(mix) if n]
+    sizes = spark.createDataFrame(rows, "g int, label int, _nc long")
+    got = {(r["g"], r["label"]): r["_ntest"] for r in class_allocation(sizes, 0.2, "label", ["g"]).collect()}
+    for g, mix in enumerate(mixes):
+        total, want = sum(mix), math.ceil(0.2 * sum(mix))
+        mine = [got.get((g, c), 0) for c in range(len(mix))]
+        assert sum(mine) == want
+        assert all(abs(m - n * want / total) < 1 for m, n in zip(mine, mix))
+    assert [got[0, c] for c in (0, 1)] == [3, 2] and [got[1, c] for c in (0, 1)] == [22, 2]
+    one = {r["label"]: r["_ntest"] for r in class_allocation(sizes.filter("g = 1").drop("g"), 0.2).collect()}
+    assert one == {0: 22, 1: 2}
