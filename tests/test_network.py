@@ -142,3 +142,27 @@ def test_model_scores_and_round_trip(spark, tmp_path):
     with pytest.raises(ValueError):
         net.train(df.filter("id < 0"), 5, (8,))
     assert net.fine_tune(model, df.filter("id < 0")).state.t == model.state.t
+
+
+def test_steps_are_in_place_and_own_their_arrays():
+    """Views of the weights follow the steps; the arrays given do not change."""
+    sizes, rng = [3, 4, 1], np.random.default_rng(3)
+    first = net.first_weights(sizes, 5)
+    kept, state = first.copy(), net.State.fresh(first)
+    layers, gradient = net.unflatten(state.weights, sizes), np.empty_like(first)
+    m = v = np.zeros_like(first)
+    want = first.copy()
+    for t in range(1, 4):
+        x, y = rng.normal(size=(8, 3)), np.arange(8) % 2.0
+        loss, g = net.loss_and_gradient(want, sizes, x, y)
+        assert net.gradient_into(net.unflatten(gradient, sizes), layers, x, y) == loss
+        np.testing.assert_array_equal(gradient, g)
+        before, copy = state.weights.copy(), state.own()
+        state.step(sizes, gradient, 8, 0.01, 0.0)
+        np.testing.assert_array_equal(copy.weights, before)
+        g = g / 8
+        m, v = net.BETA1 * m + (1 - net.BETA1) * g, net.BETA2 * v + (1 - net.BETA2) * g * g
+        now = 0.01 * np.sqrt(1 - net.BETA2 ** t) / (1 - net.BETA1 ** t)
+        want = want - now * m / (np.sqrt(v) + net.EPSILON)
+        np.testing.assert_allclose(state.weights, want, rtol=1e-14, atol=1e-16)
+    np.testing.assert_array_equal(first, kept)
