@@ -7,8 +7,8 @@ one text of at most ``2 * width`` bytes. Windows of a minimizer that over
 ``HOT_CHUNKS`` chunks hold are compared by two 64-bit hashes of their halves
 instead.
 
-In a bucket the texts are concatenated and their suffixes sorted (prefix
-doubling up to the window length, ties by document). For every suffix the
+In a bucket the texts are concatenated and their suffixes that start a window
+sorted (up to the window length, ties by document). For every suffix the
 previous and the next entry of the suffix array with a smaller document are
 found with the least common prefix on the way; the larger of the two prefixes
 is the suffix's longest previous factor, cut to the window length (prefixes
@@ -38,6 +38,7 @@ from strata.llm.textarrays import Texts, prefix_hash, slice_hash
 WIDTH = 50
 SEED = 24
 HOT_CHUNKS = 254                       # the most that a one-byte count tells from "more"
+PACK = "zstd", 1                       # of the runs' text: Spark's own lz4 codes no letters
 OUT = "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -78,26 +79,40 @@ def _ends(t, w, first, count, width):
     return begin, begin + count + (width - 1)
 
 
-def suffix_ranks(text: np.ndarray, width: int) -> np.ndarray:
-    """Order ranks of all suffixes of ``text`` cut to ``width`` bytes
-    (equal ranks: equal cut suffixes). ``text`` must end in ``width`` pads."""
+def suffix_ranks(text: np.ndarray, width: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Order ranks of the suffixes of ``text`` that start at ``at`` (all, if not
+    given), cut to ``width`` bytes (equal ranks: equal cut suffixes). ``text``
+    must end in ``width`` pads.
+
+    Sorted by their first bytes; then only suffixes that are still tied are
+    sorted by as many more as fit beside their rank in 64 bits."""
     n = len(text)
-    rank = text.astype(np.uint64)
-    have = 1
-    while have < 8:                                     # pack eight bytes
-        step = min(have, 8 - have)
-        nxt = np.zeros(n, np.uint64)
-        nxt[:n - step] = rank[step:]
-        rank = (rank << np.uint64(8 * step)) | nxt
-        have += step
-    rank = np.unique(rank, return_inverse=True)[1].astype(np.uint64)
-    while have < width:
-        step = min(have, width - have)
-        nxt = np.zeros(n, np.uint64)
-        nxt[:n - step] = rank[step:]
-        rank = np.unique((rank << np.uint64(32)) | nxt, return_inverse=True)[1].astype(np.uint64)
-        have += step
-    return rank.astype(np.int64)
+    at = np.arange(n) if at is None else at
+    padded = np.concatenate([text, np.zeros(width + 8, np.uint8)])
+    # the eight bytes from every position on, most significant first
+    words = np.ndarray((n + width,), ">u8", padded, strides=(1,))
+    rank = np.zeros(len(at), np.int64)                  # entries that sort before
+    tied = np.arange(len(at))
+    have = 0
+    while have < width and len(tied):
+        old = rank[tied]
+        take = min((64 - int(old.max()).bit_length()) // 8, width - have)
+        key = words[at[tied] + have].astype(np.uint64) >> np.uint64(64 - 8 * take)
+        if have:
+            key |= old.astype(np.uint64) << np.uint64(8 * take)
+        order = np.argsort(key)
+        tied, key, old = tied[order], key[order], old[order]
+        head = np.ones(len(key), bool)
+        head[1:] = key[1:] != key[:-1]
+        first = np.flatnonzero(head)
+        size = np.diff(np.append(first, len(key)))
+        outer = np.ones(len(key), bool)
+        outer[1:] = old[1:] != old[:-1]
+        start = np.flatnonzero(outer)[np.cumsum(outer) - 1]
+        rank[tied] = np.repeat(old[first] + first - start[first], size)
+        tied = tied[np.repeat(size > 1, size)]
+        have += take
+    return rank
 
 
 def _previous_smaller(doc: np.ndarray, lcp: np.ndarray) -> np.ndarray:
@@ -132,9 +147,20 @@ def longest_previous_factor(order_doc: np.ndarray, lcp: np.ndarray) -> np.ndarra
     return np.maximum(back, ahead)
 
 
+def _packed(body: bytes) -> bytes:
+    """Size and compressed bytes; size 0 and the bytes themselves if that is shorter."""
+    small = pa.Codec(PACK[0], PACK[1]).compress(body, asbytes=True)
+    return np.uint32(len(body)).tobytes() + small if len(small) < len(body) else np.uint32(0).tobytes() + body
+
+
+def _unpacked(packed: bytes) -> bytes:
+    size, body = int(np.frombuffer(packed, np.uint32, 1)[0]), packed[4:]
+    return pa.Codec(PACK[0]).decompress(body, size, asbytes=True) if size else body
+
+
 def _flag_windows(width: int):
     def flag(bodies, count, ids):
-        data = np.frombuffer(b"".join(bodies), np.uint8)
+        data = np.frombuffer(b"".join(map(_unpacked, bodies)), np.uint8)
         size = count + (width - 1)
         begin = np.cumsum(size) - size
         h = slice_hash(prefix_hash(data), begin, begin + size)
@@ -151,7 +177,7 @@ def _flag_windows(width: int):
         fbegin = np.cumsum(fsize) - fsize
         pos = np.repeat(fbegin - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
         doc = np.repeat(ids[firsts], many)
-        rank = suffix_ranks(text, width)[pos]
+        rank = suffix_ranks(text, width, pos)
         sa = np.lexsort((doc, rank))                    # suffix array of window starts
         lcp = np.zeros(len(sa), np.int64)
         r = rank[sa]
@@ -204,7 +230,7 @@ def remove_repeated_bytes(docs: DataFrame, width: int = WIDTH, seed: int = SEED,
         b, e = _ends(t, w, first, count, width)
         size = e - b
         at = np.repeat(b - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        return t.data[at].tobytes()
+        return _packed(t.data[at].tobytes())
 
     def window_keys(t, w, idx):
         b = t.offsets[:-1][w.row[idx]] + w.start[idx]

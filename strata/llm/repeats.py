@@ -48,10 +48,20 @@ class Windows:
         self.row, self.start, self.anchor, self.place = row, start, anchor, place
 
 
+def _anchor_places(w: Windows, buckets: int):
+    """Distinct (bucket, place) of the anchors, the first window of each stretch
+    of windows with one anchor and row, the stretches' places and lengths."""
+    new = np.ones(len(w.anchor), bool)
+    new[1:] = (w.anchor[1:] != w.anchor[:-1]) | (w.row[1:] != w.row[:-1])
+    head = np.flatnonzero(new)
+    bucket, place, inverse = ch.distinct_places(mix(w.anchor[head]), buckets)
+    return bucket, place, head, inverse, np.diff(np.append(head, len(new)))
+
+
 def ask_anchors(windows_of: Callable[[Texts], Windows], buckets: int):
     def ask(key, table):
         w = windows_of(Texts(table))
-        bucket, place, _ = ch.distinct_places(mix(w.anchor), buckets)
+        bucket, place, *_ = _anchor_places(w, buckets)
         return ch.ask_places(key[0].as_py(), bucket, place)
     return ask
 
@@ -136,20 +146,20 @@ def ask_runs(windows_of, run_keys, run_payload, window_keys, buckets: int, width
         chunk = key[0].as_py()
         t = Texts(docs)
         w = windows_of(t)
-        bucket, _, inverse = ch.distinct_places(mix(w.anchor), buckets)
+        bucket, _, head, inverse, size = _anchor_places(w, buckets)
         holders = ch.answered(answers, SEEN, bucket)
         shared = holders > 1
         # documents of this chunk that share an anchor among themselves
         if len(inverse):
             low = np.full(len(bucket), len(t), np.int64)
             high = np.full(len(bucket), -1, np.int64)
-            np.minimum.at(low, inverse, w.row)
-            np.maximum.at(high, inverse, w.row)
+            np.minimum.at(low, inverse, w.row[head])
+            np.maximum.at(high, inverse, w.row[head])
             shared |= high > low
-        keep = shared[inverse] & t.valid[w.row] if len(inverse) else np.zeros(0, bool)
+        keep = np.repeat(shared[inverse], size) & t.valid[w.row] if len(inverse) else np.zeros(0, bool)
         parts = []
         if len(inverse):
-            hot = keep & (holders > hot_chunks)[inverse]
+            hot = keep & np.repeat((holders > hot_chunks)[inverse], size)
             if hot.any():
                 parts = _ask_hot(t, w, np.flatnonzero(hot), window_keys, buckets, width)
                 keep = keep & ~hot

@@ -13,7 +13,7 @@ import pytest
 from strata.llm import chunks as ch
 from strata.llm import repeats as rp
 from strata.llm.chunks import Plan
-from strata.llm.lpf_dedup import longest_previous_factor, remove_repeated_bytes, suffix_ranks
+from strata.llm.lpf_dedup import _packed, _unpacked, longest_previous_factor, remove_repeated_bytes, suffix_ranks
 from strata.llm.recompression import remove_repeated_words, window_signatures
 from tests.llm.data import empty, frame, rows, words
 
@@ -139,3 +139,40 @@ def test_suffix_order_and_factors():
                     break
         want.append(best)
     assert longest_previous_factor(doc, lcp).tolist() == want
+
+
+@pytest.mark.parametrize("letters", [1, 2, 200])
+def test_suffix_order_at_chosen_starts(letters):
+    """Only the starts asked for are ordered, as among all suffixes; ties stay ties."""
+    rng = np.random.default_rng(letters)
+    text = np.concatenate([rng.integers(1, 1 + letters, 600), rng.integers(1, 1 + letters, 90).repeat(3),
+                           np.zeros(50, np.int64)]).astype(np.uint8)
+    raw, at = text.tobytes(), rng.permutation(len(text) - 50)[:400]
+    rank = suffix_ranks(text, 50, at)
+    cut = [raw[i:i + 50] for i in at]
+    smaller = {c: sum(d < c for d in cut) for c in set(cut)}
+    assert rank.tolist() == [smaller[c] for c in cut]
+    assert len(suffix_ranks(text, 50, at[:0])) == 0
+
+
+def test_run_texts_are_packed():
+    """What a run ships is under its own text where that repeats letters, and
+    comes back unchanged; a few bytes are left as they are."""
+    rng = random.Random(1)
+    body = " ".join(words(rng, 3000)).encode()
+    assert len(_packed(body)) < 0.6 * len(body)
+    for b in (body, b"", b"\x00", bytes(range(256)), rng.randbytes(1000)):
+        assert _unpacked(_packed(b)) == b and len(_packed(b)) <= len(b) + 4
+
+
+def test_anchor_places_of_stretches():
+    """Places are sought once a stretch of windows with one anchor and row."""
+    rng = np.random.default_rng(2)
+    row = np.sort(rng.integers(0, 5, 500))
+    w = rp.Windows(row, np.arange(500), rng.integers(0, 9, 500).astype(np.uint64).repeat(3)[:500], np.arange(500))
+    bucket, place, head, inverse, size = rp._anchor_places(w, 7)
+    want = ch.distinct_places(rp.mix(w.anchor), 7)
+    assert (bucket == want[0]).all() and (place == want[1]).all()
+    assert (np.repeat(inverse, size) == want[2]).all() and len(head) < 400
+    none = rp.Windows(*[np.zeros(0, np.int64)] * 2, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    assert [len(x) for x in rp._anchor_places(none, 7)] == [0] * 5
