@@ -112,3 +112,30 @@ def test_grid_search_calibrates_on_unseen_folds(spark):
     assert (np.argsort(p) == np.argsort(d)).mean() > 0.9 and ((p > 0) & (p < 1)).all()
     # calibrated: mean probability near the share of positives
     assert abs(p.mean() - (ty > 0).mean()) < 0.08
+
+
+def test_part_solved_in_blocks():
+    """More rows than a block: the same optimum as in one block, from any
+    feasible start, with equal rows of both classes among them."""
+    x, y = points(700, 5)
+    x[:40], y[:40] = x[40:80], -y[40:80]
+    c, gamma = balanced(y, 10.0), 0.25
+    want, b = ks.solve_dual(x, y, c, np.zeros(700), gamma, 1e-5)
+    k = ks.rbf(x, x, gamma)
+    value = lambda v: v.sum() - 0.5 * (v * y) @ k @ (v * y)
+    for start in (np.zeros(700), want, c):
+        a, off = ks.solve_dual(x, y, c, start, gamma, 1e-4, working=64)
+        assert abs((a * y).sum()) < 1e-7 and (a >= 0).all() and (a <= c).all()
+        assert value(a) == pytest.approx(value(want), rel=1e-6) and off == pytest.approx(b, abs=1e-3)
+        assert np.abs(k @ (a * y) - k @ (want * y)).max() < 2e-3
+
+
+def test_every_part_is_a_task(spark):
+    """Parts of all problems are solved side by side, whatever their size."""
+    x, y = points(300)
+    rows = frame(spark, x, y, balanced(y, 1.0), 2, 0)
+    for p in range(1, 5):
+        rows = rows.union(frame(spark, x, y, balanced(y, 1.0 + p), 2, p))
+    solved = ks._solved(rows, 5, 2, 0.25, 1e-3).withColumn("task", F.spark_partition_id())
+    got = {r["task"]: (r["problem"], r["part"]) for r in solved.select("task", "problem", "part").distinct().collect()}
+    assert len(got) == 10 and got[0][0] == 4 and len(set(got.values())) == 10
