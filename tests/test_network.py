@@ -166,3 +166,48 @@ def test_steps_are_in_place_and_own_their_arrays():
         want = want - now * m / (np.sqrt(v) + net.EPSILON)
         np.testing.assert_allclose(state.weights, want, rtol=1e-14, atol=1e-16)
     np.testing.assert_array_equal(first, kept)
+
+
+def test_updates_in_buffers_equal_plain_steps():
+    """Fused updates, the last batch not full, against gradient and step."""
+    sizes, rng = [6, 9, 4, 1], np.random.default_rng(4)
+    plain = net.State.fresh(net.first_weights(sizes, 5))
+    plain.step(sizes, rng.normal(size=len(plain.weights)), 3, 0.01, 0.1)            # moments to go on from
+    kept, fused = plain.own(), net.Updates(plain, sizes, 16, 0.01, 0.1)
+    x, y = rng.normal(size=(60, 6)), np.arange(60) % 2.0
+    ones = np.column_stack([x, np.ones(60)])
+    for at in range(0, 60, 16):
+        want, g = net.loss_and_gradient(plain.weights, sizes, x[at:at + 16], y[at:at + 16])
+        want += plain.penalty(sizes, 0.1)
+        plain.step(sizes, g, len(y[at:at + 16]), 0.01, 0.1)
+        assert fused.update(ones[at:at + 16], y[at:at + 16]) == pytest.approx(want, rel=1e-12)
+        got = fused.state()
+        assert got.t == plain.t
+        for name in ("weights", "m", "v"):
+            np.testing.assert_allclose(getattr(got, name), getattr(plain, name), rtol=1e-10, atol=1e-13)
+    np.testing.assert_array_equal(kept.weights, net.Updates(kept, sizes, 16, 0.01, 0.1).state().weights)
+
+
+@pytest.mark.parametrize("slice_rows", [10 ** 6, 130])
+def test_epochs_sorted_ahead_give_the_same_updates(spark, monkeypatch, slice_rows):
+    """Packed epochs hold every row once, in the order of the plain sort; the
+    stage tables of epochs that are over are gone."""
+    from strata import session
+    sizes, df = [5, 8, 4, 1], points(spark, 330)
+    model = net.NetworkModel(sizes, net.State.fresh(net.first_weights(sizes, 1)))
+    want = net.fine_tune(model, df, epochs=3, batch_rows=64, slice_rows=slice_rows, key_cols=["id"])
+    monkeypatch.setattr(net, "AHEAD_BYTES", 0)
+    monkeypatch.setattr(net, "PACKED_BYTES", 7 * 40)
+    before = len(session._WRITTEN[spark.sparkContext.applicationId])
+    got = net.fine_tune(model, df, epochs=3, batch_rows=64, slice_rows=slice_rows, key_cols=["id"])
+    np.testing.assert_array_equal(got.state.weights, want.state.weights)
+    assert got.history == want.history
+    trained = net.train(df, 5, (8,), epochs=4, key_cols=["id"], patience=0, slice_rows=slice_rows)
+    assert len(trained.history) >= 2 and len(session._WRITTEN[spark.sparkContext.applicationId]) == before
+    rows = net.training_rows(df, key_cols=["id"])
+    blocks = net._packed(rows, 2, 42, 3, 5)
+    x, y = net._unpacked(blocks.orderBy("slice", "range", "at").toArrow(), 5)
+    wx, wy = local(rows, 2, 42)
+    np.testing.assert_array_equal(x, np.column_stack([wx, np.ones(330)]))
+    np.testing.assert_array_equal(y, wy)
+    assert max(len(r["y"]) // 8 for r in blocks.collect()) <= 7
