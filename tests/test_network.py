@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +212,15 @@ def test_epochs_sorted_ahead_give_the_same_updates(spark, monkeypatch, slice_row
     np.testing.assert_array_equal(x, np.column_stack([wx, np.ones(330)]))
     np.testing.assert_array_equal(y, wy)
     assert max(len(r["y"]) // 8 for r in blocks.collect()) <= 7
+
+
+@pytest.mark.parametrize("kind", [pa.binary(), pa.large_binary()])
+def test_packed_blocks_are_read_as_views(kind):
+    """Also of sliced and empty tables, and with 64-bit offsets."""
+    x, y = np.arange(24.0).reshape(8, 3), np.arange(8) % 2.0
+    blocks = pa.table({"x": pa.array([x[a:a + 3].tobytes() for a in range(0, 8, 3)], kind),
+                       "y": pa.array([y[a:a + 3].tobytes() for a in range(0, 8, 3)], kind)})
+    for table, at in ((blocks, 0), (blocks.slice(1), 3), (blocks.slice(3), 8), (pa.concat_tables([blocks.slice(0, 1), blocks.slice(1)]), 0)):
+        gx, gy = net._unpacked(table, 2)
+        np.testing.assert_array_equal(gx, x[at:])
+        np.testing.assert_array_equal(gy, y[at:])
